@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, quality, sharding
+from millrace.llm import bpe, quality, sharding, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """40 shards whose row counts differ by one at most and which all match the mixture of sources."""
     found = sharding.shard(sharding.measured(table(spark, sf_dir, "documents")), 40)
@@ -31,6 +37,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
 
 
-QUERIES = {"op2_sharding": op2_sharding, "op8_quality_rules": op8_quality_rules, "op10_byte_bpe": op10_byte_bpe}
+QUERIES = {
+    "op1_simhash": op1_simhash, "op2_sharding": op2_sharding, "op8_quality_rules": op8_quality_rules, "op10_byte_bpe": op10_byte_bpe}
 
 ORACLE_SQL: dict[str, str] = {}
