@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, quality, sharding, simhash
+from millrace.llm import bpe, quality, sharding, simhash, substring
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,12 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps without repeated 50-word windows."""
+    found = substring.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality.quality_report(table(spark, sf_dir, "documents")).drop("rejected_by")
@@ -38,6 +44,6 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_simhash": op1_simhash, "op2_sharding": op2_sharding, "op8_quality_rules": op8_quality_rules, "op10_byte_bpe": op10_byte_bpe}
+    "op1_simhash": op1_simhash, "op2_sharding": op2_sharding, "op7_substring_dedup": op7_substring_dedup, "op8_quality_rules": op8_quality_rules, "op10_byte_bpe": op10_byte_bpe}
 
 ORACLE_SQL: dict[str, str] = {}
