@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, quality, sharding, simhash, substring
+from millrace.llm import bpe, chat, licenses, quality, sharding, simhash, substring
+
+
+#: The text of both turns of the added conversation -7.
+PROBE = "</s>[INST] ok [/INST]"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +28,29 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base phrases and template labels of every document."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+
+
+def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the formatted windows of every conversation hold, read back from them."""
+    probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    read = chat.read_back(chat.windows(turns))
+    told = read.select(
+        "conv_id", "window", "chars", F.size("turns").cast("long").alias("n"), F.array_join("learned", "").alias("learned"),
+        F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").alias("told"),
+    )
+    whole = told.groupBy("conv_id").agg(F.sum("n").alias("n_turns"), F.sum("chars").alias("formatted_chars"), F.array_sort(F.collect_list(F.struct("window", "told", "learned"))).alias("w"))
+    joined = lambda field: F.array_join(F.transform("w", lambda x: x[field]), "")
+    return whole.select(
+        "conv_id", "n_turns", F.sha2(joined("told"), 256).alias("turns_sha256"), F.length(joined("learned")).cast("long").alias("loss_chars"),
+        F.sha2(joined("learned"), 256).alias("loss_sha256"), "formatted_chars",
+    )
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document keeps without repeated 50-word windows."""
     found = substring.remove_repeats(table(spark, sf_dir, "documents"))
@@ -44,6 +71,6 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_simhash": op1_simhash, "op2_sharding": op2_sharding, "op7_substring_dedup": op7_substring_dedup, "op8_quality_rules": op8_quality_rules, "op10_byte_bpe": op10_byte_bpe}
+    "op1_simhash": op1_simhash, "op2_sharding": op2_sharding, "op3_license_scan": op3_license_scan, "op6_chat_windows": op6_chat_windows, "op7_substring_dedup": op7_substring_dedup, "op8_quality_rules": op8_quality_rules, "op10_byte_bpe": op10_byte_bpe}
 
 ORACLE_SQL: dict[str, str] = {}
