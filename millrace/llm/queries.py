@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, licenses, quality, sharding, simhash, substring
+from millrace.llm import bpe, chat, decontam, licenses, quality, sharding, simhash, substring
+from millrace.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
 #: The text of both turns of the added conversation -7.
@@ -34,6 +35,11 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item, whole or edited, with the alignment's score and place."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the formatted windows of every conversation hold, read back from them."""
     probe = spark.createDataFrame([(-7, 0, "user", PROBE), (-7, 1, "assistant", PROBE)], "conv_id long, turn long, role string, text string")
@@ -71,6 +77,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_simhash": op1_simhash, "op2_sharding": op2_sharding, "op3_license_scan": op3_license_scan, "op6_chat_windows": op6_chat_windows, "op7_substring_dedup": op7_substring_dedup, "op8_quality_rules": op8_quality_rules, "op10_byte_bpe": op10_byte_bpe}
+    "op1_simhash": op1_simhash, "op2_sharding": op2_sharding, "op3_license_scan": op3_license_scan, "op5_decontamination": op5_decontamination, "op6_chat_windows": op6_chat_windows, "op7_substring_dedup": op7_substring_dedup, "op8_quality_rules": op8_quality_rules, "op10_byte_bpe": op10_byte_bpe}
 
-ORACLE_SQL: dict[str, str] = {}
