@@ -1,12 +1,13 @@
 """Substring deduplication: Rabin-Karp hashes of every fixed-length word window, counted in Spark.
 
-Every window of every document is hashed and dealt by its hash, so equal windows
-meet in one task, which finds the windows that also start in a document with a
-smaller doc_id. Their starts return to the documents and merge into maximal
-removal intervals.
+Every window of every document is hashed and dealt by the smallest hash of the
+short word sequences inside it, so equal windows meet in one task, which finds
+the windows that also start in a document with a smaller doc_id. Their starts
+return to the documents and merge into maximal removal intervals. Neighbouring
+windows mostly share that smallest hash, so they travel and return together.
 
 Windows travel packed: one row holds what a piece of the input (some MB of text)
-has in one bucket, about 8 bytes a window. Windows that repeat inside a piece
+has in one bucket, some 8 bytes a window. Windows that repeat inside a piece
 are settled there, so even a passage in a third of all documents sends one
 window a piece.
 """
@@ -28,6 +29,8 @@ from millrace.llm.common import partitions, pieces, split_words, spread
 
 #: Odd multipliers of the two polynomials.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+#: Words in the sequences whose smallest hash deals a window.
+DEAL_WORDS = 8
 #: Windows that a bucket holds on average, at most.
 BUCKET_WINDOWS = 1 << 20
 
@@ -57,6 +60,16 @@ def rolling(values: np.ndarray, window: int, base: int) -> np.ndarray:
             size *= 2
 
 
+def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
+    """The least of every ``width`` consecutive values, by doubling."""
+    part, size = x, 1
+    while size * 2 <= width:
+        part = np.minimum(part[: len(part) - size], part[size:])
+        size *= 2
+    n = len(x) - width + 1
+    return np.minimum(part[:n], part[width - size : width - size + n])
+
+
 def planes(x: np.ndarray) -> bytes:
     """The bytes of small integers, plane by plane, which compresses well."""
     return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
@@ -127,8 +140,10 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
             least = np.minimum.reduceat(ids[doc[order]], np.flatnonzero(new))
             later = np.empty(len(doc), dtype=bool)
             later[order] = ids[doc[order]] > least[run]
-            bucket = (low % np.uint64(buckets)).astype(np.uint32)
-            # The bucket is told by the low hash modulo their number; the bytes that travel are its high ones and then those of the other hash.
+            deal = min(DEAL_WORDS, window)
+            key = sliding_least(spread(rolling(values, deal, BASES[1])), window - deal + 1)[place]
+            bucket = (spread(key) % np.uint64(buckets)).astype(np.uint32)
+            # The bytes that travel are the first hash's high ones and then those of the other hash.
             wide = np.stack([low, high], axis=1).view(np.uint8).reshape(-1, 16)[:, np.r_[7, 6, 5, 4, 3, 2, 1, 0, 8:16][:width]]
             yield from local(doc[later], at[later], ids, marks, buckets)
             stay = np.flatnonzero(~later)
