@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontam, licenses, quality, sharding, simhash, substring
+from millrace.llm import bpe, chat, decontam, licenses, quality, sharding, simhash, substring, suffix
 from millrace.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
@@ -68,6 +68,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps without 100-byte strings that start earlier."""
+    found = suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every document and of the bytes decoded from them."""
     import public_tokenizers
@@ -77,5 +83,5 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op1_simhash": op1_simhash, "op2_sharding": op2_sharding, "op3_license_scan": op3_license_scan, "op5_decontamination": op5_decontamination, "op6_chat_windows": op6_chat_windows, "op7_substring_dedup": op7_substring_dedup, "op8_quality_rules": op8_quality_rules, "op10_byte_bpe": op10_byte_bpe}
+    "op1_simhash": op1_simhash, "op2_sharding": op2_sharding, "op3_license_scan": op3_license_scan, "op5_decontamination": op5_decontamination, "op6_chat_windows": op6_chat_windows, "op7_substring_dedup": op7_substring_dedup, "op8_quality_rules": op8_quality_rules, "op9_suffix_dedup": op9_suffix_dedup, "op10_byte_bpe": op10_byte_bpe}
 
