@@ -11,9 +11,12 @@ is shuffled.
 from __future__ import annotations
 
 import base64
+import gc
 import heapq
 from collections.abc import Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 from millrace.llm.common import pieces
 
 #: Words that a task keeps encoded from batch to batch; beyond it the store is emptied, which costs time only.
-STORED_WORDS = 400_000
+STORED_WORDS = 600_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -105,35 +108,53 @@ def replay(words: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
 
 
 class Coder:
-    """Encodes and decodes the texts of one task; words stay known between batches."""
+    """Encodes and decodes texts; words stay known from batch to batch."""
 
     def __init__(self, path: str, pattern: str):
         self.ranks, self.pattern = load_ranks(path), regex.compile(pattern)
         self.spelled = {rank: token for token, rank in self.ranks.items()}
-        self.known: dict[str, tuple[list[int], str, bytes]] = {}
+        self.digits = {rank: str(rank) for rank in self.spelled}
+        #: The ids of each word, joined by commas, and the bytes that they spell.
+        self.known: dict[str, tuple[str, bytes]] = {}
 
     def learn(self, words: set[str]) -> None:
+        if len(self.known) > STORED_WORDS:
+            self.known.clear()
         new = sorted(w for w in words if w not in self.known)
+        gc.disable()  # nothing here is cyclic, and there is much of it
         for word, ids in zip(new, replay([w.encode() for w in new], self.ranks)):
-            self.known[word] = ids, ",".join(map(str, ids)), b"".join(map(self.spelled.__getitem__, ids))
-
-    def split(self, texts: list[str]) -> list[list[str]]:
-        """The pre-tokens of each text; what they need is known afterwards."""
+            if len(ids) == 1:
+                self.known[word] = self.digits[ids[0]], self.spelled[ids[0]]
+            else:
+                self.known[word] = ",".join(map(self.digits.__getitem__, ids)), b"".join(map(self.spelled.__getitem__, ids))
+        gc.freeze()
+        gc.enable()
+
+    def code(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
+        """The ids of each text, joined by commas, and the bytes decoded from them."""
         cut = list(map(self.pattern.findall, texts))
-        if len(self.known) > STORED_WORDS:
-            self.known.clear()
         self.learn(set().union(*cut))
-        return cut
+        for words in cut:
+            found = list(map(self.known.__getitem__, words))
+            yield ",".join([w[0] for w in found]), b"".join([w[1] for w in found])
+
+
+@lru_cache(maxsize=1)
+def coder(path: str, pattern: str) -> Coder:
+    """One for each worker, so that what a task has learnt serves the next."""
+    return Coder(path, pattern)
+
+
+def texts_of(piece: pa.RecordBatch) -> list[str]:
+    return [t or "" for t in piece.column("text").to_pylist()]
 
 
 def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) of every whole text; null is the empty text, which has no ids. Repeated rows give repeated rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(path, pattern)
         for piece in pieces(batches, "text"):
-            cut = coder.split([t or "" for t in piece.column("text").to_pylist()])
-            ids = [[i for w in words for i in coder.known[w][0]] for words in cut]
+            ids = [np.array(joined.split(",") if joined else [], np.int32) for joined, _ in coder(path, pattern).code(texts_of(piece))]
             yield pa.record_batch([piece.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
@@ -155,17 +176,10 @@ def round_trip(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id",
     """(doc_id, n_tokens, ids string joined by commas, data binary decoded from the ids), in one pass; null is the empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = Coder(path, pattern)
         for piece in pieces(batches, "text"):
-            found = [[coder.known[w] for w in words] for words in coder.split([t or "" for t in piece.column("text").to_pylist()])]
-            yield pa.record_batch(
-                [
-                    piece.column("doc_id"),
-                    pa.array([sum(len(w[0]) for w in words) for words in found], pa.int64()),
-                    pa.array([",".join([w[1] for w in words]) for words in found], pa.string()),
-                    pa.array([b"".join([w[2] for w in words]) for words in found], pa.binary()),
-                ],
-                names=["doc_id", "n_tokens", "ids", "data"],
-            )
+            joined, data = zip(*coder(path, pattern).code(texts_of(piece)))
+            counts = [x.count(",") + 1 if x else 0 for x in joined]
+            columns = [pa.array(counts, pa.int64()), pa.array(joined, pa.string()), pa.array(data, pa.binary())]
+            yield pa.record_batch([piece.column("doc_id"), *columns], names=["doc_id", "n_tokens", "ids", "data"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids string, data binary")
