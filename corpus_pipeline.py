@@ -1,7 +1,64 @@
-"""Placeholder until all stages exist."""
+"""From documents to tokens: five stages, each on all that the one before it kept.
+
+Every stage but the last returns the columns of ``documents``. Each is written
+as Parquet in the shared folder and read again, so a lost executor costs a
+task and not the stages before. How each treats nulls, empty and long texts,
+repeated rows and empty tables is what its operator's docstring states.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.llm import bpe, decontam, pii, quality, simhash
+from millrace.llm.common import written
+
+#: SimHash, alignment and the field that is trained on the way have no SQL; tests/llm holds run() against a plain version.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that every quality rule passes."""
+    return quality.filter_quality(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest doc_id, of each group of near-duplicates by SimHash."""
+    return simhash.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that align with no item of the benchmark."""
+    return decontam.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data masked in their texts; ``n_chars`` counts the new text."""
+    clean = pii.redact(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, text) of every document: its token ids, and the text decoded from them."""
+    coded = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    ids = F.when(F.col("ids") == "", F.array().cast("array<int>")).otherwise(F.split("ids", ",").cast("array<int>"))
+    return coded.select("doc_id", "n_tokens", ids.alias("ids"), F.col("data").cast("string").alias("text"))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("SimHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("PII", personal_data),
+    ("byte-level BPE", tokens),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens of what all stages keep of ``documents``."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir))
+    return docs

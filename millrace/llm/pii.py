@@ -396,7 +396,9 @@ def redact(docs: DataFrame, text: str = "text", field: Field | None = None) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t if t is None else masked(t, all_spans(t, field)[1]) for t in batch.column(place).to_pylist()]
-            yield batch.set_column(place, batch.schema.field(place).name, pa.array(texts, pa.string()))
+            name = batch.schema.field(place).name
+            for piece in pieces([batch], name):
+                texts = [t if t is None else masked(t, all_spans(t, field)[1]) for t in piece.column(place).to_pylist()]
+                yield piece.set_column(place, name, pa.array(texts, pa.string()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -17,10 +17,10 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import as_bytes, dropped, partitions, pieces, written
+from millrace.llm.common import as_bytes, dropped, partitions, pieces, unused, written
 
 BITS = 64
 SEED = 42
@@ -195,10 +195,8 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how)
     smallest text stays. Rows without an id stay only if nothing they link to
     has one, and then one of them.
     """
-    from pyspark.sql import Window
-
+    place = unused("place", docs.columns)
     found = near_duplicates(docs, doc_id, text, **how)
-    kept = found.select("component_id").distinct().select(F.col("component_id").alias("_kept_id"))
-    same = docs[doc_id].cast("long").eqNullSafe(kept["_kept_id"])
-    ranked = docs.join(kept, same, "left_semi").withColumn("_place", F.row_number().over(Window.partitionBy(doc_id).orderBy(text)))
-    return ranked.filter("_place = 1").drop("_place")
+    kept = found.select(F.col("component_id").alias("kept_id")).distinct()
+    mine = docs.join(kept, docs[doc_id].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
+    return mine.withColumn(place, F.row_number().over(Window.partitionBy(doc_id).orderBy(text))).filter(F.col(place) == 1).drop(place)
