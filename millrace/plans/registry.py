@@ -1,6 +1,440 @@
-"""Queries of the reference's operators and their DuckDB equivalents."""
+"""Queries of the reference's operators; their DuckDB equivalents are in ``oracle``."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from millrace.functions import text as T
+from millrace.functions import urls as U
+from millrace.operators import chunking, cleaning, crawl, frontmatter, html, merging, questions, review
+from millrace.operators.rules import Rule, apply_rules
+from millrace.plans import inputs
+from millrace.plans.inputs import RULES, shaped, table
+from millrace.plans.oracle import ORACLE_SQL  # noqa: F401
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+
+def query(f: Query) -> Query:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def digest(text: Column) -> list[Column]:
+    return [F.length(text).cast("long").alias("n_chars"), F.md5(text).alias("digest")]
+
+
+def plain(text: Column) -> Column:
+    return text
+
+
+# --- crawl -----------------------------------------------------------------
+
+
+@query
+def url_parts(spark, sf_dir):
+    """Authority, path and domain of every page's URL."""
+    u = F.col("url")
+    return table(spark, sf_dir, "pages").select("page_id", U.authority(u).alias("authority"), U.path(u).alias("path"), U.without_www(U.authority(u)).alias("domain"))
+
+
+@query
+def url_canonical(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", U.canonical(F.col("url")).alias("canonical"))
+
+
+@query
+def clean_filename(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", U.file_name(F.col("url")).alias("file"))
+
+
+@query
+def filename_collisions(spark, sf_dir):
+    """The last written page of each file name."""
+    return cleaning.last_written(table(spark, sf_dir, "pages").select("page_id", U.file_name(F.col("url")).alias("file")), order="page_id")
+
+
+@query
+def link_extract(spark, sf_dir):
+    return crawl.links(table(spark, sf_dir, "pages"))
+
+
+@query
+def link_admission(spark, sf_dir):
+    """Why each distinct link is admitted or not; its length stands in for its hop and for what is known."""
+    found = crawl.links(table(spark, sf_dir, "pages")).select("link").distinct()
+    known = found.filter(F.length("link") % 5 == 0).select(F.col("link").alias("url"))
+    hops = found.select(F.col("link").alias("url"), F.when(F.length("link") > 40, 3).otherwise(1).alias("hop"))
+    return crawl.admission_counts(hops, known, ["*/the*", "https://*.net/[a-c]*"], max_hops=2)
+
+
+@query
+def crawl_hops(spark, sf_dir):
+    """Pages within four hops of two seeds, on edges made from page numbers."""
+    pages = table(spark, sf_dir, "pages").select("page_id")
+    n = pages.count()
+    page = lambda x: F.concat(F.lit("https://n/"), x.cast("string"))
+    edges = pages.select(page(F.col("page_id")).alias("url"), F.explode(F.array((2 * F.col("page_id") + 1) % n, (3 * F.col("page_id") + 7) % n)).alias("to")).select("url", page(F.col("to")).alias("link"))
+    return crawl.crawl(spark.createDataFrame([("https://n/0",), ("https://n/5",)], "url string"), edges, 4, ["https://n/*9"])
+
+
+@query
+def html_strip_script(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", F.md5(html.without_scripts(F.col("html"))).alias("digest"))
+
+
+@query
+def html_title(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", html.title(F.col("html")).alias("title"))
+
+
+@query
+def html_to_markdown(spark, sf_dir):
+    """Every page as a Markdown document with front matter."""
+    return html.scrapes(table(spark, sf_dir, "pages"), "2025-01-01")
+
+
+# --- cleaning --------------------------------------------------------------
+
+
+@query
+def collapse_blank_lines(spark, sf_dir):
+    return shaped(spark, sf_dir, inputs.with_blanks).select("doc_id", *digest(cleaning.collapse_blank_lines(F.col("text"))))
+
+
+@query
+def normalize_whitespace(spark, sf_dir):
+    return shaped(spark, sf_dir, inputs.with_blanks).select("doc_id", *digest(cleaning.normalize_whitespace(F.col("text"))))
+
+
+def rule_query(name: str, rule: Rule, shape=plain) -> None:
+    def run(spark, sf_dir):
+        return shaped(spark, sf_dir, shape).select("doc_id", T.let(apply_rules(F.col("text"), [rule]), lambda t: F.struct(*digest(t))).alias("d")).select("doc_id", "d.*")
+
+    run.__name__ = name
+    query(run)
+
+
+rule_query("rule_exact_all", Rule("exact_match", pattern=" the ", max_remove=-1))
+rule_query("rule_exact_k", Rule("exact_match", pattern="the", max_remove=3))
+rule_query("rule_regex_all", Rule("regex", pattern=r"\bTH[AE]\b", flags=("IGNORECASE",)))
+rule_query("rule_regex_k", Rule("regex", pattern="[aeiou]{2}", max_remove=2))
+rule_query("rule_section_incl", Rule("section_boundary", start_marker="<<BEGIN>>", end_marker="<<END>>"), inputs.with_boilerplate)
+rule_query("rule_section_excl", Rule("section_boundary", start_marker="<<BEGIN>>", end_marker="<<END>>", inclusive=False), inputs.with_boilerplate)
+rule_query("rule_section_null", Rule("section_boundary", start_marker="e"))
+rule_query("rule_line", Rule("line_pattern", pattern=r"^\[Read more\]|logged", flags=("IGNORECASE",)), inputs.with_boilerplate)
+rule_query("rule_repeat_first", Rule("repeating_pattern", pattern=", ", keep_first=True))
+rule_query("rule_repeat_last", Rule("repeating_pattern", pattern=", ", keep_last=True))
+rule_query("rule_repeat_none", Rule("repeating_pattern", pattern=", "))
+
+
+def cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.clean(shaped(spark, sf_dir, inputs.with_boilerplate), RULES)
+
+
+@query
+def clean_pipeline(spark, sf_dir):
+    return cleaned(spark, sf_dir).select("doc_id", *digest(F.col("cleaned")))
+
+
+@query
+def clean_report(spark, sf_dir):
+    found = cleaning.report(cleaned(spark, sf_dir))
+    return found.select("doc_id", "original_chars", "cleaned_chars", "removed_chars", F.round("reduction_percent", 4).alias("reduction_percent"), "content_changed")
+
+
+@query
+def clean_warnings(spark, sf_dir):
+    """Every warning; percentages are rounded differently here and there, so they are masked."""
+    return cleaning.report(cleaned(spark, sf_dir)).select("doc_id", F.explode("warnings").alias("w")).select("doc_id", F.regexp_replace("w", "[0-9]+[.][0-9]%", "N%").alias("warning"))
+
+
+@query
+def clean_summary(spark, sf_dir):
+    return cleaning.summary(cleaning.report(cleaned(spark, sf_dir))).withColumn("reduction_percent", F.round("reduction_percent", 4))
+
+
+@query
+def clean_delete(spark, sf_dir):
+    files = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("page_"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file"))
+    names = ["page_3.md", "page_14.md", "page_*7.md", "page_1?.md"]
+    return cleaning.without_globbed(cleaning.without_deleted(files, names), names)
+
+
+@query
+def clean_preview(spark, sf_dir):
+    return cleaning.preview(shaped(spark, sf_dir, inputs.with_boilerplate), RULES)
+
+
+def scraped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.markdown_documents(spark, sf_dir)
+
+
+@query
+def domain_detect(spark, sf_dir):
+    return scraped(spark, sf_dir).select("doc_id", cleaning.detected_domain(F.col("text")).alias("domain"))
+
+
+@query
+def ruleset_lookup(spark, sf_dir):
+    found = cleaning.rule_set_of(spark, domain_detect(spark, sf_dir), ["src0.example.com", "src1.example", "elsewhere.org"])
+    return found.select("doc_id", "rule_set")
+
+
+# --- front matter ----------------------------------------------------------
+
+
+def with_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    block, _ = frontmatter.split_block(F.col("text"))
+    return scraped(spark, sf_dir).select("doc_id", frontmatter.lenient(block).alias("fm"))
+
+
+@query
+def frontmatter_split(spark, sf_dir):
+    block, body = frontmatter.split_block(F.col("text"))
+    return scraped(spark, sf_dir).select("doc_id", block.alias("block"), F.md5(body).alias("body_digest"))
+
+
+@query
+def frontmatter_lenient(spark, sf_dir):
+    return with_map(spark, sf_dir).select("doc_id", *(F.col("fm")[k].alias(k) for k in ("original_url", "scrape_date", "title")))
+
+
+@query
+def frontmatter_merge(spark, sf_dir):
+    updates = F.create_map(F.lit("title"), F.concat(F.lit("new "), F.col("doc_id").cast("string")), F.lit("extra"), F.lit("x"))
+    return with_map(spark, sf_dir).select("doc_id", frontmatter.merged(F.col("fm"), updates).alias("fm")).select("doc_id", *(F.col("fm")[k].alias(k) for k in ("original_url", "title", "extra")))
+
+
+# --- chunking --------------------------------------------------------------
+
+
+def headed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.smart_chunks(shaped(spark, sf_dir, inputs.with_headers))
+
+
+@query
+def chunk_smart(spark, sf_dir):
+    return chunking.smart_chunks(table(spark, sf_dir, "documents")).select("doc_id", "chunk_index", "start", F.md5("text").alias("digest"))
+
+
+@query
+def chunk_smart_headers(spark, sf_dir):
+    return headed_chunks(spark, sf_dir).select("doc_id", "chunk_index", "start", F.md5("text").alias("digest"))
+
+
+@query
+def chunk_counts(spark, sf_dir):
+    return headed_chunks(spark, sf_dir).groupBy("doc_id").agg(F.count("*").alias("n_chunks"), F.sum(F.length("text")).cast("long").alias("n_chars"))
+
+
+@query
+def chunk_headers(spark, sf_dir):
+    return chunking.header_positions(shaped(spark, sf_dir, inputs.with_headers))
+
+
+@query
+def chunk_sections(spark, sf_dir):
+    """Sections of chunks by the join of chunks and headers."""
+    found = chunking.sections(headed_chunks(spark, sf_dir), chunk_headers(spark, sf_dir))
+    return found.withColumn("section_path", F.array_join("section_path", " > "))
+
+
+def chunk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = chunking.smart_chunks(shaped(spark, sf_dir, inputs.with_headers).withColumn("key", F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".md"))), "key")
+    filed = chunking.chunk_metadata(made, F.col("key"))
+    return filed.withColumn("doc_id", F.regexp_extract("key", r"([0-9]+)\.md\z", 1).cast("long")).drop("key")
+
+
+@query
+def chunk_metadata(spark, sf_dir):
+    found = chunk_table(spark, sf_dir)
+    return found.select("doc_id", "chunk_index", "chunk_id", "chunk_file", "total_chunks", "char_count", "word_count", F.array_join("section_path", " > ").alias("section_path"), "section_level")
+
+
+@query
+def chunk_legacy(spark, sf_dir):
+    """Chunks of the two-stage splitter."""
+    return chunking.legacy_chunks(shaped(spark, sf_dir, inputs.with_headers)).select("doc_id", "chunk_index", F.md5("text").alias("digest"), F.array_join("section_path", " > ").alias("section_path"))
+
+
+@query
+def slugify(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", T.slugify(F.col("p_name")).alias("slug"))
+
+
+@query
+def breadcrumb(spark, sf_dir):
+    headers = F.create_map(F.lit("h1"), F.when(F.col("lang") != "en", F.col("lang")), F.lit("h3"), F.col("source"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.array_join(T.breadcrumb(headers), " > ").alias("breadcrumb"))
+
+
+# --- merging ---------------------------------------------------------------
+
+
+def merge_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scraped(spark, sf_dir).select(F.concat(F.col("doc_id").cast("string"), F.lit(".md")).alias("chunk_file"), "text")
+
+
+@query
+def merge_rows(spark, sf_dir):
+    merged = merging.merge_chunks(merge_input(spark, sf_dir))
+    return merged.select("chunk_file", "original_url", "scrape_date", "title", "chunk_index", *digest(F.col("content")))
+
+
+@query
+def merge_rescue(spark, sf_dir):
+    """URL and title from the front matter inside the content, where the outer one has none."""
+    outer = F.concat(F.lit("---\nchunk_index: 1\n---\n"), F.col("text"))
+    return merging.merge_chunks(merge_input(spark, sf_dir).withColumn("text", outer)).select("chunk_file", "original_url", "title")
+
+
+@query
+def merge_summary(spark, sf_dir):
+    return merging.merge_summary(merging.merge_chunks(merge_input(spark, sf_dir), strict=False))
+
+
+# --- questions -------------------------------------------------------------
+
+
+@query
+def qa_extract(spark, sf_dir):
+    """Questions that stand in the headings of chunks."""
+    asked = F.transform("section_path", lambda x: F.when(x.startswith("T"), F.concat(F.lit("What is "), x)).otherwise(x))
+    folder = F.when(F.col("doc_id") % 3 == 0, F.lit("interview-questions/")).otherwise(F.lit("p/"))
+    chunks = chunk_table(spark, sf_dir).withColumns({"section_path": asked, "chunk_path": F.concat(folder, "chunk_file"), "original_url": F.concat(F.lit("https://x/"), folder)})
+    return questions.extract(chunks.withColumn("chunk_id", F.concat_ws("#", F.col("doc_id").cast("string"), F.col("chunk_index").cast("string")))).select(
+        F.substring_index("chunk_id", "#", 1).cast("long").alias("doc_id"), F.substring_index("chunk_id", "#", -1).cast("int").alias("chunk_index"), "question"
+    )
+
+
+@query
+def qa_sample(spark, sf_dir):
+    """The fifty chunks that a seeded hash of their paths puts first."""
+    folder = F.when(F.col("doc_id") % 3 == 0, F.lit("interview-questions/")).otherwise(F.lit("p/"))
+    return questions.sample(table(spark, sf_dir, "documents").select("doc_id", F.concat(folder, F.col("doc_id").cast("string")).alias("chunk_path")), 50).select("doc_id")
+
+
+@query
+def qa_prompt(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumns(
+        {"word_count": T.word_count(F.col("text")), "section_path": F.when(F.col("doc_id") % 2 == 0, F.array("lang", "source")).otherwise(F.array().cast("array<string>")), "original_url": F.col("source"), "title": F.lit(None).cast("string")}
+    )
+    return questions.prompt(docs).select("doc_id", F.md5("prompt").alias("digest"))
+
+
+#: Responses as models give them.
+RESPONSES = ['["a", "b"]', '```json\n["c"]\n```', 'Here they are:\n["d"]\nDone.', '["a", 1, null, {"b": 2}]', '{"a": "b"}', '["broken', ""]
+
+
+@query
+def qa_response_parse(spark, sf_dir):
+    found = spark.createDataFrame(list(enumerate(RESPONSES)), "id int, response string")
+    return found.select("id", F.array_join(questions.strings_of(F.col("response")), "|").alias("questions"))
+
+
+def question_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A question for every chunk, with the label of its document."""
+    chunks = chunk_table(spark, sf_dir).withColumns(
+        {
+            "seq": F.col("doc_id") * 1000 + F.col("chunk_index"), "question": F.col("text"), "chunk_path": F.concat(F.regexp_replace("source_file", "[^/]*$", ""), "chunk_file"),
+            "source_url": F.concat(F.lit("https://"), F.substring_index("source_file", "/", 1), F.lit(".example.com/"), F.col("doc_id").cast("string")),
+            "source_type": F.when(F.col("doc_id") % 3 == 0, "interview_question").otherwise("synthetic"), "confidence": F.lit("auto"), "reviewed": F.lit(False), "status": F.lit(None).cast("string"),
+        }
+    )
+    return chunks.select("seq", *questions.QUESTION, "status", "doc_id")
+
+
+def decisions(spark: SparkSession, sf_dir: str, asked: DataFrame) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "a").otherwise("r").alias("decision"))
+    return asked.select("seq", "doc_id").join(labels, "doc_id").select("seq", "decision", F.lit(None).cast("string").alias("new_text"))
+
+
+def reviewed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = question_table(spark, sf_dir)
+    return review.approve_extracted(review.decided(asked, decisions(spark, sf_dir, asked), "seq"))
+
+
+@query
+def qa_number(spark, sf_dir):
+    return questions.numbered(question_table(spark, sf_dir), "extracted", "2025-01-01").select("seq", "qa_file")
+
+
+@query
+def qa_summary(spark, sf_dir):
+    return questions.qa_summary(question_table(spark, sf_dir).withColumnRenamed("chunk_path", "chunk_file"))
+
+
+@query
+def qa_by_type(spark, sf_dir):
+    return questions.by_type(question_table(spark, sf_dir))
+
+
+@query
+def qa_documents(spark, sf_dir):
+    """QA documents, written and parsed again."""
+    made = questions.qa_documents(questions.numbered(question_table(spark, sf_dir), "extracted", "2025-01-01"))
+    return questions.parse_qa(made).drop("section_path")
+
+
+@query
+def review_pending(spark, sf_dir):
+    return review.pending(reviewed_table(spark, sf_dir)).select("seq")
+
+
+@query
+def review_apply(spark, sf_dir):
+    asked = question_table(spark, sf_dir)
+    return review.decided(asked, decisions(spark, sf_dir, asked), "seq").select("seq", "status", "reviewed")
+
+
+@query
+def review_auto(spark, sf_dir):
+    return reviewed_table(spark, sf_dir).select("seq", "status", "reviewed")
+
+
+@query
+def review_stats(spark, sf_dir):
+    return review.review_stats(reviewed_table(spark, sf_dir)).withColumn("reviewed_percent", F.round("reviewed_percent", 4))
+
+
+def exported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return review.question_ids(review.approved(reviewed_table(spark, sf_dir)))
+
+
+@query
+def export_json(spark, sf_dir):
+    read = F.from_json("line", "question_id string, question string, expected_chunk_id string, expected_chunk_path string, source_url string, section_path array<string>, source_type string, metadata struct<confidence string, status string>")
+    rows = exported(spark, sf_dir).select(review.test_case("json").alias("line")).select(read.alias("r"))
+    return rows.select(*(f"r.{c}" for c in ("question_id", "question", "expected_chunk_id", "expected_chunk_path", "source_url")), F.array_join("r.section_path", " > ").alias("section_path"), "r.source_type", "r.metadata.status")
+
+
+@query
+def export_jsonl(spark, sf_dir):
+    read = F.from_json("line", "question_id string, question string, expected_chunk_id string, source_url string")
+    rows = exported(spark, sf_dir).select(review.test_case("jsonl").alias("line")).select(read.alias("r"))
+    return rows.select("r.question_id", F.md5("r.question").alias("digest"), "r.expected_chunk_id", "r.source_url")
+
+
+@query
+def export_csv(spark, sf_dir):
+    return exported(spark, sf_dir).select(review.test_case("csv").alias("line"))
+
+
+@query
+def export_trec(spark, sf_dir):
+    return exported(spark, sf_dir).select(review.test_case("trec").alias("line"))
+
+
+@query
+def export_report(spark, sf_dir):
+    return exported(spark, sf_dir).select(F.md5(review.test_case("report")).alias("digest"))
+
+
+@query
+def export_report_head(spark, sf_dir):
+    return review.report_head(exported(spark, sf_dir))
