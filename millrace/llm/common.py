@@ -44,6 +44,12 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def keyed_texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``doc_id`` (long) and ``text`` under these names; columns that are so already get no alias, which would hide equal shuffles from Spark."""
+    plain = docs.schema[doc_id].dataType.simpleString() == "bigint" and (doc_id, text) == ("doc_id", "text")
+    return docs.select("doc_id", "text") if plain else docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+
+
 def unused(name: str, columns: list[str]) -> str:
     """``name``, lengthened until no column has it in any case."""
     taken = {c.lower() for c in columns}

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import as_bytes, pieces, spread
+from millrace.llm.common import as_bytes, keyed_texts, pieces, spread
 from millrace.llm.substring import META, META_NAMES, numbered, pack, rolling, sliding_least, unpack
 
 #: Period of the difference cover: suffixes are compared by so many bytes before ranks decide.
@@ -335,11 +335,13 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     if length < 8:
         raise ValueError("length must be 8 or more")
-    texts = numbered(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")))
+    texts = numbered(keyed_texts(docs, doc_id, text))
     size = docs.select(F.sum(F.octet_length(text))).head()[0] or 0
     buckets = max(BUCKETS, ceil(size / BUCKET_BYTES))
-    repeated = repeated_anchors(texts.filter("doc_id is not null").select("doc_id", "text"), length, buckets)
-    known = texts.join(repeated, ["doc_id", "mark"]).select("doc_id", "mark", "text", "at")
+    # Both joins below take the same rows and columns of this side, so Spark shuffles the texts once and reads them twice.
+    named = texts.filter("doc_id is not null")
+    repeated = repeated_anchors(named.select("doc_id", "text"), length, buckets)
+    known = named.join(repeated, ["doc_id", "mark"]).select("doc_id", "mark", "text", "at")
 
     def meet(found: pa.Table) -> pa.Table:
         rows = [(r["doc_id"], r["mark"], r["meta"]) for r in found.select(["doc_id", "mark", "text", "meta"]).filter(pa.compute.is_null(found["text"])).to_pylist()]
@@ -366,5 +368,6 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 spans.append([{"begin": a, "end": b} for a, b in removed])
             yield pa.record_batch([piece.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
 
-    joined = texts.join(runs, ["doc_id", "mark"], "left").select("doc_id", "text", "runs")
-    return joined.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<begin:bigint,end:bigint>>, kept binary")
+    joined = named.join(runs, ["doc_id", "mark"], "left").select("doc_id", "text", "runs")
+    nameless = texts.filter("doc_id is null").select("doc_id", "text", F.lit(None).cast("array<binary>").alias("runs"))
+    return joined.unionByName(nameless).mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<begin:bigint,end:bigint>>, kept binary")
