@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 from millrace.llm.common import pieces
 
 #: Words that a task keeps encoded from batch to batch; beyond it the store is emptied, which costs time only.
-STORED_WORDS = 600_000
+STORED_WORDS = 200_000
+#: Bytes of text that are cut into words at once.
+PIECE = 2 << 20
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -153,7 +155,7 @@ def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", tex
     """(doc_id, ids array<int>) of every whole text; null is the empty text, which has no ids. Repeated rows give repeated rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "text"):
+        for piece in pieces(batches, "text", PIECE):
             ids = [np.array(joined.split(",") if joined else [], np.int32) for joined, _ in coder(path, pattern).code(texts_of(piece))]
             yield pa.record_batch([piece.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
@@ -176,7 +178,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id",
     """(doc_id, n_tokens, ids string joined by commas, data binary decoded from the ids), in one pass; null is the empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "text"):
+        for piece in pieces(batches, "text", PIECE):
             joined, data = zip(*coder(path, pattern).code(texts_of(piece)))
             counts = [x.count(",") + 1 if x else 0 for x in joined]
             columns = [pa.array(counts, pa.int64()), pa.array(joined, pa.string()), pa.array(data, pa.binary())]
