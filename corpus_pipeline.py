@@ -25,8 +25,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest doc_id, of each group of near-duplicates by SimHash."""
-    return simhash.keep_one(docs)
+    """One document, that of the smallest doc_id, of each group that shares 0.8 or more of its five-word shingles."""
+    return simhash.keep_similar(docs, words=5, similarity=0.8)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

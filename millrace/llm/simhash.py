@@ -7,6 +7,10 @@ segments differ in at most floor(k * limit / segments) bits (the pigeonring
 principle). Fingerprints therefore meet on the chain of the first ``CHAIN``
 segments, longer chains prune the meetings, and only what is left is compared
 in full.
+
+``keep_similar`` is for documents at a similarity, not at a number of bits: what
+few differing bits or an equal band of min-hashes brings together is compared by
+its whole sets of shingles.
 """
 
 from __future__ import annotations
@@ -20,10 +24,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import as_bytes, dropped, partitions, pieces, unused, written
+from millrace.llm.common import as_bytes, dropped, partitions, pieces, spread, unused, written
 
 BITS = 64
 SEED = 42
+#: Bands and min-hashes in each: two texts at similarity s share a band with chance 1 - (1 - s^6)^20, 0.998 at 0.8.
+BANDS, ROWS = 20, 6
+#: Shingles that one comparison takes at once.
+AT_ONCE = 1 << 20
 
 
 def fingerprint(texts: list[bytes], words: int) -> np.ndarray:
@@ -35,18 +43,26 @@ def fingerprint(texts: list[bytes], words: int) -> np.ndarray:
     """
     out = np.zeros(len(texts), dtype=np.uint64)
     for at, text in enumerate(texts):
-        found = text.lower().split()
-        if not found:
-            continue
-        shingles = map(b" ".join, zip(*(found[k:] for k in range(words)))) if len(found) >= words else [b" ".join(found)]
-        hashes = np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), dtype=np.uint64)
-        counts = np.zeros(BITS, dtype=np.int64)
-        for part in range(0, len(hashes), 4096):
-            counts += np.unpackbits(hashes[part : part + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-        out[at] = np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0]
+        out[at] = simhash_of(shingle_hashes(text, words))
     return out
 
 
+def shingle_hashes(text: bytes, words: int) -> np.ndarray:
+    """XXH64 of every shingle in order, repeats included."""
+    found = text.lower().split()
+    if not found:
+        return np.empty(0, np.uint64)
+    shingles = map(b" ".join, zip(*(found[k:] for k in range(words)))) if len(found) >= words else [b" ".join(found)]
+    return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), dtype=np.uint64)
+
+
+def simhash_of(hashes: np.ndarray) -> np.uint64:
+    counts = np.zeros(BITS, dtype=np.int64)
+    for part in range(0, len(hashes), 4096):
+        counts += np.unpackbits(hashes[part : part + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0]
+
+
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4) -> DataFrame:
     """(doc_id, fp long) for every row; a null text has no words, so fingerprint zero. The sign bit of ``fp`` is its 64th bit."""
 
@@ -200,3 +216,102 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how)
     kept = found.select(F.col("component_id").alias("kept_id")).distinct()
     mine = docs.join(kept, docs[doc_id].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
     return mine.withColumn(place, F.row_number().over(Window.partitionBy(doc_id).orderBy(text))).filter(F.col(place) == 1).drop(place)
+
+
+def sketches(rows: DataFrame, words: int) -> DataFrame:
+    """(doc_id, text_hash, node, fp, bands) of every row of (doc_id, text_hash, text): ``node`` names the set of its shingles; a text without words has no bands."""
+    r = np.random.default_rng(SEED)
+    odd = r.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    plus = r.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, "text"):
+            nodes, prints, bands = [], [], []
+            for text in as_bytes(piece.column("text")):
+                hashes = shingle_hashes(text, words)
+                whole = np.unique(hashes)
+                nodes.append(xxhash.xxh3_64_intdigest(whole.tobytes()))
+                prints.append(simhash_of(hashes))
+                mixed = spread(whole)
+                least = np.array([(mixed * a + b).min() for a, b in zip(odd, plus)], np.uint64) if len(whole) else np.empty(0, np.uint64)
+                bands.append(np.array([xxhash.xxh3_64_intdigest(part.tobytes(), seed=k) for k, part in enumerate(least.reshape(-1, ROWS))], np.uint64).view(np.int64))
+            yield pa.record_batch(
+                [piece.column("doc_id"), piece.column("text_hash"), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(bands, pa.list_(pa.int64()))],
+                names=["doc_id", "text_hash", "node", "fp", "bands"],
+            )
+
+    return rows.mapInArrow(run, "doc_id long, text_hash long, node long, fp long, bands array<long>")
+
+
+def similar_groups(sets: list[np.ndarray], similarity: float) -> list[int]:
+    """For each set of shingles the number of its group: sets at ``similarity`` (shared of all) or more are linked, as ``spanning`` does."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    group, pool, n = np.full(len(sets), -1, np.int64), np.arange(len(sets)), 0
+    while len(pool):
+        queue, pool = [pool[0]], pool[1:]
+        group[queue[0]] = n
+        while queue and len(pool):
+            here = queue.pop()
+            mine, near = sets[here], pool[(sizes[pool] >= similarity * sizes[here] - 1e-9) & (similarity * sizes[pool] <= sizes[here] + 1e-9)]
+            reached = []
+            for part in np.split(near, np.flatnonzero(np.diff(np.cumsum(sizes[near]) // AT_ONCE)) + 1):
+                full = part[sizes[part] > 0]
+                # Only texts without words are as large as one without words, and all of them are alike.
+                reached.append(part[sizes[part] == sizes[here]] if not len(mine) else full[:0])
+                if len(mine) and len(full):
+                    flat = np.concatenate([sets[k] for k in full])
+                    hit = mine[np.minimum(np.searchsorted(mine, flat), len(mine) - 1)] == flat
+                    both = np.add.reduceat(hit.astype(np.int64), np.concatenate([[0], np.cumsum(sizes[full])[:-1]]))
+                    reached.append(full[both * (1 + similarity) >= similarity * (sizes[full] + len(mine)) - 1e-9])
+            reached = np.concatenate(reached)
+            group[reached] = n
+            queue += reached.tolist()
+            pool = pool[group[pool] < 0]
+        n += 1
+    return group.tolist()
+
+
+def keep_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, limit: int = 4) -> DataFrame:
+    """The rows of ``docs`` without near copies: one row, with all its columns, of each group linked by texts that share ``similarity`` of their distinct shingles.
+
+    Texts meet if their SimHash fingerprints differ in at most ``limit`` bits or
+    if they share a band of min-hashes; what meets, directly or over others, is
+    compared exactly, so a chance meeting drops nothing. Each group of meetings
+    is compared in one task. Of a group the smallest doc_id stays, a null one
+    only if there is no other; of several rows with it that of the smallest hash
+    of the text. Null texts and texts without words are copies of each other.
+    """
+    there = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
+    rows = written(sketches(there, words))
+    nodes = rows.groupBy("node").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("row"))
+    nodes = written(nodes)
+    prints = written(nodes.groupBy("fp").agg(F.min("node").alias("first")))
+    of = lambda side: prints.select(F.col("fp").alias(side), F.col("first").alias(f"{side}_node"))
+    close = links(prints.select("fp"), limit).join(of("a"), "a").join(of("b"), "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    same = nodes.join(prints, "fp").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    listed = nodes.select("node", F.posexplode("bands").alias("band", "value"))
+    banded = listed.join(listed.groupBy("band", "value").agg(F.min("node").alias("b")), ["band", "value"]).select(F.col("node").alias("a"), "b")
+    met = components(close.unionByName(same).unionByName(banded).filter("a <> b").distinct())
+    asked = met.join(nodes.select("node", "row.doc_id", "row.text_hash"), "node")
+    taken = asked.select("node", "label", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    texts = there.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))).select("node", "label", "text").dropDuplicates(["node"])
+
+    def compare(table: pa.Table) -> pa.Table:
+        node = np.asarray(table.column("node"), dtype=np.int64)
+        group = np.array(similar_groups([np.unique(shingle_hashes(t, words)) for t in as_bytes(table.column("text").combine_chunks())], similarity))
+        first = np.full(group.max() + 1, np.iinfo(np.int64).max)
+        np.minimum.at(first, group, node)
+        return pa.table({"node": node, "class": first[group]})
+
+    classes = texts.groupBy("label").applyInArrow(compare, "node long, class long")
+    kept = nodes.select("node", "row").join(classes, "node", "left").groupBy(F.coalesce("class", "node").alias("class")).agg(F.min("row").alias("row"))
+    return first_of(docs, kept.select(F.col("row.doc_id").alias("kept_id"), F.col("row.text_hash").alias("kept_hash")), doc_id, text)
+
+
+def first_of(docs: DataFrame, kept: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows of ``docs`` that ``kept`` (kept_id, kept_hash: id and hash of the text) names, each once."""
+    hashed, place = unused("text_hash", docs.columns), unused("place", docs.columns)
+    kept = kept.select(F.col("kept_id").alias(unused("_kept_id", docs.columns)), F.col("kept_hash").alias(unused("_kept_hash", docs.columns)))
+    mine = docs.withColumn(hashed, F.xxhash64(text))
+    mine = mine.join(kept, mine[doc_id].cast("long").eqNullSafe(kept[kept.columns[0]]) & (mine[hashed] == kept[kept.columns[1]]), "left_semi")
+    return mine.withColumn(place, F.row_number().over(Window.partitionBy(doc_id, hashed).orderBy(text))).filter(F.col(place) == 1).drop(place, hashed)
