@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import pieces, split_words, written
+from millrace.llm.common import pieces, split_words, unused, written
 from millrace.llm.substring import rolling
 
 #: Words in a seed.
@@ -132,7 +132,7 @@ def align(item: np.ndarray, stretches: list[np.ndarray]) -> list[tuple[int, int,
 
 
 def stretches_of(docs: DataFrame, items: Items) -> DataFrame:
-    """(doc_id, begin, words binary, seeds array<long>): what of each document lies within reach of a seed."""
+    """(doc_id, text_hash, begin, words binary, seeds array<long>): what of each document lies within reach of a seed."""
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,16 +153,16 @@ def stretches_of(docs: DataFrame, items: Items) -> DataFrame:
             last = np.concatenate([first[1:] - 1, [len(at) - 1]])
             begin = np.maximum(at[first] - items.reach, offsets[doc[first]])
             end = np.minimum(at[last] + items.reach + N, offsets[doc[first] + 1])
-            ids = piece.column("doc_id").take(pa.array(doc[first]))
+            ids, hashed = (piece.column(c).take(pa.array(doc[first])) for c in ("doc_id", "text_hash"))
             words = [codes[a:b].tobytes() for a, b in zip(begin, end)]
             seeds = [np.unique(hashes[a : b + 1]).view(np.int64) for a, b in zip(first, last)]
-            yield pa.record_batch([ids, pa.array(begin - offsets[doc[first]]), pa.array(words, pa.binary()), pa.array(seeds, pa.list_(pa.int64()))], names=["doc_id", "begin", "words", "seeds"])
+            yield pa.record_batch([ids, hashed, pa.array(begin - offsets[doc[first]]), pa.array(words, pa.binary()), pa.array(seeds, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "begin", "words", "seeds"])
 
-    return docs.mapInArrow(run, "doc_id long, begin long, words binary, seeds array<long>")
+    return docs.mapInArrow(run, "doc_id long, text_hash long, begin long, words binary, seeds array<long>")
 
 
 def scored(stretches: DataFrame, items: Items, rare: np.ndarray, threshold: float) -> DataFrame:
-    """(doc_id, item_id, score, begin, end) of every stretch and item that meet and reach the threshold."""
+    """(doc_id, text_hash, item_id, score, begin, end) of every stretch and item that meet and reach the threshold."""
     shared = stretches.sparkSession.sparkContext.broadcast((items, rare))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,11 +192,11 @@ def scored(stretches: DataFrame, items: Items, rare: np.ndarray, threshold: floa
             rows = pa.array([o[0] for o in out], pa.int64())
             start = np.asarray(batch.column("begin").take(rows), dtype=np.int64)
             yield pa.record_batch(
-                [batch.column("doc_id").take(rows), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.float64()), pa.array(start + np.array([o[3] for o in out], np.int64)), pa.array(start + np.array([o[4] for o in out], np.int64))],
-                names=["doc_id", "item_id", "score", "begin", "end"],
+                [batch.column("doc_id").take(rows), batch.column("text_hash").take(rows), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.float64()), pa.array(start + np.array([o[3] for o in out], np.int64)), pa.array(start + np.array([o[4] for o in out], np.int64))],
+                names=["doc_id", "text_hash", "item_id", "score", "begin", "end"],
             )
 
-    return stretches.mapInArrow(run, "doc_id long, item_id long, score double, begin long, end long")
+    return stretches.mapInArrow(run, "doc_id long, text_hash long, item_id long, score double, begin long, end long")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -208,7 +208,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
     a doc_id give their best alignment. Without documents or items there are no
     rows.
     """
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    best = F.max(F.struct("score", -F.col("begin"), "begin", "end")).alias("best")
+    found = alignments(docs, benchmark, doc_id, text, item_id, item_text, threshold)
+    return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.score", "best.begin", "best.end")
+
+
+def alignments(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, item_id: str, item_text: str, threshold: float) -> DataFrame:
+    """(doc_id, text_hash, item_id, score, begin, end) as ``contaminated`` finds them, with the hash of the text they are in."""
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     asked = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).alias("text"))
     size = asked.select(F.sum(F.size(F.split("text", r"[\x20\x09-\x0D]+")))).head()[0] or 0
     blocks = -(-size // BLOCK_WORDS)
@@ -221,12 +228,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
         counts = {r.seed: r.n for r in stretches.select(F.explode("seeds").alias("seed")).groupBy("seed").agg(F.count("*").alias("n")).collect()}
         found.append(scored(stretches, items, items.rare(counts), threshold))
     if not found:
-        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, score double, begin long, end long")
-    best = F.max(F.struct("score", -F.col("begin"), "begin", "end")).alias("best")
-    return reduce(DataFrame.unionByName, found).groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.score", "best.begin", "best.end")
+        return docs.sparkSession.createDataFrame([], "doc_id long, text_hash long, item_id long, score double, begin long, end long")
+    return reduce(DataFrame.unionByName, found)
 
 
-def remove_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **how) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose doc_id ``contaminated`` doesn't name."""
-    bad = contaminated(docs, benchmark, doc_id, **how).select(F.col("doc_id").alias("_bad_id")).distinct()
-    return docs.join(bad, docs[doc_id].cast("long").eqNullSafe(bad["_bad_id"]), "left_anti")
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that align with no item. A row is known by its id and its text, so each is judged by its own alignments."""
+    found = alignments(docs, benchmark, doc_id, text, item_id, item_text, threshold)
+    bad = found.select(F.col("doc_id").alias(unused("_bad_id", docs.columns)), F.col("text_hash").alias(unused("_bad_hash", docs.columns))).distinct()
+    hashed = unused("text_hash", docs.columns)
+    mine = docs.withColumn(hashed, F.xxhash64(text))
+    return mine.join(bad, mine[doc_id].cast("long").eqNullSafe(bad[bad.columns[0]]) & (mine[hashed] == bad[bad.columns[1]]), "left_anti").drop(hashed)

@@ -63,15 +63,15 @@ def simhash_of(hashes: np.ndarray) -> np.uint64:
     return np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0]
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4) -> DataFrame:
-    """(doc_id, fp long) for every row; a null text has no words, so fingerprint zero. The sign bit of ``fp`` is its 64th bit."""
+def fingerprints(rows: DataFrame, words: int = 4) -> DataFrame:
+    """(doc_id, text_hash, fp long) for every row of (doc_id, text_hash, text); a null text has no words, so fingerprint zero. The sign bit of ``fp`` is its 64th bit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
             found = fingerprint(as_bytes(piece.column("text")), words).view(np.int64)
-            yield pa.record_batch([piece.column("doc_id"), pa.array(found)], names=["doc_id", "fp"])
+            yield pa.record_batch([piece.column("doc_id"), piece.column("text_hash"), pa.array(found)], names=["doc_id", "text_hash", "fp"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
 def ring(limit: int, chain: int) -> list[tuple[int, list[int], list[tuple[int, int]]]]:
@@ -195,27 +195,32 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     part; their id is null, and so is a component without any other. Repeated
     rows give repeated rows. An empty table gives an empty one.
     """
-    prints = written(fingerprints(docs, doc_id, text, words))
-    first = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    found = judged(docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("text_hash"), F.col(text).alias("text")), words, limit, chain)
+    return found.select("doc_id", "fp", F.col("row.doc_id").alias("component_id"))
+
+
+def judged(rows: DataFrame, words: int, limit: int, chain: int) -> DataFrame:
+    """(doc_id, fp, row) for every row of (doc_id, text_hash, text): ``row`` is the first (no_id, doc_id, text_hash) of its component, those without an id last."""
+    prints = written(fingerprints(rows, words=words))
+    first = written(prints.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("first")))
     found = components(links(first.select("fp"), limit, chain)).select(F.col("node").alias("fp"), "label")
     linked = first.join(found, "fp", "left").select("fp", "first", "label")
     whole = linked.filter("label is not null").groupBy("label").agg(F.min("first").alias("smallest"))
-    class_of = linked.join(whole, "label", "left").select("fp", F.coalesce("smallest", "first").alias("component_id"))
-    return prints.join(class_of, "fp").select("doc_id", "fp", "component_id")
+    class_of = linked.join(whole, "label", "left").select("fp", F.coalesce("smallest", "first").alias("row"))
+    return prints.join(class_of, "fp").select("doc_id", "fp", "row")
 
 
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each component the row of the smallest doc_id, with all its columns.
+def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, limit: int = 4, chain: int = 3) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component one row, with all its columns.
 
-    Rows that share one doc_id are copies of one document: the one with the
-    smallest text stays. Rows without an id stay only if nothing they link to
-    has one, and then one of them.
+    A row is known by its id and its text, so each is judged by its own
+    component, whatever other rows have its id or none. The row of the smallest
+    doc_id stays, of several with it that of the smallest hash of the text; one
+    without an id only if nothing in its component has one.
     """
-    place = unused("place", docs.columns)
-    found = near_duplicates(docs, doc_id, text, **how)
-    kept = found.select(F.col("component_id").alias("kept_id")).distinct()
-    mine = docs.join(kept, docs[doc_id].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
-    return mine.withColumn(place, F.row_number().over(Window.partitionBy(doc_id).orderBy(text))).filter(F.col(place) == 1).drop(place)
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
+    kept = judged(rows, words, limit, chain).select(F.col("row.doc_id").alias("kept_id"), F.col("row.text_hash").alias("kept_hash")).distinct()
+    return first_of(docs, kept, doc_id, text)
 
 
 def sketches(rows: DataFrame, words: int) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import simhash
+from millrace.llm import decontam, simhash
 
 
 def shingles(text: str) -> set:
@@ -53,3 +53,17 @@ def test_similar_groups_against_all_pairs():
                 plain = [plain[b] if g == plain[a] else g for g in plain]
     got = simhash.similar_groups(sets, 0.8)
     assert [[a == b for a in got] for b in got] == [[a == b for a in plain] for b in plain]
+
+
+def test_rows_are_judged_by_id_and_text(spark):
+    """Unrelated rows without an id or with one id all stay; only their own copies and alignments remove them."""
+    r = np.random.default_rng(13)
+    texts = [" ".join(f"t{n}_{k}" for k in r.permutation(60)) for n in range(8)]
+    rows = [(None, None), (None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]), (1, texts[2]), (7, texts[3]), (7, texts[4]), (7, texts[4])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for keep in (simhash.keep_one, simhash.keep_similar):
+        kept = sorted(map(tuple, keep(docs).collect()), key=repr)
+        assert kept == sorted([(None, None), (None, texts[0]), (None, texts[1]), (1, texts[2]), (7, texts[3]), (7, texts[4])], key=repr)
+    items = spark.createDataFrame([(0, " ".join(texts[1].split()[5:40])), (1, " ".join(texts[3].split()[5:40]))], "item_id long, text string")
+    left = sorted(map(tuple, decontam.remove_contaminated(docs, items).collect()), key=repr)
+    assert left == sorted([rows[0], rows[1], rows[4], rows[5], rows[7], rows[8]], key=repr)
