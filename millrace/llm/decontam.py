@@ -1,10 +1,12 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: seed words that no alignment can do without, then Smith-Waterman alignment.
 
-One scan of the corpus finds the n-grams that also stand in a test item and
-keeps the stretch of words around them. The n-grams are counted over all
-documents; a stretch meets an item if they share a rare n-gram or several of any
-kind. Every meeting is scored by local alignment of words, which tolerates
-edits, insertions and paraphrased parts.
+An alignment that reaches the threshold matches at least M of an item's L words,
+so it matches at least t of any L - M + t of them. The seeds of an item are its
+L - M + t words that stand in the fewest items; a document meets an item
+where t of its words within the length of the longest such alignment are seeds.
+Every meeting is scored by local alignment of words, which tolerates edits,
+insertions and paraphrased parts. Nothing is missed, and what meets depends on
+the document and the items alone, not on the rest of the corpus.
 
 Items are the query set: they go to the tasks in blocks of ``BLOCK_WORDS`` words
 at most, so memory stays bounded for any number of items, and every block is
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -22,23 +25,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import pieces, split_words, unused, written
-from millrace.llm.substring import rolling
+from millrace.llm.common import pieces, split_words, unused
 
-#: Words in a seed.
-N = 4
-#: A seed is rare if it stands in at most so many stretches of the corpus, or in at most so many times its item's median.
-RARE, RARE_TIMES = 8, 4
-#: So many seeds of any kind make a meeting as well.
-COMMON_SEEDS = 3
 #: Scores of the alignment, for a match, a mismatch and a word left out on either side.
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Contaminated from this share of an item's best possible score.
 THRESHOLD = 0.5
 #: Words of items that one pass holds in every task.
 BLOCK_WORDS = 1 << 22
+#: Hits of seeds that are sorted at once, unless one document has more.
+HITS = 1 << 21
 
-BASE = 0x9E3779B97F4A7C15
 TRIM = b".,;:!?\"'()[]{}#*$%&|<>"
 
 
@@ -51,48 +48,60 @@ def coded(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Items:
-    """A block of test items with the index of their seeds."""
+    """A block of test items with the index of their seeds, for alignments of at least ``threshold`` of the best score."""
 
-    def __init__(self, ids: list[int], texts: pa.Array):
+    def __init__(self, ids: list[int], texts: pa.Array, threshold: float):
         codes, offsets = coded(texts)
-        self.ids, self.words = ids, [codes[a:b] for a, b in zip(offsets, offsets[1:])]
-        # An item shorter than a seed is one seed as a whole; one without words meets nothing.
-        self.sizes = sorted({min(N, len(w)) for w in self.words} - {0})
-        grams = [rolling(w, min(N, len(w)), BASE) if len(w) else np.empty(0, np.uint64) for w in self.words]
-        self.item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        self.gram = np.concatenate(grams) if grams else np.empty(0, np.uint64)
-        order = np.argsort(self.gram, kind="stable")
-        self.gram, self.item = self.gram[order], self.item[order]
-        self.known = np.unique(self.gram)
-        self.reach = max((len(w) for w in self.words), default=0)
+        self.ids, self.threshold, self.words = ids, threshold, [codes[a:b] for a, b in zip(offsets, offsets[1:])]
+        distinct, held = np.unique(np.concatenate([np.empty(0, np.uint64), *(np.unique(w) for w in self.words)]), return_counts=True)
+        # Each item's needed hits, and the words of text in the longest alignment; an item without words meets nothing.
+        self.need, self.reach = np.ones(len(ids), np.int64), np.ones(len(ids), np.int64)
+        words, items = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+        for n, mine in enumerate(self.words):
+            size = len(mine)
+            if size:
+                least = min(size, max(1, ceil(threshold * size - 1e-9)))
+                self.need[n] = max(1, least // 2)
+                self.reach[n] = ceil((3 - 2 * threshold) * size) + 1
+                order = np.lexsort((mine, held[np.searchsorted(distinct, mine)]))
+                words.append(np.unique(mine[order[: size - least + self.need[n]]]))
+                items.append(np.full(len(words[-1]), n))
+        words, items = np.concatenate(words), np.concatenate(items)
+        order = np.argsort(words, kind="stable")
+        self.item = items[order]
+        self.known, self.first, self.times = np.unique(words[order], return_index=True, return_counts=True)
         self.bits = np.zeros(1 << 20, dtype=bool)
         self.bits[(self.known >> np.uint64(44)).astype(np.int64)] = True
 
-    def seeds(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and hashes of the seeds in a sequence of words."""
-        places, hashes = [], []
-        for size in self.sizes:
-            found = rolling(codes, size, BASE)
-            near = np.flatnonzero(self.bits[(found >> np.uint64(44)).astype(np.int64)])
-            at = np.searchsorted(self.known, found[near])
-            sure = near[self.known[np.minimum(at, len(self.known) - 1)] == found[near]]
-            places.append(sure)
-            hashes.append(found[sure])
-        if not places:
-            return np.empty(0, np.int64), np.empty(0, np.uint64)
-        at, hashes = np.concatenate(places), np.concatenate(hashes)
-        order = np.argsort(at, kind="stable")
-        return at[order], hashes[order]
-
-    def rare(self, counts: dict[int, int]) -> np.ndarray:
-        """For each (gram, item) whether it is a rare seed of the item."""
-        n = np.array([counts.get(int(g), 0) for g in self.gram.view(np.int64)], dtype=np.int64)
-        out = n <= RARE
-        order = np.argsort(self.item, kind="stable")
-        cuts = np.flatnonzero(np.diff(self.item[order])) + 1
-        for part in np.split(order, cuts):
-            if len(part):
-                out[part] |= n[part] <= RARE_TIMES * np.median(n[part])
+    def meetings(self, codes: np.ndarray, offsets: np.ndarray) -> dict[int, list[tuple[int, int, int]]]:
+        """By item: (text, begin, end) of the words that can hold an alignment."""
+        near = np.flatnonzero(self.bits[(codes >> np.uint64(44)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(self.known, codes[near]), len(self.known) - 1)
+        sure = self.known[at] == codes[near]
+        place, word = near[sure], at[sure]
+        doc = np.searchsorted(offsets, place, side="right") - 1
+        out: dict[int, list[tuple[int, int, int]]] = {}
+        # Cut between documents where the hits pass a multiple of HITS.
+        share = (np.cumsum(self.times[word]) - self.times[word]) // HITS
+        cuts = np.flatnonzero(np.diff(share)) + 1
+        cuts = np.unique(np.concatenate([[0], np.searchsorted(doc, doc[cuts]), [len(doc)]])).astype(np.int64)
+        for a, b in zip(cuts, cuts[1:]):
+            times = self.times[word[a:b]]
+            inside = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            item = self.item[np.repeat(self.first[word[a:b]], times) + inside]
+            pos, key = np.repeat(place[a:b], times), np.repeat(doc[a:b] - doc[a], times) * len(self.ids) + item
+            order = np.argsort(key, kind="stable")
+            pos, key, item = pos[order], key[order], item[order]
+            last = np.arange(len(key)) + self.need[item] - 1
+            fits = np.flatnonzero(last < len(key))
+            fits = fits[(key[last[fits]] == key[fits]) & (pos[last[fits]] - pos[fits] < self.reach[item[fits]])]
+            if not len(fits):
+                continue
+            begin, end, item, text = pos[fits], pos[last[fits]] + 1, item[fits], doc[a] + key[fits] // len(self.ids)
+            begin, end = np.maximum(begin - self.reach[item], offsets[text]), np.minimum(end + self.reach[item], offsets[text + 1])
+            new = np.flatnonzero(np.concatenate([[True], (np.diff(key[fits]) != 0) | (begin[1:] > end[:-1])]))
+            for i, d, x, y in zip(item[new].tolist(), text[new].tolist(), begin[new].tolist(), end[np.concatenate([new[1:] - 1, [len(fits) - 1]])].tolist()):
+                out.setdefault(i, []).append((d, x, y))
         return out
 
 
@@ -131,72 +140,33 @@ def align(item: np.ndarray, stretches: list[np.ndarray]) -> list[tuple[int, int,
     return [(int(v >> low), int(unit - 1 - (v & (unit - 1))), int(e)) for v, e in zip(best, end)]
 
 
-def stretches_of(docs: DataFrame, items: Items) -> DataFrame:
-    """(doc_id, text_hash, begin, words binary, seeds array<long>): what of each document lies within reach of a seed."""
+def scored(docs: DataFrame, items: Items) -> DataFrame:
+    """(doc_id, text_hash, item_id, score, begin, end) of every stretch of text and item that meet and reach the threshold."""
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = shared.value
-        for piece in pieces(batches, "text"):
+        for piece in pieces(batches, "text") if len(items.known) else ():
             codes, offsets = coded(piece.column("text"))
-            at, hashes = items.seeds(codes)
-            doc = np.searchsorted(offsets, at, side="right") - 1
-            # A seed must not run over the end of its document.
-            size = N if len(items.sizes) == 1 else None
-            if size:
-                whole = at + size <= offsets[doc + 1]
-                at, hashes, doc = at[whole], hashes[whole], doc[whole]
-            if not len(at):
-                continue
-            new = np.concatenate([[True], (np.diff(doc) != 0) | (np.diff(at) > 2 * items.reach)])
-            first = np.flatnonzero(new)
-            last = np.concatenate([first[1:] - 1, [len(at) - 1]])
-            begin = np.maximum(at[first] - items.reach, offsets[doc[first]])
-            end = np.minimum(at[last] + items.reach + N, offsets[doc[first] + 1])
-            ids, hashed = (piece.column(c).take(pa.array(doc[first])) for c in ("doc_id", "text_hash"))
-            words = [codes[a:b].tobytes() for a, b in zip(begin, end)]
-            seeds = [np.unique(hashes[a : b + 1]).view(np.int64) for a, b in zip(first, last)]
-            yield pa.record_batch([ids, hashed, pa.array(begin - offsets[doc[first]]), pa.array(words, pa.binary()), pa.array(seeds, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "begin", "words", "seeds"])
-
-    return docs.mapInArrow(run, "doc_id long, text_hash long, begin long, words binary, seeds array<long>")
-
-
-def scored(stretches: DataFrame, items: Items, rare: np.ndarray, threshold: float) -> DataFrame:
-    """(doc_id, text_hash, item_id, score, begin, end) of every stretch and item that meet and reach the threshold."""
-    shared = stretches.sparkSession.sparkContext.broadcast((items, rare))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, rare = shared.value
-        for batch in batches:
-            words = [np.frombuffer(w, np.uint64) for w in batch.column("words").to_pylist()]
-            meetings: dict[int, list[int]] = {}
-            for row, seeds in enumerate(batch.column("seeds").to_pylist()):
-                seeds = np.array(seeds, np.int64).view(np.uint64)
-                low, high = np.searchsorted(items.gram, seeds), np.searchsorted(items.gram, seeds, side="right")
-                hits = np.concatenate([np.arange(a, b) for a, b in zip(low, high)])
-                found, times = np.unique(items.item[hits], return_counts=True)
-                sure = np.unique(items.item[hits[rare[hits]]])
-                for item in np.union1d(sure, found[times >= COMMON_SEEDS]).tolist():
-                    meetings.setdefault(item, []).append(row)
             out = []
-            for item, rows in meetings.items():
-                rows.sort(key=lambda r: len(words[r]))
+            for item, rows in items.meetings(codes, offsets).items():
+                rows.sort(key=lambda r: r[2] - r[1])
                 while rows:
                     # as many stretches as fit a table of bounded size, the longest first
-                    take = max(1, (1 << 17) // (len(words[rows[-1]]) + 1))
+                    take = max(1, (1 << 17) // (rows[-1][2] - rows[-1][1] + 1))
                     part, rows = rows[-take:], rows[:-take]
-                    for row, (score, begin, end) in zip(part, align(items.words[item], [words[r] for r in part])):
+                    for (doc, a, _), (score, begin, end) in zip(part, align(items.words[item], [codes[a:b] for _, a, b in part])):
                         share = score / (MATCH * len(items.words[item]))
-                        if share >= threshold:
-                            out.append((row, items.ids[item], share, begin, end))
+                        if share >= items.threshold:
+                            start = a - int(offsets[doc])
+                            out.append((doc, items.ids[item], share, start + begin, start + end))
             rows = pa.array([o[0] for o in out], pa.int64())
-            start = np.asarray(batch.column("begin").take(rows), dtype=np.int64)
             yield pa.record_batch(
-                [batch.column("doc_id").take(rows), batch.column("text_hash").take(rows), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.float64()), pa.array(start + np.array([o[3] for o in out], np.int64)), pa.array(start + np.array([o[4] for o in out], np.int64))],
+                [piece.column("doc_id").take(rows), piece.column("text_hash").take(rows), *(pa.array([o[k] for o in out], kind) for k, kind in enumerate((pa.int64(), pa.float64(), pa.int64(), pa.int64()), 1))],
                 names=["doc_id", "text_hash", "item_id", "score", "begin", "end"],
             )
 
-    return stretches.mapInArrow(run, "doc_id long, text_hash long, item_id long, score double, begin long, end long")
+    return docs.mapInArrow(run, "doc_id long, text_hash long, item_id long, score double, begin long, end long")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -222,11 +192,8 @@ def alignments(docs: DataFrame, benchmark: DataFrame, doc_id: str, text: str, it
     found = []
     for block in range(blocks):
         part = asked.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").toArrow()
-        items = Items(part.column("item_id").to_pylist(), part.column("text").combine_chunks())
-        stretches = written(stretches_of(texts, items))
-        # As many rows as the block has seeds, at most.
-        counts = {r.seed: r.n for r in stretches.select(F.explode("seeds").alias("seed")).groupBy("seed").agg(F.count("*").alias("n")).collect()}
-        found.append(scored(stretches, items, items.rare(counts), threshold))
+        items = Items(part.column("item_id").to_pylist(), part.column("text").combine_chunks(), threshold)
+        found.append(scored(texts, items))
     if not found:
         return docs.sparkSession.createDataFrame([], "doc_id long, text_hash long, item_id long, score double, begin long, end long")
     return reduce(DataFrame.unionByName, found)

@@ -67,3 +67,22 @@ def test_rows_are_judged_by_id_and_text(spark):
     items = spark.createDataFrame([(0, " ".join(texts[1].split()[5:40])), (1, " ".join(texts[3].split()[5:40]))], "item_id long, text string")
     left = sorted(map(tuple, decontam.remove_contaminated(docs, items).collect()), key=repr)
     assert left == sorted([rows[0], rows[1], rows[4], rows[5], rows[7], rows[8]], key=repr)
+
+
+def test_alignment_does_not_depend_on_the_corpus(spark):
+    """One copy with every fourth word changed, one that keeps a common phrase and two words of three, alone and among many that quote the phrase."""
+    from tests.llm.test_contracts import plain_align
+
+    r = np.random.default_rng(14)
+    item = [f"i{k}" for k in range(24)]
+    fourth = [w if k % 4 != 3 else f"x{k}" for k, w in enumerate(item)]
+    # The phrase is the only run of four; the rest keeps two words of three.
+    third = item[:4] + [w if k % 3 else f"y{k}" for k, w in enumerate(item[4:], 1)]
+    fill = lambda: [f"f{k}" for k in r.integers(0, 500, 40)]
+    docs = [fill() + fourth + fill(), fill() + third + fill()]
+    docs += [fill() + item[:4] + fill() for _ in range(60)]
+    for size in (2, len(docs)):
+        frame = spark.createDataFrame([(n, " ".join(d)) for n, d in enumerate(docs[:size])], "doc_id long, text string").repartition(3)
+        got = {x.doc_id: round(x.score, 9) for x in decontam.contaminated(frame, spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")).collect()}
+        assert got == {n: round(plain_align(item, docs[n]) / 48, 9) for n in (0, 1)}
+        assert min(got.values()) >= decontam.THRESHOLD
