@@ -1,37 +1,48 @@
 """Byte-level BPE: encoding by corpus-level merge replay, and decoding.
 
-Spark deals the texts to tasks. A task gathers the distinct pre-tokens (words)
-of its batches, lays their bytes out in one sequence and builds an inverted
-index from each mergeable pair to its positions there. Merges are then applied
-to the whole vocabulary at once in rank order; a merge touches only the two
-neighbours of each position. Texts look their words' ids up at the end. No row
-is shuffled.
+Texts are cut into pre-tokens (words) piece by piece, some MB of text each. A
+piece keeps its texts as numbers of its own distinct words and deals these
+words, packed, by their hash. A task then has all words of a hash range,
+whichever pieces they come from: it lays the bytes of the distinct ones out in
+one sequence, builds an inverted index from each mergeable pair to its positions
+there, and applies the merges in rank order, each touching only the two
+neighbours of its positions. So every distinct word of the corpus is merged once.
+Its ids return to the pieces that hold it, where the texts are put together and
+decoded from the ids. Texts themselves never travel, and no task holds more than
+a piece or a hash range.
 """
 
 from __future__ import annotations
 
 import base64
-import gc
 import heapq
-from collections.abc import Iterator
+import uuid
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import pieces
+from millrace.llm.common import partitions, pieces, planes, unplanes, written
 
-#: Words that a task keeps encoded from batch to batch; beyond it the store is emptied, which costs time only.
-STORED_WORDS = 200_000
-#: Bytes of text that are cut into words at once.
-PIECE = 2 << 20
+#: Bytes of text in a piece, unless one text has more.
+PIECE = 16 << 20
+#: Bytes of input for each hash range of words; a range then holds about as many words as a piece of that size.
+RANGE = 8 << 20
 
 
+@lru_cache(maxsize=1)
 def load_ranks(path: str) -> dict[bytes, int]:
-    """Token bytes to rank, from a file of ``base64 rank`` lines."""
+    """Token bytes to rank, from a file of ``base64 rank`` lines; read once in a worker."""
     with open(path, "rb") as file:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
@@ -109,57 +120,132 @@ def replay(words: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
     return out
 
 
-class Coder:
-    """Encodes and decodes texts; words stay known from batch to batch."""
-
-    def __init__(self, path: str, pattern: str):
-        self.ranks, self.pattern = load_ranks(path), regex.compile(pattern)
-        self.spelled = {rank: token for token, rank in self.ranks.items()}
-        self.digits = {rank: str(rank) for rank in self.spelled}
-        #: The ids of each word, joined by commas, and the bytes that they spell.
-        self.known: dict[str, tuple[str, bytes]] = {}
-
-    def learn(self, words: set[str]) -> None:
-        if len(self.known) > STORED_WORDS:
-            self.known.clear()
-        new = sorted(w for w in words if w not in self.known)
-        gc.disable()  # nothing here is cyclic, and there is much of it
-        for word, ids in zip(new, replay([w.encode() for w in new], self.ranks)):
-            if len(ids) == 1:
-                self.known[word] = self.digits[ids[0]], self.spelled[ids[0]]
-            else:
-                self.known[word] = ",".join(map(self.digits.__getitem__, ids)), b"".join(map(self.spelled.__getitem__, ids))
-        gc.freeze()
-        gc.enable()
-
-    def code(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
-        """The ids of each text, joined by commas, and the bytes decoded from them."""
-        cut = list(map(self.pattern.findall, texts))
-        self.learn(set().union(*cut))
-        for words in cut:
-            found = list(map(self.known.__getitem__, words))
-            yield ",".join([w[0] for w in found]), b"".join([w[1] for w in found])
+@lru_cache(maxsize=1)
+def spellings(path: str) -> tuple[pa.Array, pa.Array]:
+    """By id: its decimal digits, and the bytes of its token."""
+    spelled = {rank: token for token, rank in load_ranks(path).items()}
+    ids = range(max(spelled) + 1)
+    return pa.array(map(str, ids), pa.string()), pa.array(map(spelled.get, ids), pa.binary())
 
 
-@lru_cache(maxsize=1)
-def coder(path: str, pattern: str) -> Coder:
-    """One for each worker, so that what a task has learnt serves the next."""
-    return Coder(path, pattern)
+def squeezed(x: np.ndarray) -> bytes:
+    return zstandard.compress(planes(x.astype(np.uint32)), 1)
 
 
-def texts_of(piece: pa.RecordBatch) -> list[str]:
-    return [t or "" for t in piece.column("text").to_pylist()]
+def opened(data: bytes) -> np.ndarray:
+    return unplanes(zstandard.decompress(data), np.uint32)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>) of every whole text; null is the empty text, which has no ids. Repeated rows give repeated rows."""
+#: What travels. Texts of a piece: their doc_ids, words in each and the words' numbers. Words of a piece in one
+#: hash range: their lengths, numbers (as steps) and bytes; on the way back their counts of ids, numbers and ids.
+CUT = "piece long, bucket int, docs array<long>, counts binary, places binary, words binary"
+
+
+def cut_texts(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
+    """``CUT`` rows of (doc_id, text) rows."""
+    names = [x.split()[0] for x in CUT.split(", ")]
+    kinds = [pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
+
+    def packed(words: list[str], held: list[tuple[list, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        piece = uuid.uuid4().int >> 65
+        # The most frequent words take the smallest numbers, which pack best.
+        order = np.argsort(-sum((np.bincount(flat, minlength=len(words)) for _, _, flat in held), np.zeros(len(words), np.int64)), kind="stable")
+        number = np.empty(len(words), np.int64)
+        number[order] = np.arange(len(words))
+        rows = [(piece, None, ids, squeezed(counts), squeezed(number[flat]), None) for ids, counts, flat in held]
+        raw = [words[k].encode() for k in order.tolist()]
+        bucket = np.fromiter(map(xxhash.xxh3_64_intdigest, raw), np.uint64, len(raw)) % np.uint64(buckets)
+        by = np.argsort(bucket, kind="stable")
+        cuts = [0, *(np.flatnonzero(np.diff(bucket[by])) + 1).tolist(), len(by)] if len(by) else [0]
+        for a, b in zip(cuts, cuts[1:]):
+            mine = [raw[k] for k in by[a:b].tolist()]
+            rows.append((piece, int(bucket[by[a]]), None, squeezed(np.array([len(w) for w in mine])), squeezed(np.diff(by[a:b], prepend=0)), zstandard.compress(b"".join(mine), 1)))
+        for at in range(0, len(rows), 64):
+            part = rows[at : at + 64]
+            yield pa.record_batch([pa.array([r[k] for r in part], kind) for k, kind in enumerate(kinds)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "text", PIECE):
-            ids = [np.array(joined.split(",") if joined else [], np.int32) for joined, _ in coder(path, pattern).code(texts_of(piece))]
-            yield pa.record_batch([piece.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+        find = regex.compile(pattern).findall
+
+        def fresh() -> tuple[defaultdict, list, int]:
+            number: defaultdict = defaultdict()
+            number.default_factory = number.__len__  # a new word takes the next number
+            return number, [], 0
+
+        number, held, size = fresh()
+        for part in pieces(batches, "text", PIECE):
+            found = [np.fromiter(map(number.__getitem__, find(t or "")), np.int64) for t in part.column("text").to_pylist()]
+            held.append((part.column("doc_id").to_pylist(), np.array([len(x) for x in found]), np.concatenate(found)))
+            size += part.column("text").nbytes
+            if size >= PIECE:
+                yield from packed(list(number), held)
+                number, held, size = fresh()
+        if held:
+            yield from packed(list(number), held)
+
+    return docs.mapInArrow(run, CUT)
+
+
+def merged_words(cut: DataFrame, path: str) -> DataFrame:
+    """(piece, docs, counts, places, words): for the words of every piece and hash range their counts of ids, their numbers and their ids."""
+
+    def learn(found: pa.Table) -> pa.Table:
+        lengths = [opened(x) for x in found["counts"].to_pylist()]
+        sizes = np.array([len(x) for x in lengths])
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate(lengths), dtype=np.int64)])
+        data = b"".join(map(zstandard.decompress, found["words"].to_pylist()))
+        words = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        ids = replay(words.dictionary.to_pylist(), load_ranks(path))
+        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.int64, count.sum())
+        start, which, rows, at = np.cumsum(count) - count, np.asarray(words.indices), [], 0
+        for size in sizes.tolist():
+            mine = which[at : at + size]
+            rows.append((squeezed(count[mine]), squeezed(flat[stretched(start[mine], count[mine])])))
+            at += size
+        return pa.table([found["piece"], pa.nulls(len(rows), pa.list_(pa.int64())), pa.array([r[0] for r in rows], pa.binary()), found["places"], pa.array([r[1] for r in rows], pa.binary())], names=["piece", "docs", "counts", "places", "words"])
+
+    return cut.filter("bucket is not null").select("bucket", "piece", "counts", "places", "words").groupBy("bucket").applyInArrow(learn, "piece long, docs array<long>, counts binary, places binary, words binary")
+
+
+def stretched(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... (count[0] of them), then those from start[1] on, and so forth."""
+    return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
+def coded(docs: DataFrame, path: str, pattern: str, doc_id: str, text: str, schema: str, finish: Callable[[pa.Array, pa.Array, pa.Array], list[pa.Array]]) -> DataFrame:
+    """``schema`` columns of every row: doc_id, and those that ``finish`` makes of (offsets of the texts' ids, all ids)."""
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    size = texts.select(F.sum(F.octet_length("text"))).head()[0] or 0
+    buckets = max(2 * partitions(docs.sparkSession), ceil(size / RANGE))
+    # A table, so that all takers see the same pieces, also after an executor is lost.
+    cut = written(cut_texts(texts, pattern, buckets))
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def put_together(found: pa.Table) -> pa.Table:
+        rows = found.to_pylist()
+        words = [(np.cumsum(opened(r["places"]), dtype=np.int64), opened(r["counts"]), opened(r["words"])) for r in rows if r["docs"] is None]
+        place, count, flat = (np.concatenate([np.empty(0, np.int64), *x]) for x in (zip(*words) if words else [()] * 3))
+        start_of, count_of = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+        start_of[place], count_of[place] = np.cumsum(count) - count, count
+        out = []
+        for r in rows:
+            if r["docs"] is not None:
+                mine = opened(r["places"])
+                count = count_of[mine]
+                ids = flat[stretched(start_of[mine], count)]
+                ends = np.concatenate([[0], np.cumsum(opened(r["counts"]), dtype=np.int64)])
+                offsets = np.concatenate([[0], np.cumsum(count)])[ends]
+                out.append(pa.record_batch([pa.array(r["docs"], pa.int64()), *finish(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))], names=names))
+        return pa.Table.from_batches(out)
+
+    texts_of = cut.filter("bucket is null").select("piece", "docs", "counts", "places", F.lit(None).cast("binary").alias("words"))
+    return texts_of.unionByName(merged_words(cut, path)).groupBy("piece").applyInArrow(put_together, schema)
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
+
+def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, ids array<int>) of every whole text; null is the empty text, which has no ids. Repeated rows give repeated rows, an empty table an empty one."""
+    return coded(docs, path, pattern, doc_id, text, "doc_id long, ids array<int>", lambda offsets, ids: [pa.ListArray.from_arrays(offsets, ids)])
 
 
 def decode(encoded: DataFrame, path: str, doc_id: str = "doc_id", ids: str = "ids") -> DataFrame:
@@ -174,14 +260,13 @@ def decode(encoded: DataFrame, path: str, doc_id: str = "doc_id", ids: str = "id
     return encoded.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(ids).alias("ids")).mapInArrow(run, "doc_id long, data binary")
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_tokens, ids string joined by commas, data binary decoded from the ids), in one pass; null is the empty text."""
+def round_trip(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", joined: bool = True) -> DataFrame:
+    """(doc_id, n_tokens, ids, data binary decoded from these ids); ``ids`` is a string of decimal ids joined by commas, or an array<int> without ``joined``. Rows as in ``encode``."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches, "text", PIECE):
-            joined, data = zip(*coder(path, pattern).code(texts_of(piece)))
-            counts = [x.count(",") + 1 if x else 0 for x in joined]
-            columns = [pa.array(counts, pa.int64()), pa.array(joined, pa.string()), pa.array(data, pa.binary())]
-            yield pa.record_batch([piece.column("doc_id"), *columns], names=["doc_id", "n_tokens", "ids", "data"])
+    def finish(offsets: pa.Array, ids: pa.Array) -> list[pa.Array]:
+        digits, spelled = spellings(path)
+        listed = lambda values: pa.ListArray.from_arrays(offsets, values)
+        written_out = pc.binary_join(listed(digits.take(ids)), ",") if joined else listed(ids)
+        return [pa.array(np.diff(offsets), pa.int64()), written_out, pc.binary_join(listed(spelled.take(ids)), b"")]
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids string, data binary")
+    return coded(docs, path, pattern, doc_id, text, f"doc_id long, n_tokens long, ids {'string' if joined else 'array<int>'}, data binary", finish)

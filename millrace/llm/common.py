@@ -99,3 +99,13 @@ def spread(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(33))
     x = x * np.uint64(0xC4CEB9FE1A85EC53)
     return x ^ (x >> np.uint64(33))
+
+
+def planes(x: np.ndarray) -> bytes:
+    """The bytes of small integers, plane by plane, which compresses well."""
+    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
+
+
+def unplanes(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).reshape(-1)

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import partitions, pieces, split_words, spread
+from millrace.llm.common import partitions, pieces, planes, split_words, spread, unplanes
 
 #: Odd multipliers of the two polynomials.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -70,16 +70,6 @@ def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(part[:n], part[width - size : width - size + n])
 
 
-def planes(x: np.ndarray) -> bytes:
-    """The bytes of small integers, plane by plane, which compresses well."""
-    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
-
-
-def unplanes(data: bytes, kind: type) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).reshape(-1)
-
-
 def pack(doc: np.ndarray, at: np.ndarray, ids: np.ndarray, marks: np.ndarray) -> bytes:
     """Documents and places of windows that stand in document order."""
     first = np.concatenate([[0], np.flatnonzero(np.diff(doc)) + 1]) if len(doc) else np.empty(0, np.int64)
