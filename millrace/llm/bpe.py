@@ -34,10 +34,12 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import partitions, pieces, planes, unplanes, written
 
-#: Bytes of text in a piece, unless one text has more.
-PIECE = 16 << 20
-#: Bytes of input for each hash range of words; a range then holds about as many words as a piece of that size.
-RANGE = 8 << 20
+#: Bytes of text in a piece, unless one text has more; a larger piece repeats fewer words and takes more memory.
+PIECE = 24 << 20
+#: Bytes of text that are put together at once.
+PART = 2 << 20
+#: Bytes of input for each hash range of words; a range then holds about as many words as pieces of that size do.
+RANGE = 16 << 20
 
 
 @lru_cache(maxsize=1)
@@ -129,7 +131,7 @@ def spellings(path: str) -> tuple[pa.Array, pa.Array]:
 
 
 def squeezed(x: np.ndarray) -> bytes:
-    return zstandard.compress(planes(x.astype(np.uint32)), 1)
+    return zstandard.compress(planes(x.astype(np.uint32)), 6)
 
 
 def opened(data: bytes) -> np.ndarray:
@@ -159,7 +161,7 @@ def cut_texts(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
         cuts = [0, *(np.flatnonzero(np.diff(bucket[by])) + 1).tolist(), len(by)] if len(by) else [0]
         for a, b in zip(cuts, cuts[1:]):
             mine = [raw[k] for k in by[a:b].tolist()]
-            rows.append((piece, int(bucket[by[a]]), None, squeezed(np.array([len(w) for w in mine])), squeezed(np.diff(by[a:b], prepend=0)), zstandard.compress(b"".join(mine), 1)))
+            rows.append((piece, int(bucket[by[a]]), None, squeezed(np.array([len(w) for w in mine])), squeezed(np.diff(by[a:b], prepend=0)), zstandard.compress(b"".join(mine), 9)))
         for at in range(0, len(rows), 64):
             part = rows[at : at + 64]
             yield pa.record_batch([pa.array([r[k] for r in part], kind) for k, kind in enumerate(kinds)], names=names)
@@ -173,10 +175,10 @@ def cut_texts(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
             return number, [], 0
 
         number, held, size = fresh()
-        for part in pieces(batches, "text", PIECE):
-            found = [np.fromiter(map(number.__getitem__, find(t or "")), np.int64) for t in part.column("text").to_pylist()]
+        for part in pieces(batches, "text", PART):
+            found = [np.fromiter(map(number.__getitem__, find(t or "")), np.int32) for t in part.column("text").to_pylist()]
             held.append((part.column("doc_id").to_pylist(), np.array([len(x) for x in found]), np.concatenate(found)))
-            size += part.column("text").nbytes
+            size += pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
             if size >= PIECE:
                 yield from packed(list(number), held)
                 number, held, size = fresh()
