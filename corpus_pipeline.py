@@ -42,9 +42,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, text) of every document: its token ids, and the text decoded from them."""
-    coded = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
-    ids = F.when(F.col("ids") == "", F.array().cast("array<int>")).otherwise(F.split("ids", ",").cast("array<int>"))
-    return coded.select("doc_id", "n_tokens", ids.alias("ids"), F.col("data").cast("string").alias("text"))
+    coded = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, joined=False)
+    return coded.select("doc_id", "n_tokens", "ids", F.col("data").cast("string").alias("text"))
 
 
 STAGES = [
