@@ -13,15 +13,13 @@ from pyspark.sql import functions as F
 
 #: ASCII white space: the separators of words in most contracts.
 SPACE = b" \t\n\x0b\x0c\r"
+#: Tasks over which a hot join key is dealt.
+SALTS = 16
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; set only where the cluster names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = "/tmp/checkpoints/millrace"
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a folder of the warehouse where the cluster names none."""
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/millrace_written"
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -44,6 +42,13 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def salted_join(many: DataFrame, one: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """``many`` joined with ``one``, which has a row for each key, where a key may hold any share of ``many``: its rows are dealt over ``SALTS`` tasks."""
+    salt = unused("salt", many.columns + one.columns)
+    dealt = many.withColumn(salt, F.pmod(F.xxhash64(*many.columns), F.lit(SALTS)).cast("int"))
+    return dealt.join(one.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [*keys, salt], how).drop(salt)
+
+
 def keyed_texts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``doc_id`` (long) and ``text`` under these names; columns that are so already get no alias, which would hide equal shuffles from Spark."""
     plain = docs.schema[doc_id].dataType.simpleString() == "bigint" and (doc_id, text) == ("doc_id", "text")

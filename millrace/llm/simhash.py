@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import as_bytes, dropped, partitions, pieces, spread, unused, written
+from millrace.llm.common import as_bytes, dropped, partitions, pieces, salted_join, spread, unused, written
 
 BITS = 64
 SEED = 42
@@ -32,6 +32,12 @@ SEED = 42
 BANDS, ROWS = 20, 6
 #: Shingles that one comparison takes at once.
 AT_ONCE = 1 << 20
+#: Bytes of text that one task compares with each other; larger groups are compared in blocks.
+BLOCK = 16 << 20
+#: Texts of a large group that every block meets first.
+LEADERS = 16
+#: A value of a start segment is hot from this multiple of the mean on.
+HOT = 16
 
 
 def fingerprint(texts: list[bytes], words: int) -> np.ndarray:
@@ -74,6 +80,12 @@ def fingerprints(rows: DataFrame, words: int = 4) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, text_hash long, fp long")
 
 
+def segments(limit: int) -> list[int]:
+    """Masks of the limit + 1 segments of a fingerprint."""
+    edges = [BITS * k // (limit + 1) for k in range(limit + 2)]
+    return [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
+
+
 def ring(limit: int, chain: int) -> list[tuple[int, list[int], list[tuple[int, int]]]]:
     """For every start segment: its number, the masks of the bits on which linked fingerprints may meet, and the (mask, budget) of every longer chain.
 
@@ -129,13 +141,26 @@ def links(prints: DataFrame, limit: int = 4, chain: int = 3) -> DataFrame:
     ``chain`` (2 to limit + 1) sets how many bits fingerprints must share to
     meet: with five segments 2, 3, 4 and 5 make 10, 25, 70 and 210 rows for each
     fingerprint that meet on 19, 26, 32 and 39 bits. The result is the same.
+    Where a start segment has one value far too often, the longest chain is taken.
     """
-    plan = ring(limit, chain)
     signed = lambda x: x - (1 << 64) if x >> 63 else x
-    tags = [(start, mask) for start, masks, _ in plan for mask in masks]
-    keys = F.array(*(F.struct(F.lit(n).alias("tag"), F.col("fp").bitwiseAND(F.lit(signed(mask))).alias("value")) for n, (_, mask) in enumerate(tags)))
-    met = prints.select("fp", F.inline(keys)).repartition(partitions(prints.sparkSession), "tag", "value").sortWithinPartitions("tag", "value", "fp")
-    budgets = {start: b for start, _, b in plan}
+    bits = lambda mask: F.col("fp").bitwiseAND(F.lit(signed(mask)))
+    plans = [ring(limit, chain), ring(limit, limit + 1)]
+    tags = [(start, mask) for plan in plans for start, masks, _ in plan for mask in masks]
+    budgets = {start: b for start, _, b in plans[0]}
+    # All that may meet from a start has its segment's value there. There are at most 2^13 values of each of five
+    # segments, so their counts are few; where one is hot, as in a large group of near copies, longer chains deal it out.
+    firsts = F.array(*(F.struct(F.lit(start).alias("start"), bits(edge).alias("value")) for start, edge in enumerate(segments(limit))))
+    counted = prints.select(F.inline(firsts)).groupBy("start", "value").agg(F.count("*").alias("n"))
+    mean = F.sum("n").over(Window.partitionBy("start")) / F.lit(float(1 << (BITS // (limit + 1))))
+    hot = sorted(counted.withColumn("mean", mean).filter((F.col("n") > HOT * F.col("mean")) & (F.col("n") > HOT)).select("start", "value").collect())
+    keys = []
+    for start, edge in enumerate(segments(limit)):
+        mine = [v for s, v in hot if s == start]
+        of = lambda plan, first: F.array(*(F.struct(F.lit(n).alias("tag"), bits(mask).alias("value")) for n, (s, mask) in enumerate(tags) if s == start and (n < first) == (plan == 0)))  # noqa: B023,E731
+        short, long = of(0, sum(len(m) for _, m, _ in plans[0])), of(1, sum(len(m) for _, m, _ in plans[0]))
+        keys.append(F.when(bits(edge).isin(mine), long).otherwise(short) if mine else short)
+    met = prints.select("fp", F.inline(F.concat(*keys))).repartition(partitions(prints.sparkSession), "tag", "value").sortWithinPartitions("tag", "value", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = [np.empty(0, np.int64)] * 3
@@ -176,9 +201,9 @@ def components(edges: DataFrame) -> DataFrame:
     if labels.isEmpty():
         return spark.createDataFrame([], "node long, label long")
     while True:
-        near = both.join(labels.select(F.col("node").alias("other"), F.col("label").alias("via")), "other").groupBy("node").agg(F.min("via").alias("via"))
+        near = salted_join(both, labels.select(F.col("node").alias("other"), F.col("label").alias("via")), ["other"]).groupBy("node").agg(F.min("via").alias("via"))
         once = labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "via").alias("label"))
-        twice = once.join(labels.select(F.col("node").alias("label"), F.col("label").alias("jump")), "label", "left")
+        twice = salted_join(once, labels.select(F.col("node").alias("label"), F.col("label").alias("jump")), ["label"], "left")
         after = written(twice.select("node", "was", F.least("label", F.coalesce("jump", "label")).alias("label")))
         dropped(labels)
         if after.filter("label <> was").isEmpty():
@@ -206,8 +231,8 @@ def judged(rows: DataFrame, words: int, limit: int, chain: int) -> DataFrame:
     found = components(links(first.select("fp"), limit, chain)).select(F.col("node").alias("fp"), "label")
     linked = first.join(found, "fp", "left").select("fp", "first", "label")
     whole = linked.filter("label is not null").groupBy("label").agg(F.min("first").alias("smallest"))
-    class_of = linked.join(whole, "label", "left").select("fp", F.coalesce("smallest", "first").alias("row"))
-    return prints.join(class_of, "fp").select("doc_id", "fp", "row")
+    class_of = salted_join(linked, whole, ["label"], "left").select("fp", F.coalesce("smallest", "first").alias("row"))
+    return salted_join(prints, class_of, ["fp"]).select("doc_id", "fp", "row")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 4, limit: int = 4, chain: int = 3) -> DataFrame:
@@ -228,6 +253,7 @@ def sketches(rows: DataFrame, words: int) -> DataFrame:
     r = np.random.default_rng(SEED)
     odd = r.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     plus = r.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+    weigh = r.integers(0, 1 << 63, ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
@@ -237,9 +263,10 @@ def sketches(rows: DataFrame, words: int) -> DataFrame:
                 whole = np.unique(hashes)
                 nodes.append(xxhash.xxh3_64_intdigest(whole.tobytes()))
                 prints.append(simhash_of(hashes))
-                mixed = spread(whole)
-                least = np.array([(mixed * a + b).min() for a, b in zip(odd, plus)], np.uint64) if len(whole) else np.empty(0, np.uint64)
-                bands.append(np.array([xxhash.xxh3_64_intdigest(part.tobytes(), seed=k) for k, part in enumerate(least.reshape(-1, ROWS))], np.uint64).view(np.int64))
+                mixed = spread(whole)[:, None]
+                least = [(mixed[k : k + 4096] * odd + plus).min(axis=0) for k in range(0, len(whole), 4096)]
+                in_band = (np.minimum.reduce(least).reshape(BANDS, ROWS) * weigh).sum(axis=1, dtype=np.uint64) if least else np.empty(0, np.uint64)
+                bands.append(spread(in_band).view(np.int64))
             yield pa.record_batch(
                 [piece.column("doc_id"), piece.column("text_hash"), pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.array(bands, pa.list_(pa.int64()))],
                 names=["doc_id", "text_hash", "node", "fp", "bands"],
@@ -276,30 +303,46 @@ def similar_groups(sets: list[np.ndarray], similarity: float) -> list[int]:
     return group.tolist()
 
 
-def keep_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, limit: int = 4) -> DataFrame:
+def keep_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, similarity: float = 0.8, limit: int = 4, block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` without near copies: one row, with all its columns, of each group linked by texts that share ``similarity`` of their distinct shingles.
 
     Texts meet if their SimHash fingerprints differ in at most ``limit`` bits or
     if they share a band of min-hashes; what meets, directly or over others, is
-    compared exactly, so a chance meeting drops nothing. Each group of meetings
-    is compared in one task. Of a group the smallest doc_id stays, a null one
-    only if there is no other; of several rows with it that of the smallest hash
-    of the text. Null texts and texts without words are copies of each other.
+    compared exactly, so a chance meeting drops nothing. A task compares
+    ``block`` bytes of text or so (see ``classes_of``). Of a group the smallest
+    doc_id stays, a null one only if there is no other; of several rows with it
+    that of the smallest hash of the text. Null texts and texts without words
+    are copies of each other. An empty table stays empty.
     """
     there = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(text).alias("text"))
     rows = written(sketches(there, words))
-    nodes = rows.groupBy("node").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("row"))
-    nodes = written(nodes)
-    prints = written(nodes.groupBy("fp").agg(F.min("node").alias("first")))
+    nodes = written(rows.groupBy("node").agg(F.first("fp").alias("fp"), F.first("bands").alias("bands"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("row")))
+    prints = written(nodes.groupBy("fp").agg(F.min("node").alias("first"), F.count("*").alias("n")))
     of = lambda side: prints.select(F.col("fp").alias(side), F.col("first").alias(f"{side}_node"))
-    close = links(prints.select("fp"), limit).join(of("a"), "a").join(of("b"), "b").select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
-    same = nodes.join(prints, "fp").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    close = salted_join(salted_join(links(prints.select("fp"), limit), of("a"), ["a"]), of("b"), ["b"]).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+    same = salted_join(nodes.select("node", "fp"), prints.filter("n > 1").select("fp", "first"), ["fp"]).select(F.col("node").alias("a"), F.col("first").alias("b"))
     listed = nodes.select("node", F.posexplode("bands").alias("band", "value"))
-    banded = listed.join(listed.groupBy("band", "value").agg(F.min("node").alias("b")), ["band", "value"]).select(F.col("node").alias("a"), "b")
+    shared = listed.groupBy("band", "value").agg(F.min("node").alias("b"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    banded = salted_join(listed, shared, ["band", "value"]).select(F.col("node").alias("a"), "b")
     met = components(close.unionByName(same).unionByName(banded).filter("a <> b").distinct())
     asked = met.join(nodes.select("node", "row.doc_id", "row.text_hash"), "node")
     taken = asked.select("node", "label", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     texts = there.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))).select("node", "label", "text").dropDuplicates(["node"])
+    classes = classes_of(written(texts), words, similarity, block)
+    kept = nodes.select("node", "row").join(classes, "node", "left").groupBy(F.coalesce("class", "node").alias("class")).agg(F.min("row").alias("row"))
+    return first_of(docs, kept.select(F.col("row.doc_id").alias("kept_id"), F.col("row.text_hash").alias("kept_hash")), doc_id, text)
+
+
+def classes_of(texts: DataFrame, words: int, similarity: float, block: int) -> DataFrame:
+    """(node, class): the classes of linked texts among (node, label, text) rows, where only texts of one label can be linked; distinct nodes.
+
+    A label of up to ``block`` bytes is compared in one task. A larger one is
+    dealt into blocks. Each block first meets the label's ``LEADERS``, which
+    joins up what most of a large group of near copies is: the main class. Texts
+    outside it, dealt into blocks again, then meet all blocks of the label. So
+    no link is missed, no task holds more than two blocks, and a group of near
+    copies costs in proportion to its size.
+    """
 
     def compare(table: pa.Table) -> pa.Table:
         node = np.asarray(table.column("node"), dtype=np.int64)
@@ -308,9 +351,36 @@ def keep_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wo
         np.minimum.at(first, group, node)
         return pa.table({"node": node, "class": first[group]})
 
-    classes = texts.groupBy("label").applyInArrow(compare, "node long, class long")
-    kept = nodes.select("node", "row").join(classes, "node", "left").groupBy(F.coalesce("class", "node").alias("class")).agg(F.min("row").alias("row"))
-    return first_of(docs, kept.select(F.col("row.doc_id").alias("kept_id"), F.col("row.text_hash").alias("kept_hash")), doc_id, text)
+    made = "node long, class long"
+    sizes = texts.groupBy("label").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")).alias("size"))
+    large = written(sizes.filter(F.col("size") > block).select("label", F.ceil(F.col("size") / block).cast("int").alias("blocks")))
+    small = texts.join(sizes.filter(F.col("size") <= block), "label", "left_semi").groupBy("label").applyInArrow(compare, made)
+    if large.isEmpty():
+        return small
+    dealt = salted_join(texts, large, ["label"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = written(dealt)
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    place = Window.partitionBy("label").orderBy("node")  # Spark keeps the first rows before the shuffle
+    leaders = dealt.withColumn("place", F.row_number().over(place)).filter(F.col("place") <= LEADERS).select("label", "node", "text", every.alias("block"))
+    met = dealt.select("label", "node", "text", "block").unionByName(leaders).dropDuplicates(["label", "block", "node"])
+    linked = written(met.groupBy("label", "block").applyInArrow(compare, made).filter("node <> class").distinct())
+    classes = nodes_of(dealt, components(linked.select(F.col("node").alias("a"), F.col("class").alias("b"))))
+    main = classes.groupBy("label", "class").agg(F.count("*").alias("n")).groupBy("label").agg(F.max_by("class", F.struct("n", "class")).alias("main"))
+    outside = salted_join(classes, main, ["label"]).filter("class <> main").select("node")
+    others = written(dealt.join(outside, "node", "left_semi"))
+    counts = others.groupBy("label").agg(F.ceil(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")) / block).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("node"), F.greatest("parts", F.lit(1))).cast("int")
+    asking = salted_join(others, counts, ["label"]).select("label", "node", "text", part.alias("part"), every.alias("block"))
+    asked = salted_join(dealt, counts, ["label"]).select("label", "node", "text", F.explode(F.sequence(F.lit(0), F.greatest("parts", F.lit(1)) - 1)).alias("part"), "block")
+    more = asking.unionByName(asked).dropDuplicates(["label", "part", "block", "node"]).groupBy("label", "part", "block").applyInArrow(compare, made).filter("node <> class")
+    both = linked.unionByName(more).distinct()
+    whole = components(both.select(F.col("node").alias("a"), F.col("class").alias("b")))
+    return small.unionByName(nodes_of(dealt, whole).select("node", "class"))
+
+
+def nodes_of(dealt: DataFrame, found: DataFrame) -> DataFrame:
+    """(label, node, class) of all nodes; one without a link is a class of its own."""
+    return dealt.select("label", "node").join(found.select("node", F.col("label").alias("class")), "node", "left").select("label", "node", F.coalesce("class", "node").alias("class"))
 
 
 def first_of(docs: DataFrame, kept: DataFrame, doc_id: str, text: str) -> DataFrame:

@@ -86,3 +86,51 @@ def test_alignment_does_not_depend_on_the_corpus(spark):
         got = {x.doc_id: round(x.score, 9) for x in decontam.contaminated(frame, spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")).collect()}
         assert got == {n: round(plain_align(item, docs[n]) / 48, 9) for n in (0, 1)}
         assert min(got.values()) >= decontam.THRESHOLD
+
+
+def test_large_groups_are_compared_in_blocks(spark):
+    """Groups of near copies far larger than a block, a chain that only texts outside the main class close, and texts that merely meet: classes equal those of all pairs."""
+    r = np.random.default_rng(15)
+    rows = []
+    for label in (1, 2, 3):
+        base = [f"b{label}_{k}" for k in range(120)]
+        for _ in range(60):
+            rows.append((label, " ".join(edited(r, base, int(r.integers(1, 4))))))
+        for _ in range(6):  # far from the base, near to its own copy
+            other = edited(r, base, 40)
+            rows += [(label, " ".join(other)), (label, " ".join(edited(r, other, 1)))]
+        step = list(base)  # a chain that leads away from the base
+        for k in range(10):
+            step = edited(r, step, 2)
+            rows.append((label, " ".join(step)))
+    rows.append((4, "alone"))
+    frame = spark.createDataFrame([(n, label, t) for n, (label, t) in enumerate(rows)], "node long, label long, text string").repartition(3)
+    plain = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if rows[a][0] == rows[b][0] and plain[a] != plain[b] and rows[a][1] != "alone" and share(rows[a][1], rows[b][1]) >= 0.8:
+                plain = [plain[b] if g == plain[a] else g for g in plain]
+    for block in (1 << 30, 6000):
+        got = {x.node: x["class"] for x in simhash.classes_of(frame, 5, 0.8, block).collect()}
+        assert len(got) == len(rows)
+        assert [[got[a] == got[b] for a in got] for b in got] == [[plain[a] == plain[b] for a in got] for b in got]
+    assert 3 * 3 < len(set(plain)) < len(rows) / 2
+
+
+def test_hot_segments_take_longer_chains(spark):
+    """A ball of fingerprints around one centre: components equal those of all pairs."""
+    from tests.llm.test_contracts import plain_components
+
+    r = np.random.default_rng(16)
+    prints = {int(r.integers(0, 1 << 63)) for _ in range(200)}
+    centre = int(r.integers(0, 1 << 63))
+    for _ in range(400):
+        x = centre
+        for b in r.choice(63, size=int(r.integers(1, 9)), replace=False):
+            x ^= 1 << int(b)
+        prints.add(x)
+    prints = sorted(prints)
+    wanted = plain_components(dict(enumerate(prints)), 4)
+    label = {x.node: x.label for x in simhash.components(simhash.links(spark.createDataFrame([(p,) for p in prints], "fp long"))).collect()}
+    got = [label.get(p, p) for p in prints]
+    assert [[a == b for a in got] for b in got] == [[wanted[a] == wanted[b] for a in range(len(prints))] for b in range(len(prints))]
