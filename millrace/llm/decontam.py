@@ -25,14 +25,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import pieces, split_words, unused
+from millrace.llm.common import pieces, split_words, unused, written
 
 #: Scores of the alignment, for a match, a mismatch and a word left out on either side.
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Contaminated from this share of an item's best possible score.
 THRESHOLD = 0.5
-#: Words of items that one pass holds in every task.
-BLOCK_WORDS = 1 << 22
+#: Words of items that one pass holds in every task: with their index some 60 bytes each, so 60 MB are broadcast at most, unless one item has more.
+BLOCK_WORDS = 1 << 20
+#: Contaminated rows of 16 bytes that are broadcast to find the clean ones; more are joined by a shuffle.
+BROADCAST_ROWS = 1 << 20
 #: Hits of seeds that are sorted at once, unless one document has more.
 HITS = 1 << 21
 
@@ -203,6 +205,8 @@ def remove_contaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "do
     """The rows of ``docs``, with all their columns, that align with no item. A row is known by its id and its text, so each is judged by its own alignments."""
     found = alignments(docs, benchmark, doc_id, text, item_id, item_text, threshold)
     bad = found.select(F.col("doc_id").alias(unused("_bad_id", docs.columns)), F.col("text_hash").alias(unused("_bad_hash", docs.columns))).distinct()
+    bad = written(bad)
+    bad = F.broadcast(bad) if bad.count() <= BROADCAST_ROWS else bad
     hashed = unused("text_hash", docs.columns)
     mine = docs.withColumn(hashed, F.xxhash64(text))
     return mine.join(bad, mine[doc_id].cast("long").eqNullSafe(bad[bad.columns[0]]) & (mine[hashed] == bad[bad.columns[1]]), "left_anti").drop(hashed)

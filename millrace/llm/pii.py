@@ -25,12 +25,12 @@ from millrace.llm.common import pieces
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 
-#: Tokens in the longest segment that is scored.
-MAX_TOKENS = 14
+#: Tokens in the longest segment that is scored, white space and signs included; the field adds no longer span.
+MAX_TOKENS = 24
 #: Most regions of the corpus that training takes.
 TRAIN_REGIONS = 300
 #: Generated sentences that training takes besides.
-GENERATED = 150
+GENERATED = 300
 #: Code points of context on either side of what may be personal data.
 CONTEXT = 40
 
@@ -40,9 +40,11 @@ LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 FOUR = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 DIGITS = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-NUMBER = re.compile(r"[0-9][0-9().\x20+-]{5,}[0-9]")
+NUMBER = re.compile(r"[0-9][0-9()./\x20+-]{5,}[0-9]")
+JOINED_BEFORE, JOINED_AFTER = re.compile(r"[0-9][ ./-]\Z"), re.compile(r"[ ./-][0-9]")
+CODED = re.compile(r"(?:[A-Za-z][0-9]+|[0-9]+[A-Za-z])[0-9A-Za-z]*[ -]?\Z")
 BRACKETED = re.compile(r"[(\[]\s?at\s?[)\]]")
-SPELLED = re.compile(r" at \S{1,64} dot ")
+SPELLED = re.compile(r" at \S++ dot ")
 TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|\s+|.", re.S)
 
 
@@ -94,18 +96,19 @@ CUES = {
     "phone": {"tel", "phone", "call", "fax", "mobile", "telefon", "telefono", "anruf", "appel"},
 }
 STRICT_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}")
+TRUNK = re.compile(r"0[0-9]{1,4}(?:[ ./-][0-9]{2,8}){1,5}")
 SPOKEN_EMAIL = re.compile(r"[\w.+-]+\s?[(\[]\s?at\s?[)\]]\s?[\w-]+(?:(?:\.|\s?[(\[]\s?dot\s?[)\]]\s?)[\w-]+)+|[\w.+-]+ at [\w-]+(?: dot [\w-]+)+")
 AREA = re.compile(r"(?:\+?[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}")
 GROUPS = re.compile(r"(?:\+?[0-9]{1,3}[ .-])?[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4}")
 FOURS = re.compile(r"[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}")
-N_FEATURES = 9
+N_FEATURES = 11
 
 
-def features(kind: str, span: str, left: str, right: str, cues: set[str]) -> list[float]:
-    """Features of a whole span as one kind; ``left`` and ``right`` are the characters at its edges."""
+def features(kind: str, span: str, left: str, right: str, cues: set[str], goes_on: bool, coded: bool) -> list[float]:
+    """Features of a whole span as one kind; ``left`` and ``right`` are the characters at its edges, ``goes_on`` tells of digits beyond one space, dot or hyphen, ``coded`` of a word with letters and digits just before."""
     digits = only_digits(span)
     n = len(digits)
-    out = [1.0, float(not (left.isalnum() or left in "_@")), float(not (right.isalnum() or right in "_@")), float(bool(cues & CUES[kind]))]
+    out = [1.0, float(not (left.isalnum() or left in "_@")), float(not (right.isalnum() or right in "_@")), float(bool(cues & CUES[kind])), float(goes_on), float(coded)]
     if kind == "email":
         strict = bool(STRICT_EMAIL.fullmatch(span))
         out += [float(strict), float(not strict), float(len(span) > 60), float(left in ".+-%"), 0.0]
@@ -114,11 +117,11 @@ def features(kind: str, span: str, left: str, right: str, cues: set[str]) -> lis
         out += [float(four and octets(span)), float(four and not octets(span)), float(not four), float(left == "." or right == "."), 0.0]
     elif kind == "card":
         sized = 13 <= n <= 19
-        sure = sized and luhn(digits)
+        sure = sized and luhn(digits) and not goes_on
         out += [float(sure), float(sized and not sure), float(not sized), float(bool(FOURS.fullmatch(span)) and sure), float(not sure and any(c in span for c in "+()."))]
     else:
         sized = 9 <= n <= 15
-        shaped = bool(AREA.fullmatch(span) or GROUPS.fullmatch(span))
+        shaped = bool(AREA.fullmatch(span) or GROUPS.fullmatch(span) or TRUNK.fullmatch(span)) and not goes_on
         out += [float(sized and span[0] == "+"), float(sized and shaped and span[0] != "+"), float(not sized), float(span == digits), float(not shaped and span[0] != "+")]
     return out
 
@@ -143,12 +146,14 @@ class Region:
                 continue
             cues = {w for w in words[max(0, i - 6) : i] if w.isalpha()}
             left = text[self.at[i] - 1] if self.at[i] else " "
+            coded = bool(CODED.search(text, max(0, self.at[i] - 8), self.at[i]))
+            digit_before = bool(JOINED_BEFORE.search(text, max(0, self.at[i] - 2), self.at[i]))
             numeric, digits, dots, ats = True, 0, 0, 0
             for j in range(i + 1, min(self.n, i + MAX_TOKENS) + 1):
                 k = kind[j - 1]
                 if tokens[j - 1] == "\n" or "\n" in tokens[j - 1]:
                     break
-                numeric &= k in "ds.()+-"
+                numeric &= k in "ds.()+-/"
                 digits += len(tokens[j - 1]) if k == "d" else 0
                 dots += k == "."
                 ats += loud[j - 1]
@@ -167,7 +172,7 @@ class Region:
                     if 7 <= digits <= 15:
                         found.append("phone")
                 for label in found:
-                    self.segments.append((i, j, LABELS.index(label), features(label, span, left, right, cues)))
+                    self.segments.append((i, j, LABELS.index(label), features(label, span, left, right, cues, digit_before or bool(JOINED_AFTER.match(text, self.at[j])), coded)))
 
     def gold(self, spans: list[tuple[str, int, int]]) -> dict[tuple[int, int], int]:
         """Token ranges of given spans; of spans that overlap the first stays."""
@@ -281,7 +286,7 @@ def generated(n: int, seed: int) -> list[tuple[str, list[tuple[str, int, int]]]]
         kind = r.choice((*KINDS, *KINDS, None))
         if kind == "email":
             name, host, end = word() + r.choice(("", ".", "_")) + word(), word() + r.choice(("", digits(1))), r.choice(("com", "org", "net", "de"))
-            return r.choice((f"{name}@{host}.{end}", f"{name}@{host}.example.{end}", f"{word()} (at) {host} (dot) {end}", f"{word()} at {host} dot {end}", f"{word()}[at]{host}.{end}")), kind
+            return r.choice((f"{name}@{host}.{end}", f"{name}@{host}.example.{end}", f"{word()} (at) {host} (dot) {end}", f"{name} at {host} dot {end}", f"{word()}[at]{host}.{end}", f"{name} (at) {host} (dot) {end}", f"{name} at {word()} dot {host} dot {end}")), kind
         if kind == "ip":
             return ".".join(str(r.randint(0, 255)) for _ in range(4)), kind
         if kind == "card":
@@ -289,9 +294,9 @@ def generated(n: int, seed: int) -> list[tuple[str, list[tuple[str, int, int]]]]
             return r.choice((c, " ".join(c[k : k + 4] for k in range(0, 16, 4)), "-".join(c[k : k + 4] for k in range(0, 16, 4)))), kind
         if kind == "phone":
             a, b, c = digits(3), digits(3), digits(4)
-            return r.choice((f"+1 ({a}) {b}-{c}", f"+{r.randint(20, 99)} {a} {b}{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a} {b} {c}")), kind
+            return r.choice((f"+1 ({a}) {b}-{c}", f"+{r.randint(20, 99)} {a} {b}{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a} {b} {c}", f"0{digits(2)} {digits(6)}", f"0{digits(2)} {digits(5)} {digits(2)}", f"0{digits(3)}/{digits(6)}", "0" + r.choice("1234567") + "".join(f" {digits(2)}" for _ in range(4)))), kind
         spoiled = "".join((c := card())[:-1]) + str((int(c[-1]) + 5) % 10)
-        return r.choice((spoiled, digits(r.randint(5, 8)), f"{digits(4)}-{digits(2)}-{digits(2)}", f"{digits(3)}.{r.randint(256, 999)}.{digits(2)}.{digits(1)}", f"{word()} at {word()}", f"{digits(2)} {digits(2)} {digits(2)}", f"{digits(24)}")), None
+        return r.choice((spoiled, digits(r.randint(5, 8)), f"{digits(4)}-{digits(2)}-{digits(2)}", f"{digits(3)}.{r.randint(256, 999)}.{digits(2)}.{digits(1)}", f"{word()} at {word()}", f"{digits(2)} {digits(2)} {digits(2)}", f"{digits(24)}", f"{r.choice(('DE', 'FR', 'GB'))}{digits(2)}" + "".join(f" {digits(4)}" for _ in range(4)) + f" {digits(2)}", f"{digits(2)}.{digits(2)}.{digits(4)}", f"v{digits(1)}.{digits(2)}.{digits(2)}", f"{digits(4)}:{digits(2)}", f"{digits(3)}-{digits(1)}-{digits(2)}-{digits(6)}-{digits(1)}")), None
 
     out = []
     for _ in range(n):
@@ -332,16 +337,18 @@ def field_spans(text: str, field: Field) -> list[tuple[str, int, int]]:
     out, regions = [], []
     for start, stop in sorted(triggers(text)):
         start, stop = max(0, start - CONTEXT), min(len(text), stop + CONTEXT)
-        if regions and start < regions[-1][1]:
-            regions[-1][1] = max(regions[-1][1], stop)
+        # Whole words only, or an edge would look like a span's end. What a region before has taken is not walked again.
+        floor = regions[-1][1] if regions else 0
+        while start > floor and text[start].isalnum() and text[start - 1].isalnum():
+            start -= 1
+        stop = max(stop, floor)
+        while floor < stop < len(text) and text[stop].isalnum() and text[stop - 1].isalnum():
+            stop += 1
+        if regions and start <= floor:
+            regions[-1][1] = stop
         else:
             regions.append([start, stop])
     for a, b in regions:
-        # Whole words only, or an edge would look like a span's end.
-        while a > 0 and text[a].isalnum() and text[a - 1].isalnum() and a > b - 4096:
-            a -= 1
-        while b < len(text) and text[b].isalnum() and text[b - 1].isalnum() and b < a + 65536:
-            b += 1
         out += field.best(Region(text, a, b))
     return out
 
@@ -367,7 +374,9 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", field: Fie
     """(doc_id, base, spans) of every row: arrays of (kind, begin, end) in code points, ordered by kind and begin.
 
     Whole texts are searched, in one scan without a shuffle. A null text has no
-    spans. Repeated rows give repeated rows.
+    spans. Repeated rows give repeated rows, an empty table an empty one. Spans
+    of the base patterns have any length; those of the field have at most
+    ``MAX_TOKENS`` tokens.
     """
     field = field or train(docs, text)
 

@@ -30,12 +30,20 @@ SYMBOLS = b"#*$%&|<>"
 class Texts:
     """A batch of texts; what several rules need is computed once, when first asked for."""
 
-    def __init__(self, column: pa.Array):
-        self.column, self.texts, self._known = column, as_bytes(column), {}
+    def __init__(self, column: pa.Array, texts: list[bytes] | None = None):
+        self.column, self.texts, self._known = column, as_bytes(column) if texts is None else texts, {}
 
     def __len__(self) -> int:
         return len(self.texts)
 
+    def only(self, places: np.ndarray) -> Texts:
+        """The texts at these places, with every count that is known of them; words and offsets would have to be cut anew."""
+        if len(places) == len(self):
+            return self
+        out = Texts(self.column.take(pa.array(places)), [self.texts[k] for k in places.tolist()])
+        out._known = {name: tuple(x[places] for x in known) if isinstance(known, tuple) else known[places] for name, known in self._known.items() if name != "words"}
+        return out
+
     def _once(self, name: str, make: Callable):
         if name not in self._known:
             self._known[name] = make()
@@ -161,16 +169,15 @@ def sampled(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS, seed:
 def cascade(sample: pa.Array, rules: dict[str, Callable] = RULES) -> list[tuple[str, float, float]]:
     """(rule, seconds a text, share rejected), ordered by rejections per second.
 
-    Greedy: after a rule is chosen, the others' shares are those among the texts
-    that it leaves, and words or lines it has computed are free for them. An
-    empty sample keeps the given order.
+    Greedy: after a rule is chosen, the others are measured on the texts that it
+    leaves, where what it has counted is known and costs nothing, as in
+    ``passes``. An empty sample keeps the given order.
     """
-    column, left, plan = sample, dict(rules), []
-    texts = Texts(column)
+    texts, left, plan = Texts(sample), dict(rules), []
     while left:
         seen = {}
         for name, rule in left.items():
-            trial = Texts(column)
+            trial = Texts(texts.column, texts.texts)
             trial._known = dict(texts._known)
             began = time.perf_counter()
             rejected = rule(trial)
@@ -180,21 +187,24 @@ def cascade(sample: pa.Array, rules: dict[str, Callable] = RULES) -> list[tuple[
         _, cost, rejected, trial = seen[name]
         plan.append((name, cost, float(rejected.mean()) if len(trial) else 0.0))
         del left[name]
-        column = column.filter(pa.array(~rejected))
-        texts = Texts(column)
+        texts = trial.only(np.flatnonzero(~rejected))
     return plan
 
 
-def passes(column: pa.Array, order: list[str], rules: dict[str, Callable] = RULES) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each text passes all rules, and the place in ``order`` of the rule that rejected it (-1: none)."""
-    alive, by = np.arange(len(column)), np.full(len(column), -1, dtype=np.int32)
+def passes(texts: Texts, order: list[str], rules: dict[str, Callable] = RULES) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each text passes all rules, and the place in ``order`` of the rule that rejected it (-1: none).
+
+    A rule sees only what all before it passed, and what they or the caller have
+    counted is not counted again.
+    """
+    alive, by = np.arange(len(texts)), np.full(len(texts), -1, dtype=np.int32)
     for place, name in enumerate(order):
         if not len(alive):
             break
-        texts = Texts(column if len(alive) == len(column) else column.take(pa.array(alive)))
         rejected = rules[name](texts)
         by[alive[rejected]] = place
-        alive = alive[~rejected]
+        left = np.flatnonzero(~rejected)
+        alive, texts = alive[left], texts.only(left)
     return by < 0, by
 
 
@@ -213,7 +223,7 @@ def filter_quality(docs: DataFrame, text: str = "text", rules: dict[str, Callabl
             names = names or batch.schema.names
             # Names may clash among the extra columns; the text goes by its place.
             for piece in pieces([batch], batch.schema.field(place).name):
-                kept, _ = passes(piece.column(place), order, rules)
+                kept, _ = passes(Texts(piece.column(place)), order, rules)
                 yield piece.filter(pa.array(kept))
 
     return docs.mapInArrow(run, docs.schema)
@@ -235,13 +245,14 @@ def quality_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         for piece in pieces(batches, "text"):
             x = Texts(piece.column("text"))
             failed = too_short(x) | repeats_itself(x)
+            # All counts are part of the report, so the cascade finds them known.
+            counts = [x.n_words(), x.word_chars(), x.n_symbols(), x.lines()[1], x.n_repeat_words()]
             alive = np.flatnonzero(~failed)
-            kept, by = passes(x.column.take(pa.array(alive)), order, rules)
+            kept, by = passes(x.only(alive), order, rules)
             verdict, names = np.zeros(len(x), dtype=bool), np.where(failed, "base", None).astype(object)
             verdict[alive[kept]] = True
             for i, place in zip(alive[~kept], by[~kept]):
                 names[i] = order[place]
-            counts = [x.n_words(), x.word_chars(), x.n_symbols(), x.lines()[1], x.n_repeat_words()]
             yield pa.record_batch([piece.column("doc_id"), *map(pa.array, counts), pa.array(failed), pa.array(verdict), pa.array(names, pa.string())], names=schema_names)
 
     schema_names = [x.split()[0] for x in schema.split(", ")]
