@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import partitions, pieces, planes, unplanes, written
+from millrace.llm.common import bucketed, partitions, pieces, planes, unplanes
 
 #: Bytes of text in a piece, unless one text has more; a larger piece repeats fewer words and takes more memory.
 PIECE = 24 << 20
@@ -189,7 +189,7 @@ def cut_texts(docs: DataFrame, pattern: str, buckets: int) -> DataFrame:
 
 
 def merged_words(cut: DataFrame, path: str) -> DataFrame:
-    """(piece, docs, counts, places, words): for the words of every piece and hash range their counts of ids, their numbers and their ids."""
+    """(piece, counts, places, words): for the words of every piece and hash range their counts of ids, their numbers and their ids."""
 
     def learn(found: pa.Table) -> pa.Table:
         lengths = [opened(x) for x in found["counts"].to_pylist()]
@@ -205,9 +205,9 @@ def merged_words(cut: DataFrame, path: str) -> DataFrame:
             mine = which[at : at + size]
             rows.append((squeezed(count[mine]), squeezed(flat[stretched(start[mine], count[mine])])))
             at += size
-        return pa.table([found["piece"], pa.nulls(len(rows), pa.list_(pa.int64())), pa.array([r[0] for r in rows], pa.binary()), found["places"], pa.array([r[1] for r in rows], pa.binary())], names=["piece", "docs", "counts", "places", "words"])
+        return pa.table([found["piece"], pa.array([r[0] for r in rows], pa.binary()), found["places"], pa.array([r[1] for r in rows], pa.binary())], names=["piece", "counts", "places", "words"])
 
-    return cut.filter("bucket is not null").select("bucket", "piece", "counts", "places", "words").groupBy("bucket").applyInArrow(learn, "piece long, docs array<long>, counts binary, places binary, words binary")
+    return cut.filter("bucket is not null").select("bucket", "piece", "counts", "places", "words").groupBy("bucket").applyInArrow(learn, "piece long, counts binary, places binary, words binary")
 
 
 def stretched(start: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -220,29 +220,27 @@ def coded(docs: DataFrame, path: str, pattern: str, doc_id: str, text: str, sche
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     size = texts.select(F.sum(F.octet_length("text"))).head()[0] or 0
     buckets = max(2 * partitions(docs.sparkSession), ceil(size / RANGE))
-    # A table, so that all takers see the same pieces, also after an executor is lost.
-    cut = written(cut_texts(texts, pattern, buckets))
+    # A table, so that all takers see the same pieces, also after an executor is lost; its texts need no shuffle to meet their words.
+    cut = bucketed(cut_texts(texts, pattern, buckets), "piece")
     names = [x.split()[0] for x in schema.split(", ")]
 
-    def put_together(found: pa.Table) -> pa.Table:
-        rows = found.to_pylist()
-        words = [(np.cumsum(opened(r["places"]), dtype=np.int64), opened(r["counts"]), opened(r["words"])) for r in rows if r["docs"] is None]
+    def put_together(texts: pa.Table, found: pa.Table) -> pa.Table:
+        words = [(np.cumsum(opened(r["places"]), dtype=np.int64), opened(r["counts"]), opened(r["words"])) for r in found.to_pylist()]
         place, count, flat = (np.concatenate([np.empty(0, np.int64), *x]) for x in (zip(*words) if words else [()] * 3))
         start_of, count_of = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
         start_of[place], count_of[place] = np.cumsum(count) - count, count
         out = []
-        for r in rows:
-            if r["docs"] is not None:
-                mine = opened(r["places"])
-                count = count_of[mine]
-                ids = flat[stretched(start_of[mine], count)]
-                ends = np.concatenate([[0], np.cumsum(opened(r["counts"]), dtype=np.int64)])
-                offsets = np.concatenate([[0], np.cumsum(count)])[ends]
-                out.append(pa.record_batch([pa.array(r["docs"], pa.int64()), *finish(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))], names=names))
+        for r in texts.to_pylist():
+            mine = opened(r["places"])
+            count = count_of[mine]
+            ids = flat[stretched(start_of[mine], count)]
+            ends = np.concatenate([[0], np.cumsum(opened(r["counts"]), dtype=np.int64)])
+            offsets = np.concatenate([[0], np.cumsum(count)])[ends]
+            out.append(pa.record_batch([pa.array(r["docs"], pa.int64()), *finish(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))], names=names))
         return pa.Table.from_batches(out)
 
-    texts_of = cut.filter("bucket is null").select("piece", "docs", "counts", "places", F.lit(None).cast("binary").alias("words"))
-    return texts_of.unionByName(merged_words(cut, path)).groupBy("piece").applyInArrow(put_together, schema)
+    texts_of = cut.filter("bucket is null").select("piece", "docs", "counts", "places")
+    return texts_of.groupBy("piece").cogroup(merged_words(cut, path).groupBy("piece")).applyInArrow(put_together, schema)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -30,6 +30,14 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """As ``written``, in buckets by ``key``, so that grouping by it later shuffles nothing."""
+    spark = df.sparkSession
+    name = f"millrace_{uuid.uuid4().hex}"
+    df.write.bucketBy(partitions(spark), key).option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
+    return spark.table(name)
+
+
 def dropped(*frames: DataFrame) -> None:
     """Delete the files of tables made by ``written`` that no later step reads."""
     for df in frames:

@@ -152,8 +152,8 @@ def links(prints: DataFrame, limit: int = 4, chain: int = 3) -> DataFrame:
     # segments, so their counts are few; where one is hot, as in a large group of near copies, longer chains deal it out.
     firsts = F.array(*(F.struct(F.lit(start).alias("start"), bits(edge).alias("value")) for start, edge in enumerate(segments(limit))))
     counted = prints.select(F.inline(firsts)).groupBy("start", "value").agg(F.count("*").alias("n"))
-    mean = F.sum("n").over(Window.partitionBy("start")) / F.lit(float(1 << (BITS // (limit + 1))))
-    hot = sorted(counted.withColumn("mean", mean).filter((F.col("n") > HOT * F.col("mean")) & (F.col("n") > HOT)).select("start", "value").collect())
+    mean = max(1, prints.count() >> (BITS // (limit + 1)))
+    hot = sorted(counted.filter(F.col("n") > HOT * mean).select("start", "value").collect())
     keys = []
     for start, edge in enumerate(segments(limit)):
         mine = [v for s, v in hot if s == start]
@@ -324,7 +324,10 @@ def keep_similar(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wo
     listed = nodes.select("node", F.posexplode("bands").alias("band", "value"))
     shared = listed.groupBy("band", "value").agg(F.min("node").alias("b"), F.count("*").alias("n")).filter("n > 1").drop("n")
     banded = salted_join(listed, shared, ["band", "value"]).select(F.col("node").alias("a"), "b")
-    met = components(close.unionByName(same).unionByName(banded).filter("a <> b").distinct())
+    # A node's up to 21 meetings all join its smallest one; the others need be linked to that one only, which copies have in common.
+    stars = same.unionByName(banded).groupBy("a").agg(F.array_sort(F.collect_set("b")).alias("met"))
+    hubs = F.transform("met", lambda b: F.struct(F.when(b == F.col("met")[0], F.col("a")).otherwise(F.col("met")[0]).alias("a"), b.alias("b")))
+    met = components(close.unionByName(stars.select(F.inline(hubs))).filter("a <> b").distinct())
     asked = met.join(nodes.select("node", "row.doc_id", "row.text_hash"), "node")
     taken = asked.select("node", "label", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     texts = there.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))).select("node", "label", "text").dropDuplicates(["node"])
