@@ -33,20 +33,6 @@ def canonical(url: Column) -> Column:
     return F.concat(scheme, F.lit("://"), authority(url), path(url), F.when(query == "", F.lit("")).otherwise(F.concat(F.lit("?"), query)))
 
 
-def resolve(base: Column, href: Column) -> Column:
-    """An absolute URL for hrefs that are absolute, start with one or two slashes, or are a fragment or query; null for any other (see ``operators.crawl.resolved`` for those)."""
-    scheme = F.regexp_extract(base, r"\A([A-Za-z][A-Za-z0-9+.\-]*)://", 1)
-    root = F.concat(scheme, F.lit("://"), authority(base))
-    bare = F.regexp_replace(base, r"#.*\z", "")
-    return (
-        F.when(href.rlike(r"\A[A-Za-z][A-Za-z0-9+.\-]*:"), href)
-        .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
-        .when(href.startswith("/"), F.concat(root, href))
-        .when((href == "") | href.startswith("#"), F.concat(bare, href))
-        .when(href.startswith("?"), F.concat(F.regexp_replace(bare, r"\?.*\z", ""), href))
-    )
-
-
 def file_name(url: Column) -> Column:
     """Domain and path of a URL as one Markdown file name; query and fragment don't count."""
     trimmed = F.regexp_replace(path(url), r"\A/+|/+\z", "")

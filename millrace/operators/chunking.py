@@ -15,10 +15,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import lines, stem, strip, word_count
+from millrace.operators.frontmatter import yaml_block
 
 #: What a splitter gives for each chunk beside its key and number.
-FIELDS = [("start", pa.int32()), ("text", pa.string()), ("section_path", pa.list_(pa.string())), ("section_headers", pa.map_(pa.string(), pa.string()))]
-DDL = "start int, text string, section_path array<string>, section_headers map<string,string>"
+FIELDS = [("start", pa.int32()), ("text", pa.string()), ("section_path", pa.list_(pa.string())), ("section_headers", pa.map_(pa.string(), pa.string())), ("total_chunks", pa.int32())]
+DDL = "start int, text string, section_path array<string>, section_headers map<string,string>, total_chunks int"
 #: Texts of one output batch.
 BATCH = 256
 
@@ -100,7 +101,7 @@ def exploded(docs: DataFrame, key: str, text: str, splitter) -> DataFrame:
             for at in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(at, BATCH)
                 made = [splitter.chunks(t or "") for t in batch.column(1).to_pylist()]
-                rows = [c for chunks in made for c in chunks]
+                rows = [c | {"total_chunks": len(chunks)} for chunks in made for c in chunks]
                 source = pa.array([n for n, chunks in enumerate(made) for _ in chunks], pa.int64())
                 index = pa.array([k for chunks in made for k in range(len(chunks))], pa.int32())
                 columns = [pa.array([c[name] for c in rows], kind) for name, kind in FIELDS]
@@ -148,13 +149,14 @@ def chunk_metadata(chunks: DataFrame, source_file: Column, size: int = 1200, ove
     """The chunk table: ``chunks`` with the thirteen fields of its front matter.
 
     ``chunk_id`` is a hash of file and index, so runs agree; ``created_at`` is given by the caller.
+    The splitters know how many chunks a file has; only chunks without ``total_chunks`` are counted by a shuffle.
     """
     names = {"smart": "SmartHeaderTextSplitter", "legacy": "MarkdownHeaderTextSplitter+MarkdownTextSplitter"}
     filed = chunks.withColumn("source_file", source_file)
     return filed.withColumns(
         {
             "chunk_id": F.sha2(F.concat_ws("#", "source_file", F.col("chunk_index").cast("string")), 256),
-            "chunk_created_at": F.lit(created_at), "total_chunks": F.count("*").over(Window.partitionBy("source_file")),
+            "chunk_created_at": F.lit(created_at), **({} if "total_chunks" in chunks.columns else {"total_chunks": F.count("*").over(Window.partitionBy("source_file")).cast("int")}),
             "section_level": F.size("section_path"), "char_count": F.length("text").cast("long"), "word_count": word_count(F.col("text")),
             "splitter": F.lit(names.get(strategy, strategy)), "chunk_size": F.lit(size), "chunk_overlap": F.lit(overlap), "chunk_file": output_name(F.col("source_file"), F.col("chunk_index")),
         }
@@ -166,6 +168,23 @@ def output_name(source_file: Column, index: Column) -> Column:
     return F.concat(stem(F.substring_index(source_file, "/", -1)), F.format_string("_%04d.md", index))
 
 
+def chunk_documents(filed: DataFrame, original: Column | None = None) -> DataFrame:
+    """(chunk_file, text): every row of ``chunk_metadata`` as a Markdown document, thirteen fields of front matter and the body.
+
+    ``original`` is a JSON object with the source document's own front matter, whose fields stand first unless a chunk field replaces them.
+    """
+    fields = [
+        "chunk_id", "chunk_created_at", "source_file", "chunk_index", "total_chunks", "section_path", "section_level", "section_headers",
+        "char_count", "word_count", "splitter", "chunk_size", "chunk_overlap",
+    ]
+    own = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    if original is None:
+        return filed.select("chunk_file", F.concat(yaml_block(own), F.lit("\n"), "text", F.lit("\n")).alias("text"))
+    known = F.map_filter(F.from_json(original, "map<string,string>"), lambda k, _: ~k.isin(fields))
+    first = F.when(F.size(known) > 0, F.concat(F.rtrim(F.to_json(known), F.lit("}")), F.lit(","), F.substring(own, 2, 2_000_000_000))).otherwise(own)
+    return filed.select("chunk_file", F.concat(yaml_block(first), F.lit("\n"), "text", F.lit("\n")).alias("text"))
+
+
 def header_list(given: str) -> list[tuple[str, str]]:
     """``"#,##"`` as [("#", "h1"), ("##", "h2")]; anything but hashes is an error."""
     marks = [x.strip() for x in given.split(",") if x.strip()]

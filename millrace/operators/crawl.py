@@ -2,61 +2,63 @@
 
 from __future__ import annotations
 
-import uuid
+import re
 from collections.abc import Iterator, Sequence
-from urllib.parse import urljoin
+from html import unescape
+from urllib.parse import urljoin, urlparse
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
+from millrace.functions.tables import written
 from millrace.functions.text import matches_any
-from millrace.functions.urls import canonical, resolve, same_domain
 
-HREF = r"""(?is)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# What holds no tags: comments, declarations, scripts and styles.
+HIDDEN = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\Z)")
+# An opening tag with its attributes; quoted values are units, so a ``>`` inside them ends nothing.
+ANCHOR = re.compile(r"""(?i)<a(?=[\s/>])((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
 
 
-@F.pandas_udf(StringType())
-def joined_url(pairs: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """An href resolved against its base as RFC 3986 says; null if either can't be read."""
+def hrefs(html: str) -> list[str]:
+    """The href of every anchor of a page, entities decoded; of repeated attributes the last counts."""
+    out = []
+    for tag in ANCHOR.findall(HIDDEN.sub("", html)):
+        found = [value for name, value in ATTRIBUTE.findall(tag) if name.lower() == "href"]
+        if found:
+            value = found[-1]
+            out.append(unescape(value[1:-1] if value[:1] in ("'", '"') and value[:1] == value[-1:] else value))
+    return out
 
-    def one(base: str, href: str) -> str | None:
+
+def page_links(url: str, html: str) -> list[str]:
+    """The distinct links of a page to its own domain, ``www.`` aside: resolved as RFC 3986 says, without fragment and parameters; hrefs that can't be read are left out."""
+    own, out = urlparse(url).netloc.replace("www.", ""), {}
+    for href in dict.fromkeys(hrefs(html)):
         try:
-            return urljoin(base, href)
+            there = urlparse(urljoin(url, href))
         except ValueError:
-            return None
-
-    for bases, hrefs in pairs:
-        yield pd.Series([None if b is None or h is None else one(b, h) for b, h in zip(bases, hrefs)], dtype=object)
+            continue
+        if there.netloc.replace("www.", "") == own:
+            out[f"{there.scheme}://{there.netloc}{there.path}" + (f"?{there.query}" if there.query else "")] = None
+    return list(out)
 
 
-def hrefs(html: Column) -> Column:
-    """The href of every anchor, without quotes and with ``&amp;`` decoded."""
-    found = F.regexp_extract_all(html, F.lit(HREF), F.lit(1))
-    return F.transform(found, lambda x: F.replace(F.regexp_replace(x, r"(?s)\A([\"'])(.*)\1\z", "$2"), F.lit("&amp;"), F.lit("&")))
+@F.pandas_udf(ArrayType(StringType()))
+def linked(pages: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """``page_links`` of every page; a null URL or page has none."""
+    for urls, htmls in pages:
+        yield pd.Series([[] if u is None or h is None else page_links(u, h) for u, h in zip(urls, htmls)], dtype=object)
 
 
-def links(pages: DataFrame, url: str = "url", html: str = "html", all_forms: bool = True) -> DataFrame:
-    """(url, link): the distinct canonical links of every page to its own domain.
+def links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """(url, link): the distinct canonical links of every page to its own domain, in one pass without a shuffle.
 
-    The forms that need no dot segments are resolved natively; ``all_forms``
-    sends only the rest through Python. Links are distinct within their page,
-    so no shuffle is needed: pages are rows, and equal pages give equal rows.
+    Links are distinct within their page; pages that occur twice give their links twice. A null page has none.
     """
-    found = pages.select(F.col(url).alias("url"), F.explode(F.array_distinct(hrefs(F.col(html)))).alias("href"))
-    # Dot segments in an absolute path need RFC 3986 too.
-    native = F.when(~F.col("href").rlike(r"/\.{1,2}(/|\z|[?#])"), resolve(F.col("url"), F.col("href")))
-    if all_forms:
-        # A conditional would send every row through Python; the two kinds of rows go separate ways instead.
-        keyed = found.withColumn("target", native)
-        plain = keyed.filter("target is not null")
-        rest = keyed.filter("target is null").withColumn("target", joined_url("url", "href"))
-        found = plain.unionByName(rest)
-    else:
-        found = found.withColumn("target", native)
-    inside = found.filter(same_domain(F.col("target"), F.col("url")))
-    return inside.select("url", canonical(F.col("target")).alias("link")).distinct()
+    return pages.select(F.col(url).alias("url"), F.explode(linked(url, html)).alias("link"))
 
 
 def admission(candidates: DataFrame, skip: Sequence[str] = (), max_hops: int | None = None, url: str = "url", hop: str = "hop") -> DataFrame:
@@ -78,31 +80,34 @@ def admission_counts(candidates: DataFrame, known: DataFrame, skip: Sequence[str
     return seen.withColumn("reason", F.when((F.col("reason") == "new") & F.col("seen"), F.lit("known")).otherwise(F.col("reason"))).groupBy("reason").agg(F.count("*").alias("n"))
 
 
-def written(df: DataFrame) -> DataFrame:
-    """A level of the crawl as a table in the folder that driver and executors share."""
-    spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/millrace"
-    path = f"{root}/crawl-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def crawl(seeds: DataFrame, edges: DataFrame, max_hops: int | None = 2, skip: Sequence[str] = (), visited: DataFrame | None = None) -> DataFrame:
+def crawl(seeds: DataFrame, edges: DataFrame, max_hops: int | None = 2, skip: Sequence[str] = (), visited: DataFrame | None = None, frontier: DataFrame | None = None) -> DataFrame:
     """(url, hop) of all that is reached from ``seeds`` (url) over ``edges`` (url, link), breadth first, each at its smallest hop.
 
     Every level is one join of the last level with the edges and an anti join
     with what is known; levels are written tables, so lineage stays short and a
-    lost executor costs tasks of one level. ``visited`` (url) resumes a crawl.
-    Without a hop limit it ends when a level is empty.
+    lost executor costs tasks of one level. ``visited`` (url) and ``frontier``
+    (url, hop), a queue that was left over, resume a crawl: waiting URLs are
+    taken up at their own hops. Without a hop limit it ends when a level is
+    empty and no later hop waits.
     """
-    known = visited.select("url", F.lit(None).cast("int").alias("hop")) if visited is not None else seeds.sparkSession.createDataFrame([], "url string, hop int")
-    level = written(admit(seeds.select("url", F.lit(0).alias("hop")), known, skip, max_hops))
-    reached, hop = level, 0
-    while not level.isEmpty() and (max_hops is None or hop < max_hops):
-        hop += 1
-        found = level.select("url").join(edges.select("url", "link"), "url").select(F.col("link").alias("url"), F.lit(hop).alias("hop"))
+    spark = seeds.sparkSession
+    known = visited.select("url", F.lit(None).cast("int").alias("hop")) if visited is not None else spark.createDataFrame([], "url string, hop int")
+    edges = written(edges.select("url", "link"))
+    start = seeds.select("url", F.lit(0).alias("hop"))
+    waiting = written(start if frontier is None else start.unionByName(frontier.select("url", F.col("hop").cast("int").alias("hop"))))
+    hop, last = waiting.agg(F.min("hop"), F.max("hop")).head()
+    reached = spark.createDataFrame([], "url string, hop int")
+    if hop is None:
+        return reached
+    level = None
+    while max_hops is None or hop <= max_hops:
+        found = waiting.filter(F.col("hop") == hop)
+        if level is not None:
+            found = found.unionByName(level.select("url").join(edges, "url").select(F.col("link").alias("url"), F.lit(hop).alias("hop")))
         level = written(admit(found, known.unionByName(reached), skip, max_hops))
-        reached = reached.unionByName(level)
+        if level.isEmpty() and hop >= last:
+            break
+        reached, hop = reached.unionByName(level), hop + 1
     return reached
 
 

@@ -14,6 +14,9 @@ from pyspark.sql.types import StringType
 
 from millrace.functions.text import lines, strip
 
+# The parser of libyaml where it is there; both accept the same.
+LOADER = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
+
 BLOCK = r"(?s)\A---\n(.*?)\n---\n(.*)\z"
 
 
@@ -66,7 +69,7 @@ def yaml_json(blocks: Iterator[pd.Series]) -> Iterator[pd.Series]:
         if block is None:
             return None
         try:
-            found = yaml.safe_load(block)
+            found = yaml.load(block, LOADER)
         except yaml.YAMLError:
             return None
         return json.dumps({} if found is None else found, default=as_json, ensure_ascii=False)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -173,3 +174,26 @@ def scrapes(pages: DataFrame, scrape_date: str, url: str = "url", html: str = "h
     text = F.concat(yaml_block("head"), F.lit("\n"), collapse_blank_lines(F.col("body")))
     return made.select("url", "file", "title", text.alias("text"), F.col("body").isNull().alias("error"))
 
+
+
+def scrape_list(seeds: DataFrame, pages: DataFrame, scrape_date: str) -> DataFrame:
+    """(url, file, title, text, error) for every row of ``seeds`` (url), repeats included; ``error`` where no page of that URL was fetched. ``pages`` (url, html) has a row for each URL."""
+    made = scrapes(pages, scrape_date)
+    listed = seeds.select("url", file_name(F.col("url")).alias("file"))
+    return listed.join(made.drop("file"), "url", "left").withColumn("error", F.coalesce("error", F.lit(True))).select("url", "file", "title", "text", "error")
+
+
+def fetch(urls: DataFrame, fetcher: Callable[[str], str]) -> DataFrame:
+    """(url, html) of every row of ``urls`` (url); ``fetcher`` runs in the tasks, and a URL on which it fails has a null page."""
+
+    def one(url: str | None) -> str | None:
+        try:
+            return fetcher(url)
+        except Exception:  # noqa: BLE001  a fetcher may fail in any way; its row is the failed page then
+            return None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("html", pa.array(map(one, batch.column("url").to_pylist()), pa.string()))
+
+    return urls.select("url").mapInArrow(run, "url string, html string")

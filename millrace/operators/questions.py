@@ -137,7 +137,7 @@ def qa_documents(numbered_questions: DataFrame) -> DataFrame:
 
 
 def parse_qa(documents: DataFrame, file: str = "qa_file", text: str = "text") -> DataFrame:
-    """One row for each QA document, by chunk file and QA file; without front matter chunk and type are ``unknown``."""
+    """One row for each QA document, in no order (see ``in_order``); without front matter chunk and type are ``unknown``."""
     block, body = split_block(F.col(text))
     fm = F.when(has_block(F.col(text)), parsed(block))
     read = documents.select(F.col(file).alias("qa_file"), F.col(text).alias("whole"), body.alias("body"), fm.alias("fm"))
@@ -147,6 +147,11 @@ def parse_qa(documents: DataFrame, file: str = "qa_file", text: str = "text") ->
     return read.select(strip(F.col("body")).alias("question"), *fields, path, "qa_file")
 
 
+def in_order(qa: DataFrame) -> DataFrame:
+    """By chunk file, then QA file."""
+    return qa.orderBy("chunk_file", "qa_file")
+
+
 def qa_summary(qa: DataFrame) -> DataFrame:
     """One row: questions, distinct chunks and URLs."""
     return qa.agg(F.count("*").alias("total"), F.count_distinct(F.nullif("chunk_file", F.lit(""))).alias("unique_chunks"), F.count_distinct(F.nullif("source_url", F.lit(""))).alias("unique_urls"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.functions.tables import written
 from millrace.functions.text import base_name
 
 STATUS = {"a": "approved", "r": "rejected", "e": "edited"}
@@ -51,9 +52,10 @@ def approved(questions: DataFrame, include_all: bool = False) -> DataFrame:
 def question_ids(questions: DataFrame, order: str = "seq", slices: int = 4096) -> DataFrame:
     """Add ``question_id``: q_0001 and on in the order of a unique integer column.
 
-    Rows are numbered inside ranges of the order, and the ranges' small counts
+    The questions are written once; rows are numbered inside ranges of the order, and the ranges' small counts
     (``slices`` rows at most) are summed up, so no task ever holds all rows.
     """
+    questions = written(questions)
     low, high = questions.agg(F.min(order), F.max(order)).head()
     if low is None:
         return questions.withColumn("question_id", F.lit(None).cast("string"))
@@ -104,6 +106,10 @@ def csv_cell(value: Column) -> Column:
     return F.when(text.rlike('[",\r\n]'), F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(text)
 
 
+def report_title(total: int, created_at: str) -> str:
+    return f"# Test Questions Report\n\nGenerated: {created_at}\n\nTotal questions: {total}\n\n## By Source Type\n\n"
+
+
 def report_head(questions: DataFrame) -> DataFrame:
     """(source_type, line): the report's counts, one line for each type."""
     from millrace.operators.questions import by_type

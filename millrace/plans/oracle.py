@@ -119,7 +119,7 @@ fields AS (SELECT *, regexp_extract(block, '(?m)^original_url: (.*)$', 1) AS ori
 
 QUESTIONS = f"""WITH RECURSIVE {chunks(HEADED)}, {HEADERS}, {SECTIONS},
 questions AS (
-  SELECT c.doc_id * 1000 + c.chunk_index AS seq, c.piece AS question, d.source || '/' || c.doc_id || '_' || lpad(c.chunk_index::VARCHAR, 4, '0') || '.md' AS chunk_path,
+  SELECT c.doc_id * 100000000 + c.chunk_index AS seq, c.piece AS question, d.source || '/' || c.doc_id || '_' || lpad(c.chunk_index::VARCHAR, 4, '0') || '.md' AS chunk_path,
     sha256(d.source || '/' || c.doc_id || '.md#' || c.chunk_index) AS chunk_id, CASE WHEN c.doc_id % 3 = 0 THEN 'interview_question' ELSE 'synthetic' END AS source_type,
     'https://' || d.source || '.example.com/' || c.doc_id AS source_url, p.path, coalesce(l.quality, -1) AS quality
   FROM chunks c JOIN documents d USING (doc_id) LEFT JOIN paths p ON p.doc_id = c.doc_id AND p.chunk_index = c.chunk_index LEFT JOIN labels l ON l.doc_id = c.doc_id),
@@ -222,3 +222,50 @@ ORACLE_SQL |= {
       CASE WHEN path IS NULL THEN '' ELSE '- **Section**: ' || path || chr(10) END || chr(10)) AS digest FROM ids""",
     "export_report_head": f"{APPROVED} SELECT source_type, '- ' || source_type || ': ' || count(*) AS line FROM ids GROUP BY source_type",
 }
+
+
+# --- queries over the SQL above -------------------------------------------
+
+
+def lines_of_array(rows: str, order: str, head: str = "'['", tail: str = "']'", between: str = "','") -> str:
+    """Lines of a document: ``rows`` gives ``line`` and the columns of ``order``."""
+    ends = f" UNION ALL SELECT {tail}" if tail else ""
+    return f"SELECT {head} AS value UNION ALL SELECT line || CASE WHEN row_number() OVER (ORDER BY {order}) = count(*) OVER () THEN '' ELSE {between} END FROM ({rows}){ends}"
+
+
+METADATA = ORACLE_SQL["chunk_metadata"]
+TEST_CASES = f"SELECT count(*) FROM ({ORACLE_SQL['export_trec']})"
+
+ORACLE_SQL |= {
+    "crawl_resume": f"SELECT * FROM ({ORACLE_SQL['crawl_hops']}) WHERE hop >= 2",
+    "crawl_summary": f"""SELECT count(*) AS processed, count(*) FILTER (ok) AS successful, count(*) FILTER (NOT ok) AS failed
+      FROM (SELECT url IN (SELECT 'https://n/' || page_id FROM pages WHERE page_id % 3 <> 0) AS ok FROM ({ORACLE_SQL['crawl_hops']}))""",
+    "scrape_list": f"""WITH listed AS (SELECT page_id, url FROM pages UNION ALL SELECT page_id, url FROM pages WHERE page_id % 5 = 0)
+      SELECT url, {FILE} AS file, CASE WHEN page_id % 2 = 0 THEN title END AS title, page_id % 2 <> 0 AS error FROM listed JOIN ({ORACLE_SQL['html_title']}) USING (page_id)""",
+    "clean_front_matter": f"""WITH source AS ({SCRAPED}), {FRONT},
+      ruled AS (SELECT doc_id, t, '---' || chr(10) || block || chr(10) || '---' || chr(10) AS head, array_to_string(list_transform(string_split(replace(body, 'e', ''), chr(10)), lambda l: CASE WHEN starts_with(l, '# ') THEN '' ELSE l END), chr(10)) AS b FROM fields),
+      done AS (SELECT doc_id, t, head || {normalized("b")} AS cleaned FROM ruled)
+      SELECT doc_id, md5(cleaned) AS digest, 0::INTEGER AS n_yaml, (contains(t, '# ') AND NOT contains(cleaned, '# '))::INTEGER AS n_h1 FROM done""",
+    "rule_unknown": digest("text"),
+    "frontmatter_build": """SELECT doc_id, '---' || chr(10) || 'doc_id: ' || doc_id || chr(10) || 'title: ''Doc ' || doc_id || ': ' || lang || '''' || chr(10) || 'even: ' || CASE WHEN doc_id % 2 = 0 THEN 'true' ELSE 'false' END || chr(10)
+      || 'tags:' || chr(10) || '- ' || lang || chr(10) || '- ' || source || chr(10) || '---' || chr(10) AS block FROM documents""",
+    "chunk_documents": f"""WITH RECURSIVE {chunks(HEADED)}, m AS ({METADATA})
+      SELECT m.chunk_file, d.source || '/' || d.doc_id || '.md' AS source_file, 'https://x/' || d.doc_id AS original_url, '2025-01-01' AS scrape_date, 'T: ' || d.doc_id AS title, m.chunk_index, m.total_chunks::INTEGER AS total_chunks,
+        m.char_count, m.word_count, m.section_path, md5(c.piece) AS digest
+      FROM m JOIN chunks c ON c.doc_id = m.doc_id AND c.chunk_index = m.chunk_index JOIN documents d ON d.doc_id = m.doc_id""",
+    "merge_filter": f"SELECT chunk_file, chunk_index, 'https://x/7' AS original_url FROM ({METADATA}) WHERE doc_id = 7",
+    "merge_json_array": lines_of_array(f"""SELECT '{{"chunk_file":"' || chunk_file || '","original_url":"' || original_url || '","chunk_index":0}}' AS line, chunk_file FROM ({ORACLE_SQL['merge_rows']})""", "chunk_file"),
+    "qa_union": """WITH d AS (SELECT *, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D\\x1c-\\x1f\\x85\\xa0]+')) AS words FROM documents)
+      SELECT doc_id::VARCHAR AS chunk_id, CASE WHEN doc_id % 3 = 0 THEN 'What is ' || lang ELSE 'What does this source say?' END AS question, doc_id || '_001.md' AS qa_file,
+        CASE WHEN doc_id % 3 = 0 THEN 'interview_question' ELSE 'synthetic' END AS source_type, CASE WHEN doc_id % 3 = 0 THEN 'extracted' ELSE 'auto-generated' END AS confidence, false AS reviewed,
+        'stub' AS generation_model, '2025-01-01' AS generation_date
+      FROM d WHERE CASE WHEN doc_id % 3 = 0 THEN words > 30 ELSE words >= 20 END""",
+    "qa_order": QUESTIONS + ", n AS (SELECT *, row_number() OVER (PARTITION BY parse_filename(chunk_path, true) ORDER BY seq, chunk_path, question) AS n FROM questions WHERE seq // 100000000 % 7 = 3) "
+    + lines_of_array("""SELECT '{"chunk_file":"' || chunk_path || '","qa_file":"' || qa_file || '","generation_model":"extracted"}' AS line, chunk_path, qa_file FROM (SELECT *, parse_filename(chunk_path, true) || '_' || lpad(n::VARCHAR, 3, '0') || '.md' AS qa_file FROM n)""", "chunk_path, qa_file"),
+    "qa_legacy_json": QUESTIONS + " " + lines_of_array(
+        """SELECT '{"seq":' || seq || ',"chunk_id":"' || chunk_id || '","source_type":"' || source_type || '","confidence":"auto","reviewed":false}' AS line, seq FROM questions""", "seq",
+        """'{"metadata": {"total_questions": ' || (SELECT count(*) FROM questions) || ', "extracted_questions": 0, "synthetic_questions": ' || (SELECT count(*) FROM questions) || ', "random_seed": 42}, "questions": ['""", "']}'"),
+    "export_json_document": lines_of_array(f"SELECT split_part(line, ' ', 1) AS line FROM ({ORACLE_SQL['export_trec']})", "line",
+        f"""'{{"metadata": {{"created_at": "2025-01-01", "total_questions": ' || ({TEST_CASES}) || ', "format": "retrieval_test_set_v1"}}, "test_cases": ['""", "']}'"),
+    "export_csv_document": f"SELECT 'question_id,question,chunk_id,chunk_path,source_url,source_type' AS value UNION ALL SELECT line FROM ({ORACLE_SQL['export_csv']})",
+}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,7 @@ from millrace.functions import urls as U
 from millrace.operators import chunking, cleaning, crawl, frontmatter, html, merging, questions, review
 from millrace.operators.rules import Rule, apply_rules
 from millrace.plans import inputs
+from millrace.sources import files
 from millrace.plans.inputs import RULES, shaped, table
 from millrace.plans.oracle import ORACLE_SQL  # noqa: F401
 
@@ -82,6 +84,33 @@ def crawl_hops(spark, sf_dir):
     return crawl.crawl(spark.createDataFrame([("https://n/0",), ("https://n/5",)], "url string"), edges, 4, ["https://n/*9"])
 
 
+@query
+def crawl_resume(spark, sf_dir):
+    """The crawl again, from a queue of its pages at hop 2 and what was visited before."""
+    pages = table(spark, sf_dir, "pages").select("page_id")
+    n = pages.count()
+    page = lambda x: F.concat(F.lit("https://n/"), x.cast("string"))
+    edges = pages.select(page(F.col("page_id")).alias("url"), F.explode(F.array((2 * F.col("page_id") + 1) % n, (3 * F.col("page_id") + 7) % n)).alias("to")).select("url", page(F.col("to")).alias("link"))
+    done = crawl_hops(spark, sf_dir)
+    nothing = spark.createDataFrame([], "url string")
+    return crawl.crawl(nothing, edges, 4, ["https://n/*9"], visited=done.filter("hop < 2"), frontier=done.filter("hop = 2"))
+
+
+@query
+def crawl_summary(spark, sf_dir):
+    """The crawl against the pages that could be read, here all but each third one."""
+    fetched = table(spark, sf_dir, "pages").filter("page_id % 3 <> 0").select(F.concat(F.lit("https://n/"), F.col("page_id").cast("string")).alias("url"))
+    return crawl.crawl_summary(crawl_hops(spark, sf_dir), fetched)
+
+
+@query
+def scrape_list(spark, sf_dir):
+    """A plain list of URLs with repeats, half of them without a page."""
+    pages = table(spark, sf_dir, "pages")
+    listed = pages.select("url").unionByName(pages.filter("page_id % 5 = 0").select("url"))
+    return html.scrape_list(listed, pages.filter("page_id % 2 = 0"), "2025-01-01").select("url", "file", "title", "error")
+
+
 @query
 def html_strip_script(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.md5(html.without_scripts(F.col("html"))).alias("digest"))
@@ -165,6 +194,29 @@ def clean_delete(spark, sf_dir):
     return cleaning.without_globbed(cleaning.without_deleted(files, names), names)
 
 
+@query
+def clean_front_matter(spark, sf_dir):
+    """Scraped documents: their front matter stays, whatever rules do to the body."""
+    rules = [Rule("regex", pattern="e", flags=()), Rule("regex", pattern="^# .*$", flags=("MULTILINE",))]
+    found = cleaning.report(cleaning.clean(scraped(spark, sf_dir), rules))
+    return found.select("doc_id", F.md5("cleaned").alias("digest"), F.size(F.filter("warnings", lambda w: w.contains("YAML"))).alias("n_yaml"), F.size(F.filter("warnings", lambda w: w.contains("H1"))).alias("n_h1"))
+
+
+@query
+def rule_unknown(spark, sf_dir):
+    """A rule of no known type changes nothing."""
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        return table(spark, sf_dir, "documents").select("doc_id", *digest(apply_rules(F.col("text"), [Rule("nothing")])))
+
+
+@query
+def frontmatter_build(spark, sf_dir):
+    """Front matter made from fields."""
+    head = F.to_json(F.struct("doc_id", F.concat(F.lit("Doc "), F.col("doc_id").cast("string"), F.lit(": "), "lang").alias("title"), (F.col("doc_id") % 2 == 0).alias("even"), F.array("lang", "source").alias("tags")))
+    return table(spark, sf_dir, "documents").select("doc_id", frontmatter.yaml_block(head).alias("block"))
+
+
 @query
 def clean_preview(spark, sf_dir):
     return cleaning.preview(shaped(spark, sf_dir, inputs.with_boilerplate), RULES)
@@ -293,6 +345,36 @@ def merge_rescue(spark, sf_dir):
     return merging.merge_chunks(merge_input(spark, sf_dir).withColumn("text", outer)).select("chunk_file", "original_url", "title")
 
 
+def written_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks as the documents that the chunker writes, under front matter of their source, and merged again."""
+    filed = chunk_table(spark, sf_dir)
+    original = F.to_json(F.struct(F.concat(F.lit("https://x/"), F.col("doc_id").cast("string")).alias("original_url"), F.lit("2025-01-01").alias("scrape_date"), F.concat(F.lit("T: "), F.col("doc_id").cast("string")).alias("title")))
+    return merging.merge_chunks(chunking.chunk_documents(filed, original))
+
+
+@query
+def chunk_documents(spark, sf_dir):
+    """Every field of written chunk documents, read back."""
+    found = written_chunks(spark, sf_dir)
+    return found.select(
+        "chunk_file", "source_file", "original_url", "scrape_date", "title", "chunk_index", "total_chunks", "char_count", "word_count",
+        F.array_join("section_path", " > ").alias("section_path"), F.md5("content").alias("digest"),
+    )
+
+
+@query
+def merge_filter(spark, sf_dir):
+    """Merged chunks of one URL."""
+    return merging.with_url(written_chunks(spark, sf_dir), "https://x/7").select("chunk_file", "chunk_index", "original_url")
+
+
+@query
+def merge_json_array(spark, sf_dir):
+    """The merged corpus as lines of one JSON array."""
+    merged = merging.merge_chunks(merge_input(spark, sf_dir), strict=False)
+    return files.json_array(merged.select("chunk_file", "original_url", "chunk_index"), ["chunk_file"])
+
+
 @query
 def merge_summary(spark, sf_dir):
     return merging.merge_summary(merging.merge_chunks(merge_input(spark, sf_dir), strict=False))
@@ -327,6 +409,9 @@ def qa_prompt(spark, sf_dir):
     return questions.prompt(docs).select("doc_id", F.md5("prompt").alias("digest"))
 
 
+#: Room for a document's chunks in the order of questions: a text of the largest size that Spark holds has fewer.
+SEQ = 100_000_000
+
 #: Responses as models give them.
 RESPONSES = ['["a", "b"]', '```json\n["c"]\n```', 'Here they are:\n["d"]\nDone.', '["a", 1, null, {"b": 2}]', '{"a": "b"}', '["broken', ""]
 
@@ -337,11 +422,26 @@ def qa_response_parse(spark, sf_dir):
     return found.select("id", F.array_join(questions.strings_of(F.col("response")), "|").alias("questions"))
 
 
+@query
+def qa_union(spark, sf_dir):
+    """Extracted and synthetic questions of documents taken as chunks, numbered together, with their model and date."""
+    folder = F.when(F.col("doc_id") % 3 == 0, F.lit("interview-questions/")).otherwise(F.lit("p/"))
+    path = F.concat(folder, F.col("doc_id").cast("string"), F.lit(".md"))
+    chunks = table(spark, sf_dir, "documents").select(
+        path.alias("chunk_path"), F.concat(F.lit("https://x/"), path).alias("original_url"), F.lit("T").alias("title"), "text", T.word_count(F.col("text")).alias("word_count"),
+        F.array(F.concat(F.lit("What is "), "lang")).alias("section_path"), F.col("doc_id").cast("string").alias("chunk_id"),
+    )
+    rest = chunks.filter(~questions.is_candidate(F.col("chunk_path")))
+    synthetic = questions.generated(questions.ask(questions.prompt(rest), questions.stub_provider))
+    both = questions.numbered(questions.together(questions.extract(chunks), synthetic), "stub", "2025-01-01")
+    return both.select("chunk_id", "question", "qa_file", "source_type", "confidence", "reviewed", "generation_model", "generation_date")
+
+
 def question_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A question for every chunk, with the label of its document."""
     chunks = chunk_table(spark, sf_dir).withColumns(
         {
-            "seq": F.col("doc_id") * 1000 + F.col("chunk_index"), "question": F.col("text"), "chunk_path": F.concat(F.regexp_replace("source_file", "[^/]*$", ""), "chunk_file"),
+            "seq": F.col("doc_id") * SEQ + F.col("chunk_index"), "question": F.col("text"), "chunk_path": F.concat(F.regexp_replace("source_file", "[^/]*$", ""), "chunk_file"),
             "source_url": F.concat(F.lit("https://"), F.substring_index("source_file", "/", 1), F.lit(".example.com/"), F.col("doc_id").cast("string")),
             "source_type": F.when(F.col("doc_id") % 3 == 0, "interview_question").otherwise("synthetic"), "confidence": F.lit("auto"), "reviewed": F.lit(False), "status": F.lit(None).cast("string"),
         }
@@ -435,6 +535,37 @@ def export_report(spark, sf_dir):
     return exported(spark, sf_dir).select(F.md5(review.test_case("report")).alias("digest"))
 
 
+@query
+def qa_order(spark, sf_dir):
+    """Every question document and the one before it in the order of the merged list."""
+    made = questions.qa_documents(questions.numbered(question_table(spark, sf_dir).filter("doc_id % 7 = 3"), "extracted", "2025-01-01"))
+    return files.json_array(questions.in_order(questions.parse_qa(made)).select("chunk_file", "qa_file", "generation_model"), ["chunk_file", "qa_file"])
+
+
+@query
+def qa_legacy_json(spark, sf_dir):
+    """Questions as lines of one ``{metadata, questions}`` document."""
+    asked = question_table(spark, sf_dir).select("seq", "chunk_id", "source_type", "confidence", "reviewed")
+    return files.question_json(asked, ["seq"], {"random_seed": 42})
+
+
+@query
+def export_json_document(spark, sf_dir):
+    """The whole JSON export; of test cases the id and what ends the line."""
+    found = files.exported(exported(spark, sf_dir), "json", "2025-01-01")
+    return found.select(F.when(F.col("value").startswith('{"question_id"'), F.concat(F.regexp_extract("value", "q_[0-9]+", 0), F.when(F.col("value").endswith(","), F.lit(",")).otherwise(F.lit("")))).otherwise(F.col("value")).alias("value"))
+
+
+@query
+def export_csv_document(spark, sf_dir):
+    return files.exported(exported(spark, sf_dir), "csv")
+
+
+@query
+def export_report_document(spark, sf_dir):
+    return files.exported(exported(spark, sf_dir), "report", "2025-01-01").select(F.md5("value").alias("digest"))
+
+
 @query
 def export_report_head(spark, sf_dir):
     return review.report_head(exported(spark, sf_dir))

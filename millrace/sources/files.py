@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import json
+import os
+from collections.abc import Iterator, Sequence
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType
 
+from millrace.functions.tables import written
 from millrace.functions.text import strip
-from millrace.operators.review import CSV_HEADER, test_case
+from millrace.operators.cleaning import report
+from millrace.operators.review import CSV_HEADER, report_head, report_title, test_case
 
 SUFFIX = r"(?i)\.(md|mdx|markdown)\z"
 
@@ -38,9 +45,16 @@ def write_visited(urls: DataFrame, path: str) -> None:
     urls.select("url").distinct().orderBy("url").select(F.col("url").alias("value")).write.mode("overwrite").text(path)
 
 
+@F.pandas_udf(StringType())
+def without_invalid(contents: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Bytes as UTF-8, those that are invalid left out."""
+    for part in contents:
+        yield part.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
+
+
 def decoded(content: Column, lenient: bool = False) -> Column:
-    """Bytes as UTF-8; ``lenient`` replaces what is invalid, else a document with invalid bytes is null."""
-    return F.make_valid_utf8(content.cast("string")) if lenient else F.try_validate_utf8(content.cast("string"))
+    """Bytes as UTF-8; ``lenient`` drops what is invalid, else a document with invalid bytes is null."""
+    return without_invalid(content) if lenient else F.try_validate_utf8(content.cast("string"))
 
 
 def documents(spark: SparkSession, path: str, recursive: bool = True, lenient: bool = False) -> DataFrame:
@@ -66,28 +80,87 @@ def write_json_lines(frame: DataFrame, path: str) -> None:
     lines_of(frame).write.mode("overwrite").text(path)
 
 
-def write_documents(frame: DataFrame, path: str, file: str = "file", text: str = "text") -> None:
-    """One text file for each row, named ``file``, written by the tasks through Hadoop-free file systems only where ``path`` is local; elsewhere use ``write_json_lines``."""
-    import os
+def as_document(frame: DataFrame, order: Sequence[str | Column], line: Column, head: str, tail: str | None, between: str = "") -> DataFrame:
+    """(value), sorted: ``head``, a ``line`` for each row in ``order``, each but the last followed by ``between``, and ``tail``.
+
+    The part files of such a table, one after another, are one document; no task
+    ever holds it. Ties of the order may fall either way.
+    """
+    placed = written(frame.orderBy(*order).select(line.alias("value"), F.monotonically_increasing_id().alias("at")))
+    last = placed.agg(F.max("at")).head()[0]
+    ends = [(head, -1)] + ([] if tail is None else [(tail, (1 << 63) - 1)])
+    rows = placed.select(F.concat("value", F.when(F.col("at") == last, F.lit("")).otherwise(F.lit(between))).alias("value"), "at") if last is not None else placed
+    return rows.unionByName(frame.sparkSession.createDataFrame(ends, "value string, at long")).orderBy("at").select("value")
+
 
-    def write(rows) -> None:
-        os.makedirs(path, exist_ok=True)
-        for row in rows:
-            with open(os.path.join(path, os.path.basename(row[0])), "w", encoding="utf-8", newline="") as out:
-                out.write(row[1])
+def json_array(frame: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The rows as one JSON array; fields that are null are left out."""
+    return as_document(frame, order, F.to_json(F.struct(*frame.columns)), "[", "]", ",")
 
-    frame.select(file, text).foreachPartition(write)
 
+def write_json_array(frame: DataFrame, path: str, order: Sequence[str]) -> None:
+    """Merged chunks, or merged questions, as a JSON array over the part files of ``path``."""
+    json_array(frame, order).write.mode("overwrite").text(path)
 
-def export(numbered: DataFrame, path: str, kind: str) -> None:
-    """Write questions that have ids as json, jsonl, csv, trec or report lines; ``all`` writes all but the report, each in its folder."""
-    if kind == "all":
-        for one in ("json", "jsonl", "csv", "trec"):
-            export(numbered, f"{path}/{one}", one)
+
+def question_json(questions: DataFrame, order: Sequence[str], metadata: dict) -> DataFrame:
+    """``{metadata, questions}``, the form that ``curated`` reads; ``metadata`` gets the counts of questions."""
+    n = questions.agg(F.count("*").alias("total_questions"), F.count_if(F.col("confidence") == "extracted").alias("extracted_questions"), F.count_if(F.coalesce("confidence", F.lit("")) != "extracted").alias("synthetic_questions"))
+    head = json.dumps(n.head().asDict() | metadata, ensure_ascii=False)
+    return as_document(questions, order, F.to_json(F.struct(*questions.columns), {"ignoreNullFields": "false"}), f'{{"metadata": {head}, "questions": [', "]}", ",")
+
+
+def write_documents(frame: DataFrame, path: str, file: str = "file", text: str = "text") -> None:
+    """One text file for each row, named ``file``; names must be distinct.
+
+    On a file system that all executors mount the tasks write the files
+    themselves. Elsewhere (a ``path`` with another scheme) Spark's writer makes
+    one folder a document, whose part file holds its text.
+    """
+    named = frame.select(F.regexp_replace(file, "^.*/", "").alias("name"), text)
+    spark = frame.sparkSession
+    if "://" not in path or path.startswith("file:"):
+        local = path.removeprefix("file://").removeprefix("file:")
+
+        def write(rows) -> None:
+            os.makedirs(local, exist_ok=True)
+            for name, body in rows:
+                with open(os.path.join(local, name), "w", encoding="utf-8", newline="") as out:
+                    out.write(body)
+
+        named.foreachPartition(write)
         return
-    value = numbered.orderBy("question_id").select(test_case(kind).alias("value"))
-    # A folder of CSV parts has a header in a file of its own, which sorts first.
-    value.write.mode("overwrite").text(path)
+    # Spark's own writer: one folder a document, whose single part file holds the text as it is.
+    spread = named.repartition("name").select(F.col("name"), F.col(text).alias("value"))
+    spread.write.mode("overwrite").option("lineSep", "").partitionBy("name").text(path)
+
+
+def write_cleaned(cleaned: DataFrame, path: str, dry_run: bool = False, flush: bool = False, file: str = "file", text: str = "text") -> DataFrame:
+    """Write the ``cleaned`` texts as files and return their report; ``dry_run`` only reports. ``flush`` empties ``path`` first, and in a dry run leaves it."""
+    if not dry_run:
+        spark = cleaned.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if flush:
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        write_documents(cleaned, path, file, "cleaned")
+    return report(cleaned, text)
+
+
+def exported(numbered: DataFrame, kind: str, created_at: str = "") -> DataFrame:
+    """(value), sorted by the number of the question: the lines of one export document: json, jsonl, csv, trec or report."""
+    order, line = [F.substring("question_id", 3, 20).cast("long")], test_case(kind)
+    if kind == "json":
+        head = json.dumps({"created_at": created_at, "total_questions": numbered.count(), "format": "retrieval_test_set_v1"})
+        return as_document(numbered, order, line, f'{{"metadata": {head}, "test_cases": [', "]}", ",")
     if kind == "csv":
-        spark = numbered.sparkSession
-        spark.createDataFrame([(CSV_HEADER,)], StructType([StructField("value", StringType())])).coalesce(1).write.mode("overwrite").text(f"{path}_header")
+        return as_document(numbered, order, line, CSV_HEADER, None)
+    if kind == "report":
+        types = [r.line for r in report_head(numbered).orderBy("source_type").collect()]  # one line for each source type
+        return as_document(numbered, order, F.regexp_replace(line, r"\n\z", ""), report_title(numbered.count(), created_at) + "\n".join(types) + "\n\n## Questions\n", None)
+    return numbered.orderBy(*order).select(line.alias("value"))
+
+
+def export(numbered: DataFrame, path: str, kind: str, created_at: str = "") -> None:
+    """Write questions that have ids in one form, or in ``all``, each in a folder of its own below ``path``; the report is always written beside."""
+    for one in (*(("json", "jsonl", "csv", "trec") if kind == "all" else (kind,)), *(() if kind == "report" else ("report",))):
+        exported(numbered, one, created_at).write.mode("overwrite").text(f"{path}/{one}")
