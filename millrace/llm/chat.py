@@ -1,7 +1,8 @@
 """Chat formatting with budgeted windows.
 
-Prefix sums of the turns' tokens cut a conversation into turn-aligned spans. A
-window is one span, preceded by the system turn and by a limited history of the
+Prefix sums of the turns' tokens cut a conversation into turn-aligned spans: each
+takes as many turns as the budget holds beside the system turn and the history
+that would precede it. A window is one span, preceded by the system turn and by a limited history of the
 turns before, both outside the loss mask: every assistant turn is a target
 exactly once. Everything is DataFrame functions.
 """
@@ -69,13 +70,24 @@ def windows(turns: DataFrame, budget: int = 1024, history: int = 256, history_tu
     clean = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     counted = clean.withColumn("tokens", tokens(F.col("text")))
     numbered = counted.withColumn("rn", F.row_number().over(order)).withColumn("before", F.coalesce(F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    # The first system turn, if any, and the longest turn bound what a span may take.
-    ruled = numbered.withColumn("system_rn", F.min(F.when(F.col("role") == "system", F.col("rn"))).over(conv)).withColumn("longest", F.max("tokens").over(conv))
+    ruled = numbered.withColumn("system_rn", F.min(F.when(F.col("role") == "system", F.col("rn"))).over(conv))
     ruled = ruled.withColumn("system_tokens", F.coalesce(F.max(F.when(F.col("rn") == F.col("system_rn"), F.col("tokens"))).over(conv), F.lit(0)))
-    stride = F.greatest(F.lit(1), F.lit(budget - history) - F.col("system_tokens") - F.col("longest"))
-    spanned = ruled.withColumn("stretch", F.floor(F.col("before") / stride))
-    fresh = F.when(F.col("stretch") > F.lag("stretch").over(order), 1).otherwise(0)
-    spanned = spanned.withColumn("window", F.sum(fresh).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    # What a window that begins at a turn has room for: the turns before it that may be its history, and the system turn, go off.
+    sums, taken = F.lit(0), F.lit(0)
+    for back in range(1, history_turns + 1):
+        sums = F.coalesce(F.col("before") - F.lag("before", back).over(order), F.lit(0))
+        taken = F.when(sums <= history, F.greatest(sums, taken)).otherwise(taken)
+    again = F.when(F.coalesce("system_rn", F.lit(1 << 30)) < F.col("rn"), F.col("system_tokens")).otherwise(0)
+    roomy = ruled.withColumn("room", (F.lit(budget) - taken - again).cast("long"))
+    # The spans of a conversation, from the numbers of its turns alone.
+    each = F.array_sort(F.collect_list(F.struct("rn", F.col("tokens").cast("long").alias("tokens"), "room")))
+    none = F.struct(F.array().cast("array<int>").alias("starts"), F.lit(0).cast("long").alias("used"), F.lit(-1).cast("long").alias("room"))
+    step = lambda s, x: F.when(s["used"] + x["tokens"] <= s["room"], F.struct(s["starts"].alias("starts"), (s["used"] + x["tokens"]).alias("used"), s["room"].alias("room"))).otherwise(
+        F.struct(F.concat(s["starts"], F.array(x["rn"])).alias("starts"), x["tokens"].alias("used"), x["room"].alias("room"))
+    )
+    cuts = roomy.groupBy(F.col("conv_id").alias("cut_id")).agg(each.alias("each")).select("cut_id", F.aggregate("each", none, step, lambda s: s["starts"]).alias("starts"))
+    spanned = roomy.join(cuts, F.col("conv_id").eqNullSafe(F.col("cut_id"))).drop("cut_id", "room")
+    spanned = spanned.withColumn("window", F.sum(F.array_contains("starts", F.col("rn")).cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0)) - 1).drop("starts")
     spanned = spanned.withColumn("last_window", F.max("window").over(conv))
     back = Window.partitionBy("conv_id", "window").orderBy(F.col("rn").desc())
     spanned = spanned.withColumn("from_end", F.row_number().over(back)).withColumn("tail", F.sum("tokens").over(back.rowsBetween(Window.unboundedPreceding, 0)))

@@ -42,18 +42,19 @@ FROM cut
 def op3() -> str:
     between = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     sets = template_sets(TEMPLATES, THRESHOLD)
-    listed = ", ".join(f"({quoted(label)}, [{', '.join(map(quoted, found))}], {need})" for label, found, need in sets)
+    listed = ", ".join(f"({k}, {quoted(label)}, [{', '.join(map(quoted, found))}], {need}, {reach})" for k, (label, found, need, reach) in enumerate(sets))
     here = " OR ".join("(" + " AND ".join(f"w[i + {k + 1}] = {quoted(x)}" for k, x in enumerate(p.split())) + ")" for p in PHRASES)
     label = "CASE " + " ".join(f"WHEN w[i + 1] = {quoted(p.split()[0])} THEN {quoted(name)}" for p, name in PHRASES.items()) + " END"
     return rf"""
-WITH templates(label, tokens, need) AS (VALUES {listed}),
+WITH templates(t, label, tokens, need, reach) AS (VALUES {listed}),
 texts AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
-lines AS (
-  SELECT doc_id, list_distinct(list_filter(string_split_regex(line, '{between}'), lambda x: x <> '')) AS tokens
-  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM texts)),
+spelled AS (SELECT t, label, len(tokens) AS n, need, reach, unnest(tokens) AS word FROM templates),
+said AS (SELECT doc_id, unnest(range(len(w))) AS i, unnest(w) AS word FROM (SELECT doc_id, list_filter(string_split_regex(t, '{between}'), lambda x: x <> '') AS w FROM texts)),
+hits AS (SELECT * FROM said JOIN spelled USING (word)),
 found AS (
-  SELECT doc_id, label, len(list_intersect(l.tokens, s.tokens)) / len(s.tokens) AS score
-  FROM lines l, templates s WHERE len(list_intersect(l.tokens, s.tokens)) >= need),
+  SELECT a.doc_id, a.label, count(DISTINCT b.word) / any_value(a.n) AS score
+  FROM hits a JOIN hits b ON a.doc_id = b.doc_id AND a.t = b.t AND b.i >= a.i AND b.i < a.i + a.reach
+  GROUP BY a.doc_id, a.t, a.label, a.i HAVING count(DISTINCT b.word) >= any_value(a.need)),
 best AS (SELECT doc_id, list(DISTINCT label) AS labels, max(score) AS score FROM found GROUP BY doc_id),
 words AS (SELECT doc_id, list_filter(string_split_regex(t, '{between}'), lambda x: x <> '') AS w FROM texts),
 placed AS (SELECT doc_id, w, list_filter(range(len(w)), lambda i: coalesce({here}, false)) AS starts FROM words),
@@ -65,13 +66,14 @@ FROM labelled LEFT JOIN best USING (doc_id)
 """
 
 
-def op6(budget: int = 1024, history: int = 256, history_turns: int = 2) -> str:
+def op6(budget: int = 1024, history: int = 256) -> str:
+    history_turns = 2  # as the two lags below
     escaped = "replace(X, '\\', '\\\\')"
     for c in CONTROL:
         escaped = f"replace({escaped}, {quoted(c)}, {quoted(c[0] + chr(92) + c[1:])})"
     role = f"replace({escaped.replace('X', 'role')}, chr(10), '<\\N>')"
     return rf"""
-WITH turns AS (
+WITH RECURSIVE turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))),
 counted AS (
@@ -79,11 +81,19 @@ counted AS (
     13 + length({role}) + 1 + length({escaped.replace("X", "text")}) + 10 AS chars,
     row_number() OVER o AS rn FROM turns WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
 before AS (SELECT *, coalesce(sum(tokens) OVER (PARTITION BY conv_id ORDER BY rn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM counted),
-ruled AS (SELECT *, min(rn) FILTER (role = 'system') OVER (PARTITION BY conv_id) AS srn, max(tokens) OVER (PARTITION BY conv_id) AS longest FROM before),
+ruled AS (
+  SELECT *, min(rn) FILTER (role = 'system') OVER (PARTITION BY conv_id) AS srn,
+    coalesce(lag(tokens, 1) OVER (PARTITION BY conv_id ORDER BY rn), 0) AS l1, coalesce(lag(tokens, 2) OVER (PARTITION BY conv_id ORDER BY rn), 0) AS l2 FROM before),
 allowed AS (
   SELECT *, coalesce(max(tokens) FILTER (rn = srn) OVER (PARTITION BY conv_id), 0) AS stok FROM ruled),
-stretched AS (SELECT *, floor(ahead / greatest(1, {budget - history} - stok - longest)) AS stretch FROM allowed),
-spanned AS (SELECT *, dense_rank() OVER (PARTITION BY conv_id ORDER BY stretch) - 1 AS win FROM stretched),
+roomy AS (
+  SELECT *, {budget} - CASE WHEN l1 + l2 <= {history} THEN l1 + l2 WHEN l1 <= {history} THEN l1 ELSE 0 END - CASE WHEN srn < rn THEN stok ELSE 0 END AS room FROM allowed),
+walk(cid, pos, win, used, left_room) AS (
+  SELECT conv_id, rn, 0::BIGINT, tokens, room FROM roomy WHERE rn = 1
+  UNION ALL
+  SELECT conv_id, rn, win + (used + tokens > left_room)::BIGINT, CASE WHEN used + tokens > left_room THEN tokens ELSE used + tokens END, CASE WHEN used + tokens > left_room THEN room ELSE left_room END
+  FROM walk JOIN roomy ON conv_id IS NOT DISTINCT FROM cid AND rn = pos + 1),
+spanned AS (SELECT r.*, w.win FROM roomy r JOIN walk w ON r.conv_id IS NOT DISTINCT FROM w.cid AND r.rn = w.pos),
 tailed AS (
   SELECT *, max(win) OVER (PARTITION BY conv_id) AS last_win, row_number() OVER b AS from_end, sum(tokens) OVER (b ROWS UNBOUNDED PRECEDING) AS tail
   FROM spanned WINDOW b AS (PARTITION BY conv_id, win ORDER BY rn DESC)),

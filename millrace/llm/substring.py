@@ -6,6 +6,10 @@ the windows that also start in a document with a smaller doc_id. Their starts
 return to the documents and merge into maximal removal intervals. Neighbouring
 windows mostly share that smallest hash, so they travel and return together.
 
+A short sequence that stands in very many windows would fill one bucket: those
+that a sample shows to be so frequent (``HOT_SHARE``) deal nothing, and their
+windows are dealt by their own hashes. The sample only balances the buckets.
+
 Windows travel packed: one row holds what a piece of the input (some MB of text)
 has in one bucket, some 8 bytes a window. Windows that repeat inside a piece
 are settled there, so even a passage in a third of all documents sends one
@@ -34,6 +38,11 @@ DEAL_WORDS = 8
 #: Windows that a bucket holds on average, at most.
 BUCKET_WINDOWS = 1 << 20
 
+#: A short sequence with a sixteenth of a bucket, and this share of the sampled windows, is hot; so there are 100,000 hot ones at most.
+HOT_SHARE = 1e-5
+#: Bytes of text that are sampled to find the hot ones, and the share of the input beyond.
+SAMPLE_BYTES, SAMPLE_SHARE = 32 << 20, 1 / 2000
+
 META = "bucket int, doc_id long, mark int, hashes binary, meta binary"
 
 
@@ -98,26 +107,60 @@ def numbered(texts: DataFrame) -> DataFrame:
     return texts.withColumn("mark", F.crc32(F.coalesce("text", F.lit(""))).bitwiseAND(0xFFFF).cast("int"))
 
 
+def word_values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word, and the offset of each text's first word."""
+    flat, offsets = split_words(column)
+    coded = flat.dictionary_encode()
+    words = np.fromiter(map(xxhash.xxh3_64_intdigest, coded.dictionary.cast(pa.binary()).to_pylist()), np.uint64, len(coded.dictionary))
+    return (words[np.asarray(coded.indices)] if len(flat) else np.empty(0, np.uint64)), offsets
+
+
+def places_of(offsets: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Document and place in it of every window."""
+    n = np.maximum(np.diff(offsets) - window + 1, 0)
+    doc = np.repeat(np.arange(len(n)), n)
+    return doc, np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+
+
+def deal_keys(values: np.ndarray, window: int) -> np.ndarray:
+    """The smallest hash of the short word sequences in every window."""
+    deal = min(DEAL_WORDS, window)
+    return sliding_least(spread(rolling(values, deal, BASES[1])), window - deal + 1)
+
+
+def hot_keys(docs: DataFrame, window: int, size: int, buckets: int) -> np.ndarray:
+    """The keys that too many of the sampled windows have for one of ``buckets``."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, "text"):
+            values, offsets = word_values(piece.column("text"))
+            doc, at = places_of(offsets, window)
+            if len(doc):
+                keys, n = np.unique(deal_keys(values, window)[at + offsets[doc]], return_counts=True)
+                yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "n"])
+
+    share = min(1.0, max(SAMPLE_BYTES / max(size, 1), SAMPLE_SHARE))
+    counted = docs.select("text").sample(share, 7).mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    least = counted.agg(F.sum("n")).head()[0] or 0
+    return np.array([r.key for r in counted.filter(F.col("n") >= max(HOT_SHARE, 1 / (16 * buckets)) * least).select("key").collect()], np.int64).view(np.uint64) if least else np.empty(0, np.uint64)
+
+
 def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
     """(doc_id, mark, starts array<binary>): the starts (packed int32) of windows of ``doc_id, text`` rows that also start in a document with a smaller doc_id."""
     size = docs.select(F.sum(F.octet_length("text"))).head()[0] or 0
     # A word and its space have some 6 bytes; an estimate is enough for the width of the hashes and the number of buckets.
     windows = max(size // 6, 1)
     buckets = max(4 * partitions(docs.sparkSession), ceil(windows / BUCKET_WINDOWS))
-    # Bits so that two different windows of the whole input agree by chance once in 64 runs or less often.
-    width = min(16, max(7, ceil((2 * log2(windows) + 5 - log2(buckets)) / 8)))
+    # Bits so that any two different windows of the whole input agree by chance once in four million runs or less often.
+    width = min(16, ceil((2 * log2(windows) + 21 - log2(buckets)) / 8))
+    hot = hot_keys(docs, window, size, buckets)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
-            flat, offsets = split_words(piece.column("text"))
-            coded = flat.dictionary_encode()
-            words = np.fromiter(map(xxhash.xxh3_64_intdigest, coded.dictionary.cast(pa.binary()).to_pylist()), np.uint64, len(coded.dictionary))
-            values = words[np.asarray(coded.indices)] if len(flat) else np.empty(0, np.uint64)
+            values, offsets = word_values(piece.column("text"))
             ids = np.asarray(piece.column("doc_id"))
             marks = np.array([zlib.crc32(t) & 0xFFFF for t in piece.column("text").cast(pa.binary()).fill_null(b"").to_pylist()])
-            n = np.maximum(np.diff(offsets) - window + 1, 0)
-            doc = np.repeat(np.arange(len(n)), n)
-            at = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+            doc, at = places_of(offsets, window)
             if not len(doc):
                 continue
             place = at + offsets[doc]
@@ -130,8 +173,8 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
             least = np.minimum.reduceat(ids[doc[order]], np.flatnonzero(new))
             later = np.empty(len(doc), dtype=bool)
             later[order] = ids[doc[order]] > least[run]
-            deal = min(DEAL_WORDS, window)
-            key = sliding_least(spread(rolling(values, deal, BASES[1])), window - deal + 1)[place]
+            key = deal_keys(values, window)[place]
+            key = np.where(np.isin(key, hot), low, key)
             bucket = (spread(key) % np.uint64(buckets)).astype(np.uint32)
             # The bytes that travel are the first hash's high ones and then those of the other hash.
             wide = np.stack([low, high], axis=1).view(np.uint8).reshape(-1, 16)[:, np.r_[7, 6, 5, 4, 3, 2, 1, 0, 8:16][:width]]

@@ -1,5 +1,7 @@
 """What the operators once left out: each test is a case that an earlier shortcut lost."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -134,3 +136,79 @@ def test_hot_segments_take_longer_chains(spark):
     label = {x.node: x.label for x in simhash.components(simhash.links(spark.createDataFrame([(p,) for p in prints], "fp long"))).collect()}
     got = [label.get(p, p) for p in prints]
     assert [[a == b for a in got] for b in got] == [[wanted[a] == wanted[b] for a in range(len(prints))] for b in range(len(prints))]
+
+
+def test_license_blocks_are_runs_of_words(spark):
+    """Wrapped notices are found, words scattered over a long line are not; a plain search over all windows agrees."""
+    from millrace.llm import licenses
+
+    r = np.random.default_rng(17)
+    sets = licenses.template_sets(licenses.TEMPLATES, licenses.THRESHOLD)
+    notice = dict((t[:9], t) for _, t in licenses.TEMPLATES)["Permissio"].split()
+    wrapped = "intro\n" + " ".join(notice[:10]) + "\n" + " ".join(notice[10:]) + "\nmore"
+    scattered = "released early under " + "filler " * 60 + "the end of a license for mit people"
+    texts = [wrapped, scattered, None, "", " ".join(["the", "license"] * 3000), "x " * 30_000 + "released under the mit license", "released under the mit license " * 4]
+    vocabulary = sorted({w for _, found, _, _ in sets for w in found}) + ["filler", "other"]
+    for _ in range(150):
+        _, found, _, _ = sets[int(r.integers(len(sets)))]
+        body = list(r.choice(vocabulary, size=int(r.integers(5, 60))))
+        part = [w for w in r.permutation(found) if r.random() < 0.95]
+        for w in part:
+            body.insert(int(r.integers(5, 6 + len(part) + len(body) // 6)), w)
+        texts.append("\n".join(body))
+    got = {x.doc_id: (tuple(x.labels), round(x.score, 6)) for x in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    wanted = {}
+    for n, text in enumerate(texts):
+        w, base, best, labels = re.findall("[a-z0-9]+", (text or "").lower()), set(), 0.0, set()
+        for k in range(len(w)):
+            base |= {label for phrase, label in licenses.PHRASES.items() if w[k : k + len(phrase.split())] == phrase.split()}
+            for label, found, need, reach in sets:
+                if w[k] in found and len(inside := set(w[k : k + reach]) & set(found)) >= need:
+                    labels.add(label)
+                    best = max(best, len(inside) / len(found))
+        wanted[n] = tuple(sorted(labels | base)), round(best, 6)
+    assert got == wanted
+    assert got[0] == (("mit",), 1.0) and got[1] == ((), 0.0) and sum(bool(x[0]) for x in got.values()) > 20
+
+
+def test_one_long_turn_leaves_full_windows(spark):
+    """Forty turns of 24 tokens and one far longer: windows are as full as turns allow, and none exceeds the budget without need."""
+    from millrace.llm import chat
+
+    rows = [(1, k, "assistant" if k % 2 else "user", "w " * (900 if k == 40 else 20)) for k in range(41)]
+    rows += [(2, k, "system" if k == 0 else "user", "w " * n) for k, n in enumerate((50, 300, 10, 10, 400, 200, 2000, 5, 5))]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    for budget, history in ((1024, 256), (200, 60)):
+        made = chat.windows(frame, budget, history).orderBy("conv_id", "window").collect()
+        # A window over the budget is one turn with its history and the system turn.
+        assert all(x.n_tokens <= budget or x.n_turns - x.n_repeated == 1 for x in made)
+        mine = [x for x in made if x.conv_id == 1]
+        new = [len(x) for x in (r.turns for r in chat.read_back(chat.windows(frame, budget, history)).orderBy("conv_id", "window").collect() if r.conv_id == 1)]
+        assert sum(new) == 41
+        # All but the last windows before the long turn: one more turn would not fit.
+        assert all(x.n_tokens + 24 > budget - history for x in mine[:-2])
+        assert len(mine) <= 2 + 40 * 24 // (budget - 2 * 24 - 23)
+
+
+def test_a_common_phrase_fills_no_bucket(spark):
+    """One 8-word phrase, of the lowest hash there is, in different surroundings: its windows are dealt evenly, and repeats are still found."""
+    from millrace.llm import substring
+    from millrace.llm.common import spread
+
+    phrases = [[f"p{n}_{k}" for k in range(8)] for n in range(400)]
+    import pyarrow as pa
+
+    lowest = min(phrases, key=lambda p: substring.deal_keys(substring.word_values(pa.array([" ".join(p)]))[0], 8)[0])
+    texts = [" ".join([f"a{n}_{k}" for k in range(60)] + lowest + [f"b{n}_{k}" for k in range(60)]) for n in range(600)]
+    frame = spark.createDataFrame(list(enumerate(texts)) + [(700, texts[5])], "doc_id long, text string").repartition(4)
+    hot = substring.hot_keys(frame, 50, 1 << 20, 200)
+    buckets = np.zeros(200, int)
+    for t in texts:
+        values, offsets = substring.word_values(pa.array([t]))
+        doc, at = substring.places_of(offsets, 50)
+        own = spread(substring.rolling(values, 50, substring.BASES[0]))
+        key = substring.deal_keys(values, 50)
+        np.add.at(buckets, (spread(np.where(np.isin(key, hot), own, key)) % np.uint64(200)).astype(int), 1)
+    assert buckets.max() <= 3 * np.median(buckets)
+    gone = {x.doc_id: x.n_removed for x in substring.remove_repeats(frame).collect()}
+    assert gone.pop(700) == 128 and set(gone.values()) == {0}
