@@ -356,8 +356,9 @@ def classes_of(texts: DataFrame, words: int, similarity: float, block: int) -> D
 
     made = "node long, class long"
     sizes = texts.groupBy("label").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")).alias("size"))
+    sized = salted_join(texts, sizes, ["label"])
     large = written(sizes.filter(F.col("size") > block).select("label", F.ceil(F.col("size") / block).cast("int").alias("blocks")))
-    small = texts.join(sizes.filter(F.col("size") <= block), "label", "left_semi").groupBy("label").applyInArrow(compare, made)
+    small = sized.filter(F.col("size") <= block).select("label", "node", "text").groupBy("label").applyInArrow(compare, made)
     if large.isEmpty():
         return small
     dealt = salted_join(texts, large, ["label"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
