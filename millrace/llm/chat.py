@@ -65,9 +65,10 @@ def windows(turns: DataFrame, budget: int = 1024, history: int = 256, history_tu
     conversation; turns are ordered by turn (null first), role, text, and
     repeated rows are repeated turns. An empty table has no windows.
     """
-    conv = Window.partitionBy("conv_id")
+    conv = Window.partitionBy("key")
     order = conv.orderBy("turn", "role", "text")
-    clean = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    # A structure is never null, so a null conv_id is a key like others, and one dealing of the turns serves all steps.
+    clean = turns.select(F.struct("conv_id").alias("key"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     counted = clean.withColumn("tokens", tokens(F.col("text")))
     numbered = counted.withColumn("rn", F.row_number().over(order)).withColumn("before", F.coalesce(F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     ruled = numbered.withColumn("system_rn", F.min(F.when(F.col("role") == "system", F.col("rn"))).over(conv))
@@ -85,11 +86,11 @@ def windows(turns: DataFrame, budget: int = 1024, history: int = 256, history_tu
     step = lambda s, x: F.when(s["used"] + x["tokens"] <= s["room"], F.struct(s["starts"].alias("starts"), (s["used"] + x["tokens"]).alias("used"), s["room"].alias("room"))).otherwise(
         F.struct(F.concat(s["starts"], F.array(x["rn"])).alias("starts"), x["tokens"].alias("used"), x["room"].alias("room"))
     )
-    cuts = roomy.groupBy(F.col("conv_id").alias("cut_id")).agg(each.alias("each")).select("cut_id", F.aggregate("each", none, step, lambda s: s["starts"]).alias("starts"))
-    spanned = roomy.join(cuts, F.col("conv_id").eqNullSafe(F.col("cut_id"))).drop("cut_id", "room")
+    cuts = roomy.groupBy("key").agg(each.alias("each")).select("key", F.aggregate("each", none, step, lambda s: s["starts"]).alias("starts"))
+    spanned = roomy.join(cuts.hint("shuffle_merge"), "key").drop("room")
     spanned = spanned.withColumn("window", F.sum(F.array_contains("starts", F.col("rn")).cast("long")).over(order.rowsBetween(Window.unboundedPreceding, 0)) - 1).drop("starts")
     spanned = spanned.withColumn("last_window", F.max("window").over(conv))
-    back = Window.partitionBy("conv_id", "window").orderBy(F.col("rn").desc())
+    back = Window.partitionBy("key", "window").orderBy(F.col("rn").desc())
     spanned = spanned.withColumn("from_end", F.row_number().over(back)).withColumn("tail", F.sum("tokens").over(back.rowsBetween(Window.unboundedPreceding, 0)))
     is_system = F.col("rn") == F.coalesce("system_rn", F.lit(-1))
     as_history = (F.col("from_end") <= history_turns) & (F.col("tail") <= history) & (F.col("window") < F.col("last_window")) & ~is_system
@@ -102,17 +103,17 @@ def windows(turns: DataFrame, budget: int = 1024, history: int = 256, history_tu
         F.when(is_system & (F.col("window") < F.col("last_window")), F.transform(F.sequence(F.col("window") + 1, F.col("last_window")), lambda w: place(w, 0))).otherwise(none),
     )
     head = F.concat(F.lit(OPEN), escape_role(F.col("role")), F.lit("\n"))
-    laid = spanned.select("conv_id", "rn", "tokens", F.col("role").isin(*targets).alias("target"), head.alias("head"), escape(F.col("text")).alias("body"), F.inline(places))
+    laid = spanned.select("key", "rn", "tokens", F.col("role").isin(*targets).alias("target"), head.alias("head"), escape(F.col("text")).alias("body"), F.inline(places))
     laid = laid.withColumn("piece", F.concat("head", "body", F.lit(CLOSE)))
-    here = Window.partitionBy("conv_id", "window").orderBy("kind", "rn")
+    here = Window.partitionBy("key", "window").orderBy("kind", "rn")
     offset = F.coalesce(F.sum(F.length("piece")).over(here.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     laid = laid.withColumn("start", offset + F.length("head"))
     part = F.struct("kind", "rn", "piece", "start", F.length("body").alias("length"), ((F.col("kind") == 2) & F.col("target")).alias("learn"))
-    grouped = laid.groupBy("conv_id", "window").agg(
+    grouped = laid.groupBy("key", "window").agg(
         F.array_sort(F.collect_list(part)).alias("parts"), F.count_if(F.col("kind") < 2).alias("n_repeated"), F.count("*").alias("n_turns"), F.sum("tokens").alias("n_tokens")
     )
     loss = F.transform(F.filter("parts", lambda p: p["learn"]), lambda p: F.struct(p["start"].cast("long").alias("start"), p["length"].cast("long").alias("length")))
-    return grouped.select("conv_id", "window", F.array_join(F.transform("parts", lambda p: p["piece"]), "").alias("formatted"), loss.alias("loss"), "n_repeated", "n_turns", "n_tokens")
+    return grouped.select("key.conv_id", "window", F.array_join(F.transform("parts", lambda p: p["piece"]), "").alias("formatted"), loss.alias("loss"), "n_repeated", "n_turns", "n_tokens")
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
