@@ -141,11 +141,11 @@ def links(prints: DataFrame, limit: int = 4, chain: int = 3) -> DataFrame:
     ``chain`` (2 to limit + 1) sets how many bits fingerprints must share to
     meet: with five segments 2, 3, 4 and 5 make 10, 25, 70 and 210 rows for each
     fingerprint that meet on 19, 26, 32 and 39 bits. The result is the same.
-    Where a start segment has one value far too often, the longest chain is taken.
+    Where a start segment has one value far too often, a chain longer by two is taken.
     """
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     bits = lambda mask: F.col("fp").bitwiseAND(F.lit(signed(mask)))
-    plans = [ring(limit, chain), ring(limit, limit + 1)]
+    plans = [ring(limit, chain), ring(limit, min(limit + 1, chain + 2))]
     tags = [(start, mask) for plan in plans for start, masks, _ in plan for mask in masks]
     budgets = {start: b for start, _, b in plans[0]}
     # All that may meet from a start has its segment's value there. There are at most 2^13 values of each of five
@@ -158,8 +158,8 @@ def links(prints: DataFrame, limit: int = 4, chain: int = 3) -> DataFrame:
     for start, edge in enumerate(segments(limit)):
         mine = [v for s, v in hot if s == start]
         of = lambda plan, first: F.array(*(F.struct(F.lit(n).alias("tag"), bits(mask).alias("value")) for n, (s, mask) in enumerate(tags) if s == start and (n < first) == (plan == 0)))  # noqa: B023,E731
-        short, long = of(0, sum(len(m) for _, m, _ in plans[0])), of(1, sum(len(m) for _, m, _ in plans[0]))
-        keys.append(F.when(bits(edge).isin(mine), long).otherwise(short) if mine else short)
+        first = sum(len(masks) for _, masks, _ in plans[0])
+        keys.append(F.when(bits(edge).isin(mine), of(1, first)).otherwise(of(0, first)) if mine else of(0, first))
     met = prints.select("fp", F.inline(F.concat(*keys))).repartition(partitions(prints.sparkSession), "tag", "value").sortWithinPartitions("tag", "value", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
