@@ -19,7 +19,7 @@ window a piece.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import ceil, log2
 
 import numpy as np
@@ -128,21 +128,34 @@ def deal_keys(values: np.ndarray, window: int) -> np.ndarray:
     return sliding_least(spread(rolling(values, deal, BASES[1])), window - deal + 1)
 
 
-def hot_keys(docs: DataFrame, window: int, size: int, buckets: int) -> np.ndarray:
-    """The keys that too many of the sampled windows have for one of ``buckets``."""
+def frequent(docs: DataFrame, size: int, buckets: int, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]]) -> np.ndarray:
+    """The keys, sorted, of which a sample of ``docs``, ``size`` bytes of text, has too many for one of ``buckets``; ``keys_of`` gives those of a piece."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
-            values, offsets = word_values(piece.column("text"))
-            doc, at = places_of(offsets, window)
-            if len(doc):
-                keys, n = np.unique(deal_keys(values, window)[at + offsets[doc]], return_counts=True)
+            for found in keys_of(piece):
+                keys, n = np.unique(found, return_counts=True)
                 yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(n)], names=["key", "n"])
 
     share = min(1.0, max(SAMPLE_BYTES / max(size, 1), SAMPLE_SHARE))
-    counted = docs.select("text").sample(share, 7).mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    least = counted.agg(F.sum("n")).head()[0] or 0
-    return np.array([r.key for r in counted.filter(F.col("n") >= max(HOT_SHARE, 1 / (16 * buckets)) * least).select("key").collect()], np.int64).view(np.uint64) if least else np.empty(0, np.uint64)
+    counted = docs.sample(share, 7).mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    total = counted.agg(F.sum("n")).head()[0] or 0
+    if not total:
+        return np.empty(0, np.uint64)
+    hot = counted.filter(F.col("n") >= max(HOT_SHARE, 1 / (16 * buckets)) * total).select("key")
+    return np.sort(np.array([r.key for r in hot.collect()], np.int64).view(np.uint64))
+
+
+def hot_keys(docs: DataFrame, window: int, size: int, buckets: int) -> np.ndarray:
+    """The deal keys that too many of the sampled windows have for one of ``buckets``."""
+
+    def keys_of(piece: pa.RecordBatch) -> Iterator[np.ndarray]:
+        values, offsets = word_values(piece.column("text"))
+        doc, at = places_of(offsets, window)
+        if len(doc):
+            yield deal_keys(values, window)[at + offsets[doc]]
+
+    return frequent(docs.select("text"), size, buckets, keys_of)
 
 
 def repeated_windows(docs: DataFrame, window: int) -> DataFrame:

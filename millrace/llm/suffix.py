@@ -13,7 +13,14 @@ the leftmost place in them with the smallest hash of ``GRAM`` bytes. Equal
 strings have equal anchors at equal distances, so they share a bucket, and an
 anchor that occurs once in the corpus can't belong to a repeat. A first exchange
 therefore counts anchors (one for some 35 bytes, packed), and only the
-surroundings of repeated ones reach the buckets.
+surroundings of repeated ones reach the buckets. Equal surroundings are compared
+byte for byte and only the earliest is sorted.
+
+An anchor that stands in very many different surroundings would fill one bucket.
+Those that a sample shows to be so frequent are not counted, and the strings
+around them are dealt one by one, by the hash of all their bytes: different
+strings part, and equal ones mostly end in the task that reads them. The sample
+only balances the buckets.
 """
 
 from __future__ import annotations
@@ -30,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import as_bytes, keyed_texts, pieces, spread
-from millrace.llm.substring import META, META_NAMES, numbered, pack, rolling, sliding_least, unpack
+from millrace.llm.substring import META, META_NAMES, frequent, numbered, pack, rolling, sliding_least, unpack
 
 #: Period of the difference cover: suffixes are compared by so many bytes before ranks decide.
 COVER = 32
@@ -40,6 +47,8 @@ GRAM = 32
 BUCKETS, BUCKET_BYTES = 256, 8 << 20
 #: Windows that are hashed at once.
 BLOCK = 1 << 20
+#: Surroundings of hot anchors that a task remembers, to settle their repeats itself; those beyond meet in the buckets.
+REMEMBERED = 1 << 15
 
 BASE = 0x9E3779B97F4A7C15
 
@@ -157,8 +166,18 @@ def by_document(doc: np.ndarray, mark: np.ndarray, *columns: np.ndarray) -> Iter
         yield int(doc[a]), int(mark[a]), *(c[order[a:b]].tobytes() for c in columns)
 
 
-def repeated_anchors(texts: DataFrame, length: int, buckets: int) -> DataFrame:
-    """(doc_id, mark, at array<binary>): the places (packed int64) of anchors that occur more than once in the corpus."""
+def hot_anchors(texts: DataFrame, length: int, size: int, buckets: int) -> np.ndarray:
+    """The hashes, sorted, of anchors that are too frequent in a sample of ``doc_id, text`` for one of ``buckets``."""
+
+    def keys_of(piece: pa.RecordBatch) -> Iterator[np.ndarray]:
+        text, _, ends, _, _ = laid_out(piece)
+        return (hashes for _, hashes, *_ in anchors(text, ends, length))
+
+    return frequent(texts, size, buckets, keys_of)
+
+
+def repeated_anchors(texts: DataFrame, length: int, buckets: int, hot: np.ndarray) -> DataFrame:
+    """(doc_id, mark, at array<binary>): the places (packed int64) of anchors that occur more than once in the corpus; those of ``hot`` ones, which pass by uncounted, among them."""
     width = 6  # bytes of a hash beside its bucket; a chance agreement only costs work
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,28 +185,33 @@ def repeated_anchors(texts: DataFrame, length: int, buckets: int) -> DataFrame:
             text, begins, ends, ids, marks = laid_out(piece)
             for doc, hashes, anchor, _, _ in anchors(text, ends, length):
                 at = anchor - begins[doc]
+                known = np.isin(hashes, hot)
+                rows = [(int(spread(np.array([one], np.int64).view(np.uint64))[0] % np.uint64(buckets)), one, mark, None, places) for one, mark, places in by_document(ids[doc[known]], marks[doc[known]], at[known])]
+                doc, hashes, at = doc[~known], hashes[~known], at[~known]
                 bucket = (spread(hashes) % np.uint64(buckets)).astype(np.uint32)
                 order = np.argsort(bucket, kind="stable")
                 wide = hashes.view(np.uint8).reshape(-1, 8)[:, 8 - width :]
-                cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(order)]])
-                rows = [(int(bucket[s[0]]), wide[s].tobytes(), pack(doc[s], at[s], ids, marks)) for s in (order[a:b] for a, b in zip(cuts, cuts[1:]))]
-                none = pa.nulls(len(rows), pa.int64())
-                yield pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), none, none.cast(pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=META_NAMES)
+                cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(order)]]) if len(order) else [0]
+                rows += [(int(bucket[s[0]]), None, None, wide[s].tobytes(), pack(doc[s], at[s], ids, marks)) for s in (order[a:b] for a, b in zip(cuts, cuts[1:]))]
+                yield pa.record_batch([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=META_NAMES)
 
     def meet(found: pa.Table) -> pa.Table:
+        counted = pa.compute.is_valid(found["hashes"])
+        out = [tuple(row.values()) for row in found.filter(pa.compute.invert(counted)).select(["doc_id", "mark", "meta"]).to_pylist()]
         hashes, parts = [], []
-        for row in found.select(["hashes", "meta"]).to_pylist():
+        for row in found.filter(counted).select(["hashes", "meta"]).to_pylist():
             full = np.zeros((len(row["hashes"]) // width, 8), np.uint8)
             full[:, 8 - width :] = np.frombuffer(row["hashes"], np.uint8).reshape(-1, width)
             hashes.append(full.view(np.uint64).reshape(-1))
             parts.append(unpack(row["meta"]))
-        key = np.concatenate(hashes)
-        doc, mark, at = (np.concatenate(x) for x in zip(*parts))
-        order = np.argsort(key)
-        same = key[order[1:]] == key[order[:-1]]
-        twice = np.zeros(len(key), bool)
-        twice[order[1:][same]] = twice[order[:-1][same]] = True
-        out = list(by_document(doc[twice], mark[twice], at[twice]))
+        if hashes:
+            key = np.concatenate(hashes)
+            doc, mark, at = (np.concatenate(x) for x in zip(*parts))
+            order = np.argsort(key)
+            same = key[order[1:]] == key[order[:-1]]
+            twice = np.zeros(len(key), bool)
+            twice[order[1:][same]] = twice[order[:-1][same]] = True
+            out += by_document(doc[twice], mark[twice], at[twice])
         return pa.table({"doc_id": pa.array([x[0] for x in out], pa.int64()), "mark": pa.array([x[1] for x in out], pa.int32()), "at": pa.array([x[2] for x in out], pa.binary())})
 
     met = texts.mapInArrow(emit, META).groupBy("bucket").applyInArrow(meet, "doc_id long, mark int, at binary")
@@ -210,10 +234,17 @@ def earliest(key: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def surroundings(known: DataFrame, length: int, buckets: int) -> DataFrame:
-    """``SURROUNDINGS`` rows for the repeated anchors of ``doc_id, mark, text, at``. Of equal surroundings in a piece only the earliest goes on; the others' bytes are repeats and return as they are (``text`` null, ``meta`` packed begin and end)."""
+def named(data: bytes, begin: np.ndarray, end: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """A number for each [begin, end) of ``data``, the same for equal bytes with the anchor at the same place in them."""
+    seen: dict[tuple[int, bytes], int] = {}
+    return np.fromiter((seen.setdefault((p, data[a:b]), len(seen)) for a, b, p in zip(begin.tolist(), end.tolist(), before.tolist())), np.int64, len(begin))
+
+
+def surroundings(known: DataFrame, length: int, buckets: int, hot: np.ndarray) -> DataFrame:
+    """``SURROUNDINGS`` rows for the repeated anchors of ``doc_id, mark, text, at``; ``hot`` ones have one for every string around them. Of equal surroundings in a piece only the earliest goes on; the others' bytes are repeats and return as they are (``text`` null, ``meta`` packed begin and end)."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        remembered: dict[tuple[int, bytes], tuple[int, int]] = {}
         for piece in pieces(batches, "text", 2 << 20):
             text, begins, ends, ids, marks = laid_out(piece)
             wanted = [np.frombuffer(b"".join(x), np.int64) + b for x, b in zip(piece.column("at").to_pylist(), begins)]
@@ -226,26 +257,45 @@ def surroundings(known: DataFrame, length: int, buckets: int) -> DataFrame:
                     into.append(column[hit])
             if not found[0]:
                 continue
-            doc, hashes, anchor, low, high = map(np.concatenate, found)
-            data = text.tobytes()
-            tail = (high + length).tolist()
-            # Two numbers name a surrounding: its bytes' hash and where the anchor stands in it.
-            print_of = np.fromiter((xxhash.xxh3_64_intdigest(data[a:b], p - a) for a, b, p in zip(low.tolist(), tail, anchor.tolist())), np.uint64, len(low))
-            at = low - begins[doc]
-            first = earliest(print_of, ids[doc], at)
-            rows = []
-            again = np.flatnonzero(~first)
-            for one, mark, begin, end in by_document(ids[doc[again]], marks[doc[again]], at[again], (high + length - begins[doc])[again]):
-                rows.append((int(spread(np.array([one], np.int64).view(np.uint64))[0] % np.uint64(buckets)), one, mark, None, begin + end))
-            stay = np.flatnonzero(first)
-            bucket = (spread(hashes[stay]) % np.uint64(buckets)).astype(np.uint32)
+            data, rows = text.tobytes(), []
+
+            def settled(doc: np.ndarray, low: np.ndarray, high: np.ndarray, again: np.ndarray) -> None:
+                doc, low, high = doc[again], low[again], high[again]
+                for one, mark, begin, end in by_document(ids[doc], marks[doc], low - begins[doc], high + length - begins[doc]):
+                    rows.append((int(spread(np.array([one], np.int64).view(np.uint64))[0] % np.uint64(buckets)), one, mark, None, begin + end))
+
+            def distinct(doc: np.ndarray, hashes: np.ndarray, anchor: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+                first = earliest(named(data, low, high + length, anchor - low), ids[doc], low - begins[doc])
+                settled(doc, low, high, ~first)
+                return doc[first], hashes[first], anchor[first], low[first], high[first]
+
+            doc, hashes, anchor, low, high = distinct(*map(np.concatenate, found))
+            common = np.isin(hashes, hot)
+            if common.any():
+                # Of what the task has met before, only an earlier place goes on.
+                before = np.zeros(len(doc), bool)
+                for k in np.flatnonzero(common).tolist():
+                    key, place = (int(anchor[k] - low[k]), data[low[k] : high[k] + length]), (int(ids[doc[k]]), int(low[k] - begins[doc[k]]))
+                    if key not in remembered and len(remembered) == REMEMBERED:
+                        continue
+                    before[k] = remembered.setdefault(key, place) < place
+                    remembered[key] = min(remembered[key], place)
+                settled(doc, low, high, before)
+                # The others become single strings, each under the hash of its bytes.
+                one = np.flatnonzero(common & ~before)
+                n = high[one] - low[one] + 1
+                start = np.repeat(low[one], n) + within(n)
+                own = np.fromiter((xxhash.xxh3_64_intdigest(data[a : a + length]) for a in start.tolist()), np.uint64, len(start))
+                single = distinct(np.repeat(doc[one], n), own, np.repeat(anchor[one], n), start, start)
+                doc, hashes, anchor, low, high = (np.concatenate([x[~common], y]) for x, y in zip((doc, hashes, anchor, low, high), single))
+            bucket = (spread(hashes) % np.uint64(buckets)).astype(np.uint32)
             order = np.argsort(bucket, kind="stable")
-            stay, bucket = stay[order], bucket[order]
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(stay)]]) if len(stay) else [0]
+            bucket = bucket[order]
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(order)]]) if len(order) else [0]
             pressed = zstandard.ZstdCompressor(level=1)
             for a, b in zip(cuts, cuts[1:]):
-                s = stay[a:b]
-                columns = [hashes[s], ids[doc[s]], marks[doc[s]], at[s], anchor[s] - low[s], high[s] - low[s] + 1]
+                s = order[a:b]
+                columns = [hashes[s], ids[doc[s]], marks[doc[s]], low[s] - begins[doc[s]], anchor[s] - low[s], high[s] - low[s] + 1]
                 meta = b"".join(c.astype(kind).view(np.uint8).reshape(len(s), -1).T.tobytes() for c, (_, kind) in zip(columns, FIELDS))
                 rows.append((int(bucket[a]), None, None, pressed.compress(b"".join([data[i:j] for i, j in zip(low[s].tolist(), (high[s] + length).tolist())])), pressed.compress(meta)))
             yield pa.record_batch([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=[x.split()[0] for x in SURROUNDINGS.split(", ")])
@@ -269,8 +319,7 @@ def repeats_in_bucket(parts: list[tuple[bytes, bytes]], length: int) -> tuple[np
     data = b"".join(texts)
     size = starts - 1 + length
     begin = np.cumsum(size) - size
-    print_of = np.fromiter((xxhash.xxh3_64_intdigest(data[a : a + n], p) for a, n, p in zip(begin.tolist(), size.tolist(), before.tolist())), np.uint64, len(size))
-    first = earliest(print_of, doc, at)
+    first = earliest(named(data, begin, begin + size, before), doc, at)
     out = [(doc[~first], mark[~first], at[~first], (at + size)[~first])]
     # Only anchors that occur in different surroundings are left to sort.
     keep = np.flatnonzero(first)
@@ -339,9 +388,10 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     size = docs.select(F.sum(F.octet_length(text))).head()[0] or 0
     buckets = max(BUCKETS, ceil(size / BUCKET_BYTES))
     # Both joins below take the same rows and columns of this side, so Spark shuffles the texts once and reads them twice.
-    named = texts.filter("doc_id is not null")
-    repeated = repeated_anchors(named.select("doc_id", "text"), length, buckets)
-    known = named.join(repeated, ["doc_id", "mark"]).select("doc_id", "mark", "text", "at")
+    keyed = texts.filter("doc_id is not null")
+    hot = hot_anchors(keyed.select("doc_id", "text"), length, size, buckets)
+    repeated = repeated_anchors(keyed.select("doc_id", "text"), length, buckets, hot)
+    known = keyed.join(repeated, ["doc_id", "mark"]).select("doc_id", "mark", "text", "at")
 
     def meet(found: pa.Table) -> pa.Table:
         rows = [(r["doc_id"], r["mark"], r["meta"]) for r in found.select(["doc_id", "mark", "text", "meta"]).filter(pa.compute.is_null(found["text"])).to_pylist()]
@@ -353,7 +403,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 rows.append((one, m, b.tobytes() + e.tobytes()))
         return pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "mark": pa.array([r[1] for r in rows], pa.int32()), "runs": pa.array([r[2] for r in rows], pa.binary())})
 
-    found = surroundings(known, length, buckets).groupBy("bucket").applyInArrow(meet, "doc_id long, mark int, runs binary")
+    found = surroundings(known, length, buckets, hot).groupBy("bucket").applyInArrow(meet, "doc_id long, mark int, runs binary")
     runs = found.groupBy("doc_id", "mark").agg(F.collect_list("runs").alias("runs"))
     span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
@@ -368,6 +418,6 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 spans.append([{"begin": a, "end": b} for a, b in removed])
             yield pa.record_batch([piece.column("doc_id"), pa.array([len(t) for t in texts], pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary())], names=["doc_id", "n_bytes", "n_removed", "spans", "kept"])
 
-    joined = named.join(runs, ["doc_id", "mark"], "left").select("doc_id", "text", "runs")
+    joined = keyed.join(runs, ["doc_id", "mark"], "left").select("doc_id", "text", "runs")
     nameless = texts.filter("doc_id is null").select("doc_id", "text", F.lit(None).cast("array<binary>").alias("runs"))
     return joined.unionByName(nameless).mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, spans array<struct<begin:bigint,end:bigint>>, kept binary")

@@ -212,3 +212,28 @@ def test_a_common_phrase_fills_no_bucket(spark):
     assert buckets.max() <= 3 * np.median(buckets)
     gone = {x.doc_id: x.n_removed for x in substring.remove_repeats(frame).collect()}
     assert gone.pop(700) == 128 and set(gone.values()) == {0}
+
+
+def test_a_common_anchor_fills_no_bucket(spark):
+    """One 90-byte phrase in 1500 different surroundings: strings around it are dealt evenly, a task settles repeats itself, and just the repeats are found."""
+    from millrace.llm import suffix
+    from millrace.llm.substring import numbered
+
+    phrase = "".join(f"{k:03d}" for k in range(30))
+    r = np.random.default_rng(4)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz "))
+    side = lambda: "".join(r.choice(letters, size=120))
+    texts = [side() + phrase + side() for _ in range(1500)]
+    whole = "".join(r.choice(letters, size=400))
+    rows = list(enumerate(texts)) + [(2000, texts[7]), (2001, texts[9][30:260])] + [(3000 + k, whole) for k in range(800)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    keyed, length, buckets = numbered(frame), 100, 256
+    hot = suffix.hot_anchors(frame, length, 1 << 20, buckets)
+    assert len(hot)
+    repeated = suffix.repeated_anchors(frame, length, buckets, hot)
+    known = keyed.join(repeated, ["doc_id", "mark"]).select("doc_id", "mark", "text", "at")
+    size = {x.bucket: x.n for x in suffix.surroundings(known, length, buckets, hot).filter("text is not null").groupBy("bucket").agg(F.sum(F.octet_length("text")).alias("n")).collect()}
+    assert len(size) == buckets and max(size.values()) <= 3 * np.median(list(size.values()))
+    gone = {x.doc_id: x.n_removed for x in suffix.remove_repeats(frame).collect()}
+    assert gone.pop(2000) == 330 and gone.pop(2001) == 230
+    assert {d for d, n in gone.items() if n} == set(range(3001, 3800)) and {gone[d] for d in range(3001, 3800)} == {400}
