@@ -37,6 +37,8 @@ BLOCK_WORDS = 1 << 20
 BROADCAST_ROWS = 1 << 20
 #: Hits of seeds that are sorted at once, unless one document has more.
 HITS = 1 << 21
+#: Words of text in one alignment, besides the overlap, unless the item is longer.
+STRETCH = 1 << 16
 
 TRIM = b".,;:!?\"'()[]{}#*$%&|<>"
 
@@ -103,7 +105,10 @@ class Items:
             begin, end = np.maximum(begin - self.reach[item], offsets[text]), np.minimum(end + self.reach[item], offsets[text + 1])
             new = np.flatnonzero(np.concatenate([[True], (np.diff(key[fits]) != 0) | (begin[1:] > end[:-1])]))
             for i, d, x, y in zip(item[new].tolist(), text[new].tolist(), begin[new].tolist(), end[np.concatenate([new[1:] - 1, [len(fits) - 1]])].tolist()):
-                out.setdefault(i, []).append((d, x, y))
+                # A long stretch is aligned in parts that overlap by the longest alignment, so each alignment is whole in one of them.
+                over = int(self.reach[i])
+                part = max(STRETCH, over)
+                out.setdefault(i, []).extend((d, a, min(y, a + part + over)) for a in range(x, max(x + 1, y - over), part))
         return out
 
 
