@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -356,8 +358,10 @@ def field_spans(text: str, field: Field) -> list[tuple[str, int, int]]:
 def all_spans(text: str, field: Field) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """The base spans, and all spans: base ones and those of the field that overlap none, by kind and begin."""
     base = base_spans(text)
+    # Of the base spans that begin before a span ends, the one that reaches farthest decides whether any overlaps it.
     taken = sorted((a, b) for _, a, b in base)
-    more = [s for s in field_spans(text, field) if not any(a < s[2] and s[1] < b for a, b in taken)]
+    begins, ends = [a for a, _ in taken], [0, *accumulate((b for _, b in taken), max)]
+    more = [s for s in field_spans(text, field) if ends[bisect_left(begins, s[2])] <= s[1]]
     order = {k: n for n, k in enumerate(KINDS)}
     return base, sorted(base + more, key=lambda s: (order[s[0]], s[1]))
 
