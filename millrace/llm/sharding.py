@@ -16,12 +16,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import written
+from millrace.llm.common import unused, written
 
 #: Hex digits of the hash that name a slice of a source: 4096 slices each.
 SLICE_DIGITS = 3
 #: Slices of the scale of fractional ranks.
 SCALE = 4096
+#: Rows of a file of a shard.
+FILE_ROWS = 1 << 17
 
 COLUMNS = ["doc_id", "source", "size", "text_crc32"]
 
@@ -65,13 +67,35 @@ def shard(rows: DataFrame, shards: int, seed: int = 0) -> DataFrame:
 
 def measured(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """``doc_id, source, size, text_crc32`` of every row: UTF-8 bytes of the text plus 16, and its CRC-32; a null text counts as empty."""
+    return docs.select(*measured_columns(doc_id, source, text))
+
+
+def measured_columns(doc_id: str, source: str, text: str) -> list[Column]:
     whole = F.coalesce(F.col(text), F.lit(""))
-    return docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), (F.octet_length(whole).cast("long") + 16).alias("size"), F.crc32(whole).alias("text_crc32")
-    )
+    return [F.col(doc_id).cast("long").alias("doc_id"), F.col(source).cast("string").alias("source"), (F.octet_length(whole).cast("long") + 16).alias("size"), F.crc32(whole).alias("text_crc32")]
+
 
+def numbered(rows: DataFrame, order: Column) -> DataFrame:
+    """Add ``key``, which names the values of ``COLUMNS``, and ``copy``, which numbers the rows that share it."""
+    number, source, rest = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("doc_id", "source", "size"))
+    keyed = rows.withColumn("key", F.concat_ws(":", number, rest, "text_crc32", F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), source))))
+    return keyed.withColumn("copy", F.row_number().over(Window.partitionBy("key").orderBy(order)))
 
-def write_shards(docs: DataFrame, assigned: DataFrame, path: str, doc_id: str = "doc_id") -> None:
-    """Write all columns of ``docs`` as one folder of Parquet files a shard, rows in slot order inside a file. ``doc_id`` must be a key."""
-    found = docs.join(assigned.select(F.col("doc_id").alias(doc_id), "shard", "slot"), doc_id)
-    found.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+
+def write_shards(docs: DataFrame, assigned: DataFrame, path: str, doc_id: str = "doc_id", source: str = "source", text: str = "text", rows_per_file: int = FILE_ROWS) -> None:
+    """Write all columns of ``docs`` as one folder of Parquet files a shard, rows in slot order inside a file of at most ``rows_per_file`` rows.
+
+    ``assigned`` is what ``shard`` makes of ``measured(docs)``. Its columns
+    ``shard`` and ``slot`` are written too, under longer names where docs has
+    these. A row finds its slot by what ``measured`` says of it, a null doc_id or
+    source included; rows alike in all of that take their slots by a hash of
+    their columns, each row one. A shard is dealt over tasks by ranges of slots,
+    so no task holds a whole one. An empty table gives an empty folder.
+    """
+    shard_name, slot_name = unused("shard", docs.columns), unused("slot", docs.columns)
+    held = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(*(c for c, kind in docs.dtypes if "map<" not in kind)).alias("hash"), *measured_columns(doc_id, source, text))
+    mine = numbered(held, F.col("hash")).select("row", "key", "copy")
+    places = numbered(assigned.select(*COLUMNS, "shard", "slot"), F.struct("shard", "slot")).select("key", "copy", F.col("shard").alias(shard_name), F.col("slot").alias(slot_name))
+    found = mine.join(places, ["key", "copy"]).select("row.*", shard_name, slot_name)
+    dealt = found.repartition(shard_name, F.floor(F.col(slot_name) / rows_per_file)).sortWithinPartitions(shard_name, slot_name)
+    dealt.write.option("maxRecordsPerFile", rows_per_file).partitionBy(shard_name).parquet(path)

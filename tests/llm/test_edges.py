@@ -53,6 +53,24 @@ def test_sharding(docs, none):
     assert len({r.shard for r in many}) == len(ROWS) and {r.slot for r in many} == {0}
 
 
+def test_written_shards(spark, docs, tmp_path):
+    """Every row goes into its shard once: rows without an id, repeated rows and clashing names included; files are bounded."""
+    odd = docs.select("doc_id", "text", "source", F.lit(1).alias("shard"), F.lit("k").alias("key"), F.lit(2).alias("Copy"), F.create_map(F.lit("a"), F.lit(1)).alias("row"))
+    odd = odd.unionByName(odd)
+    assigned = sharding.shard(sharding.measured(odd), 3)
+    sharding.write_shards(odd, assigned, str(tmp_path / "out"), rows_per_file=2)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    facts = ["doc_id", "text", "source", "shard", "key", "Copy"]
+    assert sorted(map(str, back.select(*facts).collect())) == sorted(map(str, odd.select(*facts).collect()))
+    places = sorted((r.shard_, r.slot) for r in back.collect())
+    assert places == sorted((r.shard, r.slot) for r in assigned.collect()) and len(set(places)) == odd.count()
+    files = back.withColumn("file", F.input_file_name()).groupBy("file").agg(F.count("*").alias("n"), F.countDistinct("shard_").alias("shards")).collect()
+    assert max(r.n for r in files) <= 2 and all(r.shards == 1 for r in files)
+    none = odd.limit(0)
+    sharding.write_shards(none, sharding.shard(sharding.measured(none), 3), str(tmp_path / "none"))
+    assert not list((tmp_path / "none").rglob("*.parquet"))
+
+
 def test_licenses(docs, none):
     found = {(r.doc_id, r.n_words, tuple(r.labels)) for r in licenses.scan(docs).collect()}
     assert {(3, 0, ()), (4, 0, ()), (None, 0, ()), (8, 72, ("mit",))} <= found

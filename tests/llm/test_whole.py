@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import decontam, simhash
+from millrace.llm import decontam, pii, simhash
 
 
 def shingles(text: str) -> set:
@@ -237,3 +237,35 @@ def test_a_common_anchor_fills_no_bucket(spark):
     gone = {x.doc_id: x.n_removed for x in suffix.remove_repeats(frame).collect()}
     assert gone.pop(2000) == 330 and gone.pop(2001) == 230
     assert {d for d, n in gone.items() if n} == set(range(3001, 3800)) and {gone[d] for d in range(3001, 3800)} == {400}
+
+
+def test_long_stretches_are_aligned_in_parts(monkeypatch):
+    """A text full of an item's words is one stretch; its parts give the best score of the whole, and none is longer than the bound."""
+    import pyarrow as pa
+
+    r = np.random.default_rng(5)
+    monkeypatch.setattr(decontam, "STRETCH", 64)
+    item = [f"w{k}" for k in range(30)]
+    items = decontam.Items([1], pa.array([" ".join(item)]), 0.5)
+    text = list(r.choice(item, size=900))
+    for at in (0, 55, 120, 333, 870):
+        placed = text[:at] + item + text[at + 30 :]
+        codes, offsets = decontam.coded(pa.array([" ".join(placed)]))
+        [stretches] = items.meetings(codes, offsets).values()
+        assert len(stretches) > 3 and max(b - a for _, a, b in stretches) <= max(64, items.reach[0]) + items.reach[0]
+        assert stretches[0][1] == 0 and stretches[-1][2] == 900
+        whole = decontam.align(items.words[0], [codes])[0]
+        best = max(((score, -(a + x), a + y) for _, a, b in stretches for score, x, y in decontam.align(items.words[0], [codes[a:b]])))
+        assert best == (whole[0], -whole[1], whole[2])
+
+
+def test_field_spans_overlap_no_base_span(monkeypatch):
+    """The search by begin finds the overlaps that a comparison with every base span finds."""
+    r = np.random.default_rng(6)
+    for _ in range(300):
+        base = [("ip", int(a), int(a + n)) for a, n in zip(r.integers(0, 60, 6), r.integers(1, 12, 6))][: int(r.integers(0, 7))]
+        more = [("phone", int(a), int(a + n)) for a, n in zip(r.integers(0, 60, 8), r.integers(1, 12, 8))]
+        monkeypatch.setattr(pii, "base_spans", lambda text, base=base: base)
+        monkeypatch.setattr(pii, "field_spans", lambda text, field, more=more: more)
+        kept = [s for s in pii.all_spans("", None)[1] if s[0] == "phone"]
+        assert sorted(kept) == sorted(s for s in more if not any(a < s[2] and s[1] < b for _, a, b in base))
