@@ -105,6 +105,9 @@ class Items:
             begin, end = np.maximum(begin - self.reach[item], offsets[text]), np.minimum(end + self.reach[item], offsets[text + 1])
             new = np.flatnonzero(np.concatenate([[True], (np.diff(key[fits]) != 0) | (begin[1:] > end[:-1])]))
             for i, d, x, y in zip(item[new].tolist(), text[new].tolist(), begin[new].tolist(), end[np.concatenate([new[1:] - 1, [len(fits) - 1]])].tolist()):
+                if y - x <= STRETCH:
+                    out.setdefault(i, []).append((d, x, y))
+                    continue
                 # A long stretch is aligned in parts that overlap by the longest alignment, so each alignment is whole in one of them.
                 over = int(self.reach[i])
                 part = max(STRETCH, over)
