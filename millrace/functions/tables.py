@@ -22,6 +22,14 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(*frames: DataFrame) -> None:
+    """Delete the files of tables made by ``written`` that no later step reads."""
+    for df in frames:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def in_order(df: DataFrame, order: Sequence[Column | str], within: str | None = None, place: str = "place", size: str | None = None) -> DataFrame:
     """Add ``place``: 0, 1, 2, ... of every row in ``order``, or in that order among the rows of the same ``within``; the result is a written table.
 
@@ -43,4 +51,6 @@ def in_order(df: DataFrame, order: Sequence[Column | str], within: str | None =
     before = F.coalesce(F.sum("_n").over(group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     found = counts.select(*keys, (before - F.col("_first")).alias("_shift"), *([F.sum("_n").over(group).alias(size)] if size else []))
     placed = ranged.join(found if within else F.broadcast(found), keys)
-    return placed.withColumn(place, F.col("_at") + F.col("_shift")).select(*df.columns, place, *([size] if size else []))
+    out = written(placed.withColumn(place, F.col("_at") + F.col("_shift")).select(*df.columns, place, *([size] if size else [])))
+    dropped(once, sorted_)
+    return out
