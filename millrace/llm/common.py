@@ -11,25 +11,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.tables import dropped, shared_dir, written  # noqa: F401
+
 #: ASCII white space: the separators of words in most contracts.
 SPACE = b" \t\n\x0b\x0c\r"
 #: Tasks over which a hot join key is dealt.
 SALTS = 16
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a folder of the warehouse where the cluster names none."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/millrace_written"
-
-
-def written(df: DataFrame) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: lineage ends there, so a lost executor costs one task."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/millrace-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def bucketed(df: DataFrame, key: str) -> DataFrame:
     """As ``written``, in buckets by ``key``, so that grouping by it later shuffles nothing."""
     spark = df.sparkSession
@@ -38,14 +27,6 @@ def bucketed(df: DataFrame, key: str) -> DataFrame:
     return spark.table(name)
 
 
-def dropped(*frames: DataFrame) -> None:
-    """Delete the files of tables made by ``written`` that no later step reads."""
-    for df in frames:
-        for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file)
-            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -146,4 +146,82 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-ORACLE_SQL = {"op2_sharding": OP2, "op3_license_scan": op3(), "op6_chat_windows": op6(), "op7_substring_dedup": OP7, "op8_quality_rules": OP8}
+#: CRC-32 of the bytes whose hex digits are X.
+CRC = "CASE WHEN X = '' THEN 0 ELSE xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, len(X) // 2 + 1), lambda i: ('0x' || X[2 * i - 1 : 2 * i])::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) END"
+CRC_TABLE = """crc_table AS (
+  SELECT list(v ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, i: xor(c >> 1, CASE WHEN c % 2 = 1 THEN 3988292384 ELSE 0 END)) AS v
+    FROM (SELECT unnest(range(256)) AS b)))"""
+
+
+def lower(text: str) -> str:
+    return f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+
+OP11 = rf"""
+WITH {CRC_TABLE},
+texts AS (SELECT true AS source, doc_id, text FROM documents UNION ALL SELECT false, NULL, text FROM benchmark),
+words AS (
+  SELECT source, row_number() OVER () AS r, doc_id, list_filter(string_split_regex({lower("coalesce(text, '')")}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM texts),
+places AS (SELECT source, r, unnest(range(len(w))) AS i, unnest(w) AS a FROM words),
+pairs AS (SELECT *, lead(a) OVER (PARTITION BY r ORDER BY i) AS b FROM places),
+features AS (SELECT source, r, a AS f FROM pairs UNION ALL SELECT source, r, a || ' ' || b FROM pairs WHERE b IS NOT NULL),
+per_doc AS (SELECT source, r, f, count(*) AS n FROM features GROUP BY ALL),
+distinct_f AS (SELECT f, coalesce(sum(n) FILTER (source), 0) AS s, coalesce(sum(n) FILTER (NOT source), 0) AS t FROM per_doc GROUP BY f),
+hexed AS (SELECT f, s, t, lower(hex(encode(f))) AS h FROM distinct_f),
+dictionary AS (SELECT f, hexed.s, hexed.t, ({CRC.replace("X", "h").replace("t[(", "crc_table.t[(")}) % 10000 AS bucket FROM hexed, crc_table),
+buckets AS (SELECT bucket, sum(s) AS s, sum(t) AS t FROM dictionary GROUP BY bucket),
+totals AS (SELECT sum(s) AS s, sum(t) AS t FROM dictionary),
+gains AS (
+  SELECT bucket, floor(1000 * ln((b.t::DOUBLE + 1) * (a.s::DOUBLE + 10000) / ((b.s::DOUBLE + 1) * (a.t::DOUBLE + 10000))))::BIGINT AS gain FROM buckets b, totals a),
+summed AS (SELECT r, sum(n * gain)::BIGINT AS total FROM per_doc JOIN dictionary USING (f) JOIN gains USING (bucket) WHERE source GROUP BY r),
+weighed AS (
+  SELECT doc_id, len(w) AS n_words, greatest(2 * len(w) - 1, 0)::BIGINT AS n_features, coalesce(total, 0) AS total,
+    ('0x' || sha256('7:' || coalesce(doc_id::VARCHAR, ''))[:8])::BIGINT AS h FROM words LEFT JOIN summed USING (r) WHERE source),
+scored AS (
+  SELECT *, CASE WHEN n_features = 0 THEN 0 ELSE (total - ((total % n_features) + n_features) % n_features) // n_features END AS weight FROM weighed),
+ordered AS (
+  SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM scored),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (n_words >= 20) OVER () AS n FROM ordered)
+SELECT doc_id, n_features, weight::BIGINT AS weight, score::BIGINT AS score, CASE WHEN n_words >= 20 AND place <= 25 * n // 100 THEN place END::BIGINT AS rank FROM ranked
+"""
+
+
+def op12() -> str:
+    field = "CASE WHEN X IS NULL THEN '-' ELSE octet_length(encode(X::VARCHAR)) || ':' || X END"
+    leaf = lambda text: "sha256(" + " || ".join(f"({field.replace('X', c)})" for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    grow = "SELECT g, lvl + 1, pos // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY pos)) FROM X WHERE n > 1 GROUP BY g, lvl, n, pos // 8"
+    runs = "SELECT g, lvl, pos // 8 AS up, list(digest ORDER BY pos) AS run FROM X WHERE n > 1 GROUP BY g, lvl, pos // 8"
+    step = "lvl + 1, f.pos // 8, proof || array_to_string(list_concat(run[: f.pos % 8], run[f.pos % 8 + 2 :]), ''), sha256(array_to_string(list_concat(run[: f.pos % 8], [acc], run[f.pos % 8 + 2 :]), ''))"
+    return rf"""
+WITH RECURSIVE {CRC_TABLE},
+marked AS (
+  SELECT *, CASE WHEN ({CRC.replace("X", "hex(encode(doc_id::VARCHAR))")}) % 3 = 0 THEN {lower("text")} ELSE text END AS altered FROM documents, crc_table),
+leaves AS (SELECT doc_id, coalesce('+' || lang, '') AS g, {leaf("text")} AS leaf, {leaf("altered")} AS other FROM marked),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM leaves),
+numbered AS (SELECT *, row_number() OVER (ORDER BY g, pos) AS r FROM placed),
+up(g, lvl, pos, n, digest) AS (SELECT g, 0, pos, n, leaf FROM placed UNION ALL {grow.replace("X", "up")}),
+tops AS (SELECT g, digest FROM up WHERE n = 1),
+langs AS (SELECT g AS lang_key, digest, '' AS g, row_number() OVER (ORDER BY encode(g)) - 1 AS pos, count(*) OVER () AS n FROM tops),
+crown(g, lvl, pos, n, digest) AS (SELECT g, 0, pos, n, digest FROM langs UNION ALL {grow.replace("X", "crown")}),
+runs AS ({runs.replace("X", "up")}),
+crown_runs AS ({runs.replace("X", "crown")}),
+path(r, g, lvl, pos, proof, acc) AS (
+  SELECT r, g, 0, pos, '', other FROM numbered
+  UNION ALL SELECT f.r, f.g, {step.replace("lvl", "f.lvl", 1)} FROM path f JOIN runs ON runs.g = f.g AND runs.lvl = f.lvl AND runs.up = f.pos // 8),
+halfway AS (SELECT r, arg_max(proof, lvl) AS proof, arg_max(acc, lvl) AS acc FROM path GROUP BY r),
+above(r, lvl, pos, proof, acc) AS (
+  SELECT h.r, 0, l.pos, h.proof, h.acc FROM halfway h JOIN numbered USING (r) JOIN langs l ON l.lang_key = numbered.g
+  UNION ALL SELECT f.r, {step.replace("lvl", "f.lvl", 1)} FROM above f JOIN crown_runs c ON c.lvl = f.lvl AND c.up = f.pos // 8),
+whole AS (SELECT r, arg_max(proof, lvl) AS proof, arg_max(acc, lvl) AS acc FROM above GROUP BY r)
+SELECT doc_id, leaf, tops.digest AS subroot, crown.digest AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = crown.digest AS verified
+FROM numbered JOIN whole USING (r) JOIN tops ON tops.g = numbered.g JOIN crown ON crown.n = 1
+"""
+
+
+ORACLE_SQL = {
+    "op2_sharding": OP2, "op3_license_scan": op3(), "op6_chat_windows": op6(), "op7_substring_dedup": OP7, "op8_quality_rules": OP8,
+    "op11_importance_resampling": OP11, "op12_merkle_manifest": op12(),
+}

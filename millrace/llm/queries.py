@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontam, licenses, pii, quality, sharding, simhash, substring, suffix
+from millrace.llm import bpe, chat, decontam, importance, licenses, merkle, pii, quality, sharding, simhash, substring, suffix, tokens
 from millrace.llm.oracle import ORACLE_SQL  # noqa: F401
 
 
@@ -91,6 +91,27 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
 
 
-QUERIES = {
-    "op1_simhash": op1_simhash, "op2_sharding": op2_sharding, "op3_license_scan": op3_license_scan, "op4_pii": op4_pii, "op5_decontamination": op5_decontamination, "op6_chat_windows": op6_chat_windows, "op7_substring_dedup": op7_substring_dedup, "op8_quality_rules": op8_quality_rules, "op9_suffix_dedup": op9_suffix_dedup, "op10_byte_bpe": op10_byte_bpe}
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the documents, drawn towards the benchmark's distribution of words and pairs of words."""
+    found = importance.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of all documents, checked against rows a third of which are tampered with."""
+    found = merkle.manifest(table(spark, sf_dir, "documents"), merkle.tampered(F.col("doc_id"), F.col("text")))
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    import public_tokenizers
+
+    return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+QUERIES = {
+    "op1_simhash": op1_simhash, "op2_sharding": op2_sharding, "op3_license_scan": op3_license_scan, "op4_pii": op4_pii, "op5_decontamination": op5_decontamination,
+    "op6_chat_windows": op6_chat_windows, "op7_substring_dedup": op7_substring_dedup, "op8_quality_rules": op8_quality_rules, "op9_suffix_dedup": op9_suffix_dedup, "op10_byte_bpe": op10_byte_bpe,
+    "op11_importance_resampling": op11_importance_resampling, "op12_merkle_manifest": op12_merkle_manifest, "op13_token_counts": op13_token_counts,
+}
