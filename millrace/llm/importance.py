@@ -35,7 +35,7 @@ from millrace.llm.bpe import opened, squeezed
 from millrace.llm.common import as_bytes, bucketed, dropped, partitions, pieces, spread, written
 
 #: Bytes of text in a piece, unless one text has more.
-PIECE = 24 << 20
+PIECE = 16 << 20
 #: Bytes of text that are cut into words at once.
 PART = 2 << 20
 #: Bytes of input for each range of features.
@@ -70,52 +70,49 @@ def sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate([[0], np.cumsum(values, dtype=np.int64)])[ends])
 
 
-def features(words: list[bytes], flat: np.ndarray, document: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct features of a piece and a hash of each; the numbers of all features in the texts, and the document of each."""
-    single = pa.array(words, pa.binary())
-    pair = flat[:-1].astype(np.int64) * len(words) + flat[1:]
-    inside = document[:-1] == document[1:]
-    coded = pa.array(pair[inside]).dictionary_encode()
-    distinct = np.asarray(coded.dictionary)
-    first, second = distinct // max(len(words), 1), distinct % max(len(words), 1)
-    double = pc.binary_join_element_wise(single.take(pa.array(first)), single.take(pa.array(second)), b" ")
-    # Equal strings have equal hashes in every piece; they only decide which range a feature goes to.
-    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    both = spread(hashed[first] * np.uint64(31) + hashed[second])
-    numbers = np.concatenate([flat, len(words) + np.asarray(coded.indices).astype(np.int64)])
-    return pa.concat_arrays([single, double]), np.concatenate([hashed, both]), numbers, np.concatenate([document, document[:-1][inside]])
+def pairs_of(flat: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+    """The places in ``flat``, the words of texts that have ``n_words`` each, from which a pair of one text begins."""
+    inside = np.ones(len(flat), bool)
+    ends = np.cumsum(n_words)
+    inside[ends[n_words > 0] - 1] = False
+    return np.flatnonzero(inside)
 
 
 def packed(held: list[tuple[list, np.ndarray, np.ndarray]], words: list[bytes], ranges: int, target: bool) -> Iterator[pa.RecordBatch]:
-    """``CUT`` rows of one piece; ``held``: the doc_ids, numbers of words and words of its parts."""
+    """``CUT`` rows of one piece; ``held``: the doc_ids, numbers of words and words of its parts. Features are numbered: first the single words, then the distinct pairs."""
     piece = uuid.uuid4().int >> 65
-    ids = list(chain.from_iterable(x[0] for x in held))
-    n_words = np.concatenate([x[1] for x in held])
-    flat = np.concatenate([x[2] for x in held]).astype(np.int64)
-    strings, hashed, numbers, document = features(words, flat, np.repeat(np.arange(len(ids)), n_words))
-    of_piece = np.bincount(numbers, minlength=len(strings))
+    n = max(len(words), 1)
+    firsts = [pairs_of(flat, n_words) for _, n_words, flat in held]
+    coded = pa.array(np.concatenate([flat[at].astype(np.int64) * n + flat[at + 1] for at, (_, _, flat) in zip(firsts, held)])).dictionary_encode()
+    distinct, which = np.asarray(coded.dictionary), np.asarray(coded.indices)
+    first, second = distinct // n, distinct % n
+    single = pa.array(words, pa.binary())
+    strings = pa.concat_arrays([single, pc.binary_join_element_wise(single.take(pa.array(first)), single.take(pa.array(second)), b" ")])
+    # Equal strings have equal hashes in every piece; they only decide which range a feature goes to.
+    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    ranged = np.concatenate([hashed, spread(hashed[first] * np.uint64(31) + hashed[second])]) % np.uint64(ranges)
+    of_piece = np.concatenate([sum((np.bincount(flat, minlength=len(words)) for _, _, flat in held), np.zeros(len(words), np.int64)), np.bincount(which, minlength=len(distinct))])
     rows: list[tuple] = []
-    if not target:
-        key, times = np.unique(document * max(len(strings), 1) + numbers, return_counts=True)
-        owner, place = key // max(len(strings), 1), key % max(len(strings), 1)
-        sizes = np.bincount(owner, minlength=len(ids))
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        at = 0
-        for part, count, _ in held:
-            a, b = ends[at], ends[at + len(part)]
-            rows.append((piece, None, target, part, squeezed(count), squeezed(sizes[at : at + len(part)]), squeezed(place[a:b]), squeezed(times[a:b]), None, None))
-            at += len(part)
-    ranged = hashed % np.uint64(ranges)
+    done = 0
+    for ids, n_words, flat in [] if target else held:
+        at = firsts.pop(0)
+        document = np.repeat(np.arange(len(ids)), n_words)
+        key = np.concatenate([document * len(strings) + flat, document[at] * len(strings) + len(words) + which[done : done + len(at)]])
+        done += len(at)
+        key, times = np.unique(key, return_counts=True)
+        rows.append((piece, None, target, ids, squeezed(n_words), squeezed(np.bincount(key // max(len(strings), 1), minlength=len(ids))), squeezed(key % max(len(strings), 1)), squeezed(times), None, None))
     by = np.argsort(ranged, kind="stable")
     cuts = [0, *(np.flatnonzero(np.diff(ranged[by])) + 1).tolist(), len(by)] if len(by) else [0]
     lengths = np.asarray(pc.binary_length(strings))
-    sorted_ = strings.take(pa.array(by))
     for a, b in zip(cuts, cuts[1:]):
         mine = by[a:b]
-        data = pc.binary_join(pa.ListArray.from_arrays([0, b - a], sorted_.slice(a, b - a)), b"")[0].as_py()
+        data = pc.binary_join(pa.ListArray.from_arrays([0, b - a], strings.take(pa.array(mine))), b"")[0].as_py()
         rows.append((piece, int(ranged[mine[0]]), target, None, None, None, squeezed(np.diff(mine, prepend=0)), squeezed(of_piece[mine]), squeezed(lengths[mine]), zstandard.compress(data, 3)))
-    for k in range(0, len(rows), 64):
-        yield table_of(rows[k : k + 64], CUT)
+        if len(rows) >= 16:
+            yield table_of(rows, CUT)
+            rows = []
+    if rows:
+        yield table_of(rows, CUT)
 
 
 def cut_features(batches: Iterator[pa.RecordBatch], ranges: int, target: bool) -> Iterator[pa.RecordBatch]:
@@ -131,6 +128,7 @@ def cut_features(batches: Iterator[pa.RecordBatch], ranges: int, target: bool) -
         said = [t.translate(WORD_BYTES).split() for t in as_bytes(part.column("text"))]
         flat = np.fromiter(map(number.__getitem__, chain.from_iterable(said)), np.int32)
         held.append((part.column("doc_id").to_pylist(), np.array([len(x) for x in said], np.int64), flat))
+        del said
         size += pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
         if size >= PIECE:
             yield from packed(held, list(number), ranges, target)
