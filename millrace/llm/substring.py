@@ -18,9 +18,8 @@ window a piece.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
-from math import ceil, log2
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import partitions, pieces, planes, split_words, spread, unplanes
+from millrace.llm.common import as_bytes, partitions, pieces, planes, split_words, spread, unplanes
 
 #: Odd multipliers of the two polynomials.
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
@@ -43,7 +42,10 @@ HOT_SHARE = 1e-5
 #: Bytes of text that are sampled to find the hot ones, and the share of the input beyond.
 SAMPLE_BYTES, SAMPLE_SHARE = 32 << 20, 1 / 2000
 
-META = "bucket int, doc_id long, mark int, hashes binary, meta binary"
+#: Bytes of a window's hash that travel. Windows of 100 TB of text, dealt over their buckets by another hash, have two different ones that agree in them once in 100,000 runs.
+WIDTH = 10
+
+META = "bucket int, doc_id long, mark long, hashes binary, meta binary"
 
 
 def rolling(values: np.ndarray, window: int, base: int) -> np.ndarray:
@@ -86,7 +88,7 @@ def pack(doc: np.ndarray, at: np.ndarray, ids: np.ndarray, marks: np.ndarray) ->
     counts = np.diff(np.concatenate([first, [len(doc)]])).astype(np.uint32)
     step = np.diff(at, prepend=0).astype(np.int64)
     step[first] = at[first]
-    parts = [planes(np.diff(ids[docs], prepend=0)), planes(marks[docs].astype(np.uint16)), planes(counts), planes(step.astype(np.uint32))]
+    parts = [planes(np.diff(ids[docs], prepend=0)), planes(marks[docs]), planes(counts), planes(step.astype(np.uint32))]
     return zstandard.ZstdCompressor(level=1).compress(np.array([len(docs), len(doc)], np.int64).tobytes() + b"".join(parts))
 
 
@@ -94,8 +96,8 @@ def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """doc_id, mark and place of each window."""
     data = zstandard.ZstdDecompressor().decompress(data)
     n_docs, n = np.frombuffer(data[:16], np.int64).tolist()
-    cuts = np.cumsum([16, 8 * n_docs, 2 * n_docs, 4 * n_docs, 4 * n])
-    ids, marks, counts, step = (unplanes(data[a:b], kind) for a, b, kind in zip(cuts, cuts[1:], (np.int64, np.uint16, np.uint32, np.uint32)))
+    cuts = np.cumsum([16, 8 * n_docs, 8 * n_docs, 4 * n_docs, 4 * n])
+    ids, marks, counts, step = (unplanes(data[a:b], kind) for a, b, kind in zip(cuts, cuts[1:], (np.int64, np.int64, np.uint32, np.uint32)))
     total = np.cumsum(step.astype(np.int64))
     first = np.cumsum(counts) - counts
     at = total - np.repeat(total[first] - step[first], counts)
@@ -104,7 +106,12 @@ def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def numbered(texts: DataFrame) -> DataFrame:
     """Add ``mark``, by which rows that share a doc_id but not a text are told apart."""
-    return texts.withColumn("mark", F.crc32(F.coalesce("text", F.lit(""))).bitwiseAND(0xFFFF).cast("int"))
+    return texts.withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
+
+
+def marks_of(texts: list[bytes]) -> np.ndarray:
+    """The same of each text's bytes."""
+    return np.fromiter((xxhash.xxh64_intdigest(t, 42) for t in texts), np.uint64, len(texts)).view(np.int64)
 
 
 def word_values(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -161,18 +168,16 @@ def hot_keys(docs: DataFrame, window: int, size: int, buckets: int) -> np.ndarra
 def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
     """(doc_id, mark, starts array<binary>): the starts (packed int32) of windows of ``doc_id, text`` rows that also start in a document with a smaller doc_id."""
     size = docs.select(F.sum(F.octet_length("text"))).head()[0] or 0
-    # A word and its space have some 6 bytes; an estimate is enough for the width of the hashes and the number of buckets.
+    # A word and its space have some 6 bytes; an estimate is enough for the number of buckets.
     windows = max(size // 6, 1)
     buckets = max(4 * partitions(docs.sparkSession), ceil(windows / BUCKET_WINDOWS))
-    # Bits so that any two different windows of the whole input agree by chance once in four million runs or less often.
-    width = min(16, ceil((2 * log2(windows) + 21 - log2(buckets)) / 8))
     hot = hot_keys(docs, window, size, buckets)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
             values, offsets = word_values(piece.column("text"))
             ids = np.asarray(piece.column("doc_id"))
-            marks = np.array([zlib.crc32(t) & 0xFFFF for t in piece.column("text").cast(pa.binary()).fill_null(b"").to_pylist()])
+            marks = marks_of(as_bytes(piece.column("text")))
             doc, at = places_of(offsets, window)
             if not len(doc):
                 continue
@@ -190,14 +195,14 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
             key = np.where(np.isin(key, hot), low, key)
             bucket = (spread(key) % np.uint64(buckets)).astype(np.uint32)
             # The bytes that travel are the first hash's high ones and then those of the other hash.
-            wide = np.stack([low, high], axis=1).view(np.uint8).reshape(-1, 16)[:, np.r_[7, 6, 5, 4, 3, 2, 1, 0, 8:16][:width]]
+            wide = np.stack([low, high], axis=1).view(np.uint8).reshape(-1, 16)[:, np.r_[7, 6, 5, 4, 3, 2, 1, 0, 8:16][:WIDTH]]
             yield from local(doc[later], at[later], ids, marks, buckets)
             stay = np.flatnonzero(~later)
             stay = stay[np.argsort(bucket[stay], kind="stable")]
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket[stay])) + 1, [len(stay)]])
             rows = [(int(bucket[s[0]]), wide[s].tobytes(), pack(doc[s], at[s], ids, marks)) for s in (stay[a:b] for a, b in zip(cuts, cuts[1:])) if len(s)]
             none = pa.nulls(len(rows), pa.int64())
-            yield pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), none, none.cast(pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=META_NAMES)
+            yield pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), none, none, pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=META_NAMES)
 
     def local(doc: np.ndarray, at: np.ndarray, ids: np.ndarray, marks: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
         if len(doc):
@@ -206,33 +211,33 @@ def repeated_windows(docs: DataFrame, window: int) -> DataFrame:
             starts = [at[a:b].astype(np.int32).tobytes() for a, b in zip(cuts, cuts[1:])]
             # dealt over the buckets, which pass them on
             to = spread(ids[docs].astype(np.uint64)) % np.uint64(buckets)
-            yield pa.record_batch([pa.array(to.astype(np.int32)), pa.array(ids[docs]), pa.array(marks[docs].astype(np.int32)), pa.nulls(len(docs), pa.binary()), pa.array(starts, pa.binary())], names=META_NAMES)
+            yield pa.record_batch([pa.array(to.astype(np.int32)), pa.array(ids[docs]), pa.array(marks[docs]), pa.nulls(len(docs), pa.binary()), pa.array(starts, pa.binary())], names=META_NAMES)
 
     def meet(found: pa.Table) -> pa.Table:
         hashes, docs, marks, places, out = [], [], [], [], []
         passed = found.filter(pa.compute.is_null(found["hashes"]))
         for row in found.filter(pa.compute.is_valid(found["hashes"])).select(["hashes", "meta"]).to_pylist():
-            raw = np.frombuffer(row["hashes"], np.uint8).reshape(-1, width)
+            raw = np.frombuffer(row["hashes"], np.uint8).reshape(-1, WIDTH)
             full = np.zeros((len(raw), 16), np.uint8)
-            full[:, :width] = raw
+            full[:, :WIDTH] = raw
             hashes.append(full.view(np.uint64))
             for into, x in zip((docs, marks, places), unpack(row["meta"])):
                 into.append(x)
         if hashes:
             key, doc, mark, at = np.concatenate(hashes), np.concatenate(docs), np.concatenate(marks), np.concatenate(places)
-            order = np.argsort(key[:, 0]) if width <= 8 else np.lexsort((key[:, 1], key[:, 0]))
+            order = np.lexsort((key[:, 1], key[:, 0]))
             key = key[order]
             new = np.concatenate([[True], (key[1:] != key[:-1]).any(axis=1)])
             least = np.minimum.reduceat(doc[order], np.flatnonzero(new))
             later = order[doc[order] > least[np.cumsum(new) - 1]]
             later = later[np.lexsort((at[later], mark[later], doc[later]))]
-            cuts = np.concatenate([[0], np.flatnonzero((np.diff(doc[later]) != 0) | (np.diff(mark[later].astype(np.int32)) != 0)) + 1, [len(later)]])
+            cuts = np.concatenate([[0], np.flatnonzero((np.diff(doc[later]) != 0) | (np.diff(mark[later]) != 0)) + 1, [len(later)]])
             out = [(int(doc[s[0]]), int(mark[s[0]]), at[s].astype(np.int32).tobytes()) for s in (later[a:b] for a, b in zip(cuts, cuts[1:])) if len(s)]
-        mine = pa.table({"doc_id": pa.array([x[0] for x in out], pa.int64()), "mark": pa.array([x[1] for x in out], pa.int32()), "starts": pa.array([x[2] for x in out], pa.binary())})
+        mine = pa.table({"doc_id": pa.array([x[0] for x in out], pa.int64()), "mark": pa.array([x[1] for x in out], pa.int64()), "starts": pa.array([x[2] for x in out], pa.binary())})
         return pa.concat_tables([mine, passed.select(["doc_id", "mark", "meta"]).rename_columns(["doc_id", "mark", "starts"]).cast(mine.schema)])
 
     packed = docs.filter("doc_id is not null").mapInArrow(emit, META)
-    met = packed.groupBy("bucket").applyInArrow(meet, "doc_id long, mark int, starts binary")
+    met = packed.groupBy("bucket").applyInArrow(meet, "doc_id long, mark long, starts binary")
     return met.groupBy("doc_id", "mark").agg(F.collect_list("starts").alias("starts"))
 
 
@@ -253,7 +258,7 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     joined by single spaces. Windows are judged on the input. A null text has no
     words. A null doc_id is neither smaller nor larger than another, so such rows
     lose nothing and take nothing from others; neither do rows of one doc_id
-    from each other. Repeated rows give repeated rows, an empty table an empty one.
+    from each other, which are told apart by 64 bits of a hash of their texts. Repeated rows give repeated rows, an empty table an empty one.
     """
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id long, n_words long, n_removed long, spans array<struct<begin:int,end:int>>, kept string"

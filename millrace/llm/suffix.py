@@ -25,7 +25,6 @@ only balances the buckets.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from math import ceil
 
@@ -37,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import as_bytes, keyed_texts, pieces, spread
-from millrace.llm.substring import META, META_NAMES, frequent, numbered, pack, rolling, sliding_least, unpack
+from millrace.llm.substring import META, META_NAMES, frequent, marks_of, numbered, pack, rolling, sliding_least, unpack
 
 #: Period of the difference cover: suffixes are compared by so many bytes before ranks decide.
 COVER = 32
@@ -153,8 +152,7 @@ def laid_out(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     texts = as_bytes(piece.column("text"))
     size = np.array([len(t) for t in texts], np.int64)
     ends = np.cumsum(size)
-    marks = np.array([zlib.crc32(t) & 0xFFFF for t in texts], np.int64)
-    return np.frombuffer(b"".join(texts), np.uint8), ends - size, ends, np.asarray(piece.column("doc_id")), marks
+    return np.frombuffer(b"".join(texts), np.uint8), ends - size, ends, np.asarray(piece.column("doc_id")), marks_of(texts)
 
 
 def by_document(doc: np.ndarray, mark: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
@@ -193,7 +191,7 @@ def repeated_anchors(texts: DataFrame, length: int, buckets: int, hot: np.ndarra
                 wide = hashes.view(np.uint8).reshape(-1, 8)[:, 8 - width :]
                 cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(order)]]) if len(order) else [0]
                 rows += [(int(bucket[s[0]]), None, None, wide[s].tobytes(), pack(doc[s], at[s], ids, marks)) for s in (order[a:b] for a, b in zip(cuts, cuts[1:]))]
-                yield pa.record_batch([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=META_NAMES)
+                yield pa.record_batch([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=META_NAMES)
 
     def meet(found: pa.Table) -> pa.Table:
         counted = pa.compute.is_valid(found["hashes"])
@@ -212,14 +210,14 @@ def repeated_anchors(texts: DataFrame, length: int, buckets: int, hot: np.ndarra
             twice = np.zeros(len(key), bool)
             twice[order[1:][same]] = twice[order[:-1][same]] = True
             out += by_document(doc[twice], mark[twice], at[twice])
-        return pa.table({"doc_id": pa.array([x[0] for x in out], pa.int64()), "mark": pa.array([x[1] for x in out], pa.int32()), "at": pa.array([x[2] for x in out], pa.binary())})
+        return pa.table({"doc_id": pa.array([x[0] for x in out], pa.int64()), "mark": pa.array([x[1] for x in out], pa.int64()), "at": pa.array([x[2] for x in out], pa.binary())})
 
-    met = texts.mapInArrow(emit, META).groupBy("bucket").applyInArrow(meet, "doc_id long, mark int, at binary")
+    met = texts.mapInArrow(emit, META).groupBy("bucket").applyInArrow(meet, "doc_id long, mark long, at binary")
     return met.groupBy("doc_id", "mark").agg(F.collect_list("at").alias("at"))
 
 
 #: Surroundings of anchors on their way to a bucket: their bytes one after another, and for each anchor hash, document, mark, place of its first start, bytes before the anchor and number of starts.
-SURROUNDINGS = "bucket int, doc_id long, mark int, text binary, meta binary"
+SURROUNDINGS = "bucket int, doc_id long, mark long, text binary, meta binary"
 FIELDS = [("hash", np.uint64), ("doc", np.int64), ("mark", np.int64), ("at", np.int64), ("before", np.int64), ("starts", np.int64)]
 
 
@@ -298,7 +296,7 @@ def surroundings(known: DataFrame, length: int, buckets: int, hot: np.ndarray) -
                 columns = [hashes[s], ids[doc[s]], marks[doc[s]], low[s] - begins[doc[s]], anchor[s] - low[s], high[s] - low[s] + 1]
                 meta = b"".join(c.astype(kind).view(np.uint8).reshape(len(s), -1).T.tobytes() for c, (_, kind) in zip(columns, FIELDS))
                 rows.append((int(bucket[a]), None, None, pressed.compress(b"".join([data[i:j] for i, j in zip(low[s].tolist(), (high[s] + length).tolist())])), pressed.compress(meta)))
-            yield pa.record_batch([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))], names=[x.split()[0] for x in SURROUNDINGS.split(", ")])
+            yield pa.record_batch([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))], names=[x.split()[0] for x in SURROUNDINGS.split(", ")])
 
     return known.mapInArrow(emit, SURROUNDINGS)
 
@@ -401,9 +399,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             for one, m, b, e in by_document(doc, mark, begin, end):
                 b, e = runs_of([b + e])
                 rows.append((one, m, b.tobytes() + e.tobytes()))
-        return pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "mark": pa.array([r[1] for r in rows], pa.int32()), "runs": pa.array([r[2] for r in rows], pa.binary())})
+        return pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "mark": pa.array([r[1] for r in rows], pa.int64()), "runs": pa.array([r[2] for r in rows], pa.binary())})
 
-    found = surroundings(known, length, buckets, hot).groupBy("bucket").applyInArrow(meet, "doc_id long, mark int, runs binary")
+    found = surroundings(known, length, buckets, hot).groupBy("bucket").applyInArrow(meet, "doc_id long, mark long, runs binary")
     runs = found.groupBy("doc_id", "mark").agg(F.collect_list("runs").alias("runs"))
     span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 

@@ -355,3 +355,16 @@ def test_op8_order_does_not_change_the_verdict(spark, sf_dir):
     assert {r.doc_id for r in quality.quality_report(docs, rules=turned).filter("kept").collect()} == kept
     assert {r.doc_id for r in quality.filter_quality(docs).collect()} == kept
     assert {r.doc_id for r in quality.filter_quality(docs, rules=turned, sample_rows=1).collect()} == kept
+
+
+def test_rows_of_one_id_lose_nothing_to_each_other(spark):
+    """Two texts under one doc_id that agree in 16 bits of their CRC: what one loses, the other keeps."""
+    import zlib
+
+    copied = " ".join(f"w{k}" for k in range(60))
+    unique = next(t for n in range(1 << 20) if zlib.crc32((t := " ".join(f"u{n}x{k}" for k in range(60))).encode()) & 0xFFFF == zlib.crc32(copied.encode()) & 0xFFFF)
+    frame = spark.createDataFrame([(1, copied), (2, copied), (2, unique), (3, unique)], "doc_id long, text string")
+    lost = lambda rows: sorted((r.doc_id, r[1]) for r in rows.collect())
+    assert lost(substring.remove_repeats(frame).select("doc_id", "n_removed")) == [(1, 0), (2, 0), (2, 60), (3, 60)]
+    n = len(unique)
+    assert lost(suffix.remove_repeats(frame).select("doc_id", "n_removed")) == sorted([(1, 0), (2, 0), (2, len(copied)), (3, n)])
