@@ -1,15 +1,14 @@
 """Importance resampling towards a target distribution, over a dictionary of distinct features.
 
 Features are the single words and the pairs of consecutive words of a text, as
-strings. They are cut piece by piece, some MB of text each. A piece keeps for
-each of its documents how often it has which of the piece's distinct features,
-as numbers, and deals the feature strings themselves, with their counts, by a
-hash. So a task has a range of all features of source and target, whichever
-pieces they come from: there every distinct string is counted over both corpora
-and hashed to its bucket once. Summed up, the ranges give the counts of all
-buckets and so their gains; the buckets of its features return to each piece,
-where gains meet the counts of the documents. Texts never travel, and no task
-holds more than a piece or a range.
+strings. Texts are cut piece by piece, some MB each: a piece is a row of its
+distinct words and its texts as their numbers. From it its distinct features are
+dealt, as strings with their counts, by a hash. So a task has a range of all features of
+source and target, whichever pieces they come from: there every distinct string
+is counted over both corpora and hashed to its bucket once. Summed up, the
+ranges give the counts of all buckets and so their gains; the buckets of its
+features return to each piece, where gains meet the feature counts of the
+documents. Texts never travel, and no task holds more than a piece or a range.
 """
 
 from __future__ import annotations
@@ -38,6 +37,8 @@ from millrace.llm.common import as_bytes, bucketed, dropped, partitions, pieces,
 PIECE = 16 << 20
 #: Bytes of text that are cut into words at once.
 PART = 2 << 20
+#: Words of text whose features are counted at once.
+PART_WORDS = 1 << 18
 #: Bytes of input for each range of features.
 RANGE = 16 << 20
 #: Feature hashes fall into so many buckets.
@@ -48,9 +49,10 @@ LEAST_WORDS = 20
 #: A-Z in lower case; every other ASCII character but a letter or digit parts words.
 WORD_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
-#: What a piece writes: rows of documents (their ids, numbers of words, and for each its distinct features and their
-#: counts), and rows of features of one range (their counts, numbers as steps, lengths and bytes).
-CUT = "piece long, range int, target boolean, docs array<long>, n_words binary, sizes binary, places binary, counts binary, lengths binary, words binary"
+#: A piece: its documents, the number of words of each, all their words as numbers, and the words, one a line.
+PIECES = "piece long, target boolean, docs array<long>, n_words binary, numbers binary, words binary"
+#: The features of a piece in one range: their numbers as steps, their counts, and their strings, one a line.
+FEATURES = "range int, piece long, target boolean, places binary, counts binary, strings binary"
 #: What a range writes: the buckets of each piece's features, and its counts of all buckets.
 FOUND = "piece long, places binary, buckets binary, source binary, target binary"
 
@@ -78,45 +80,36 @@ def pairs_of(flat: np.ndarray, n_words: np.ndarray) -> np.ndarray:
     return np.flatnonzero(inside)
 
 
-def packed(held: list[tuple[list, np.ndarray, np.ndarray]], words: list[bytes], ranges: int, target: bool) -> Iterator[pa.RecordBatch]:
-    """``CUT`` rows of one piece; ``held``: the doc_ids, numbers of words and words of its parts. Features are numbered: first the single words, then the distinct pairs."""
-    piece = uuid.uuid4().int >> 65
-    n = max(len(words), 1)
-    firsts = [pairs_of(flat, n_words) for _, n_words, flat in held]
-    coded = pa.array(np.concatenate([flat[at].astype(np.int64) * n + flat[at + 1] for at, (_, _, flat) in zip(firsts, held)])).dictionary_encode()
-    distinct, which = np.asarray(coded.dictionary), np.asarray(coded.indices)
-    first, second = distinct // n, distinct % n
-    single = pa.array(words, pa.binary())
-    strings = pa.concat_arrays([single, pc.binary_join_element_wise(single.take(pa.array(first)), single.take(pa.array(second)), b" ")])
-    # Equal strings have equal hashes in every piece; they only decide which range a feature goes to.
-    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    ranged = np.concatenate([hashed, spread(hashed[first] * np.uint64(31) + hashed[second])]) % np.uint64(ranges)
-    of_piece = np.concatenate([sum((np.bincount(flat, minlength=len(words)) for _, _, flat in held), np.zeros(len(words), np.int64)), np.bincount(which, minlength=len(distinct))])
-    rows: list[tuple] = []
-    done = 0
-    for ids, n_words, flat in [] if target else held:
-        at = firsts.pop(0)
-        document = np.repeat(np.arange(len(ids)), n_words)
-        key = np.concatenate([document * len(strings) + flat, document[at] * len(strings) + len(words) + which[done : done + len(at)]])
-        done += len(at)
-        key, times = np.unique(key, return_counts=True)
-        rows.append((piece, None, target, ids, squeezed(n_words), squeezed(np.bincount(key // max(len(strings), 1), minlength=len(ids))), squeezed(key % max(len(strings), 1)), squeezed(times), None, None))
-    by = np.argsort(ranged, kind="stable")
-    cuts = [0, *(np.flatnonzero(np.diff(ranged[by])) + 1).tolist(), len(by)] if len(by) else [0]
-    lengths = np.asarray(pc.binary_length(strings))
-    for a, b in zip(cuts, cuts[1:]):
-        mine = by[a:b]
-        data = pc.binary_join(pa.ListArray.from_arrays([0, b - a], strings.take(pa.array(mine))), b"")[0].as_py()
-        rows.append((piece, int(ranged[mine[0]]), target, None, None, None, squeezed(np.diff(mine, prepend=0)), squeezed(of_piece[mine]), squeezed(lengths[mine]), zstandard.compress(data, 3)))
-        if len(rows) >= 16:
-            yield table_of(rows, CUT)
-            rows = []
-    if rows:
-        yield table_of(rows, CUT)
-
-
-def cut_features(batches: Iterator[pa.RecordBatch], ranges: int, target: bool) -> Iterator[pa.RecordBatch]:
-    """``CUT`` rows of (doc_id, text) batches."""
+def parts_of(n_words: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and end of runs of documents that have some ``PART_WORDS`` words, or one document more."""
+    cuts = np.flatnonzero(np.diff(np.cumsum(n_words) // PART_WORDS)) + 1
+    edges = [0, *cuts.tolist(), len(n_words)]
+    return list(zip(edges, edges[1:]))
+
+
+def distinct_pairs(flat: np.ndarray, n_words: np.ndarray, known: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs of consecutive words, sorted, as numbers below ``known`` squared; of every pair in the texts the place it begins at, and which it is."""
+    at = pairs_of(flat, n_words)
+    coded = pa.array(flat[at].astype(np.int64) * known + flat[np.minimum(at + 1, len(flat) - 1)]).dictionary_encode()
+    pairs = np.asarray(coded.dictionary)
+    order = np.argsort(pairs)
+    rank = np.empty(len(pairs), np.int32)
+    rank[order] = np.arange(len(pairs), dtype=np.int32)
+    return pairs[order], at, rank[np.asarray(coded.indices)]
+
+
+def cut_pieces(batches: Iterator[pa.RecordBatch], target: bool) -> Iterator[pa.RecordBatch]:
+    """``PIECES`` rows of (doc_id, text) batches."""
+
+    def piece(held: list[tuple[list, np.ndarray, np.ndarray]], words: list[bytes]) -> pa.RecordBatch:
+        flat = np.concatenate([x[2] for x in held])
+        # The most frequent words take the smallest numbers, which pack best.
+        order = np.argsort(-np.bincount(flat, minlength=len(words)), kind="stable")
+        number = np.empty(len(words), np.uint32)
+        number[order] = np.arange(len(words), dtype=np.uint32)
+        listed = zstandard.compress(b"\n".join([words[k] for k in order.tolist()]), 6)
+        ids = list(chain.from_iterable(x[0] for x in held))
+        return table_of([(uuid.uuid4().int >> 65, target, ids, squeezed(np.concatenate([x[1] for x in held])), squeezed(number[flat]), listed)], PIECES)
 
     def fresh() -> tuple[defaultdict, list, int]:
         number: defaultdict = defaultdict()
@@ -131,29 +124,56 @@ def cut_features(batches: Iterator[pa.RecordBatch], ranges: int, target: bool) -
         del said
         size += pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
         if size >= PIECE:
-            yield from packed(held, list(number), ranges, target)
+            yield piece(held, list(number))
             number, held, size = fresh()
     if held:
-        yield from packed(held, list(number), ranges, target)
+        yield piece(held, list(number))
+
+
+def lines_of(data: bytes) -> list[bytes]:
+    raw = zstandard.decompress(data)
+    return raw.split(b"\n") if raw else []
+
+
+def dealt_features(batches: Iterator[pa.RecordBatch], ranges: int) -> Iterator[pa.RecordBatch]:
+    """``FEATURES`` rows of ``PIECES`` rows. The features of a piece are numbered: first its words, then its distinct pairs."""
+    for row in (r for batch in batches for k in range(batch.num_rows) for r in batch.slice(k, 1).to_pylist()):
+        words, flat, n_words = lines_of(row["words"]), opened(row["numbers"]), opened(row["n_words"]).astype(np.int64)
+        known = max(len(words), 1)
+        pairs, _, which = distinct_pairs(flat, n_words, known)
+        counts = np.concatenate([np.bincount(flat, minlength=len(words)), np.bincount(which, minlength=len(pairs))])
+        first, second = pairs // known, pairs % known
+        single = pa.array(words, pa.binary())
+        strings = pa.concat_arrays([single, pc.binary_join_element_wise(single.take(pa.array(first)), single.take(pa.array(second)), b" ")])
+        # Equal strings have equal hashes in every piece; they only decide which range a feature goes to.
+        hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        ranged = np.concatenate([hashed, spread(hashed[first] * np.uint64(31) + hashed[second])]) % np.uint64(ranges)
+        by = np.argsort(ranged, kind="stable")
+        cuts = [0, *(np.flatnonzero(np.diff(ranged[by])) + 1).tolist(), len(by)] if len(by) else [0]
+        rows = []
+        for a, b in zip(cuts, cuts[1:]):
+            mine = by[a:b]
+            data = pc.binary_join(pa.ListArray.from_arrays([0, b - a], strings.take(pa.array(mine))), b"\n")[0].as_py()
+            rows.append((int(ranged[mine[0]]), row["piece"], row["target"], squeezed(np.diff(mine, prepend=0)), squeezed(counts[mine]), zstandard.compress(data, 6)))
+        for k in range(0, len(rows), 64):
+            yield table_of(rows[k : k + 64], FEATURES)
 
 
 def hashed_once(found: pa.Table) -> pa.Table:
     """``FOUND`` rows of one range: its distinct strings are counted over both corpora and hashed once."""
-    lengths = [opened(x) for x in found["lengths"].to_pylist()]
-    sizes = [len(x) for x in lengths]
-    offsets = np.concatenate([[0], np.cumsum(np.concatenate(lengths), dtype=np.int64)])
-    data = b"".join(map(zstandard.decompress, found["words"].to_pylist()))
-    strings = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
-    distinct, which = strings.dictionary.to_pylist(), np.asarray(strings.indices)
-    bucket = np.fromiter(map(zlib.crc32, distinct), np.int64, len(distinct)) % BUCKETS
-    totals = {side: np.zeros(len(distinct), np.int64) for side in (False, True)}
-    rows, at = [], 0
-    for piece, target, places, counts, size in zip(found["piece"].to_pylist(), found["target"].to_pylist(), found["places"].to_pylist(), found["counts"].to_pylist(), sizes):
-        mine = which[at : at + size]
-        totals[target][mine] += opened(counts).astype(np.int64)  # a piece has each string once
+    number: defaultdict = defaultdict()
+    number.default_factory = number.__len__
+    pieces_ = []
+    for r in found.select(["piece", "target", "places", "counts", "strings"]).to_pylist():
+        mine = np.fromiter(map(number.__getitem__, lines_of(r["strings"])), np.int64)
+        pieces_.append((r["piece"], r["target"], r["places"], mine, opened(r["counts"]).astype(np.int64)))
+    bucket = np.fromiter(map(zlib.crc32, number), np.int64, len(number)) % BUCKETS
+    totals = {side: np.zeros(len(bucket), np.int64) for side in (False, True)}
+    rows: list[tuple] = []
+    for piece, target, places, mine, counts in pieces_:
+        totals[target][mine] += counts  # a piece has each string once
         if not target:
             rows.append((piece, places, squeezed(bucket[mine]), None, None))
-        at += size
     in_bucket = [np.bincount(bucket, totals[side], BUCKETS).astype(np.int64).tobytes() for side in (False, True)]
     rows.append((None, None, None, *in_bucket))
     return pa.Table.from_batches([table_of(rows, FOUND)])
@@ -195,8 +215,8 @@ def weights(docs: DataFrame, target: DataFrame, doc_id: str = "doc_id", text: st
     size = source.select(F.sum(F.octet_length("text"))).head()[0] or 0
     ranges = max(2 * partitions(spark), ceil(size / RANGE))
     # Tables in buckets by piece, so that all readers see the same pieces, also after an executor is lost, and these meet without a shuffle.
-    cut = bucketed(source.mapInArrow(partial(cut_features, ranges=ranges, target=False), CUT).unionByName(wanted.mapInArrow(partial(cut_features, ranges=ranges, target=True), CUT)), "piece")
-    found = bucketed(cut.filter("range is not null").select("range", "piece", "target", "places", "counts", "lengths", "words").groupBy("range").applyInArrow(hashed_once, FOUND), "piece")
+    cut = bucketed(source.mapInArrow(partial(cut_pieces, target=False), PIECES).unionByName(wanted.mapInArrow(partial(cut_pieces, target=True), PIECES)), "piece")
+    found = bucketed(cut.mapInArrow(partial(dealt_features, ranges=ranges), FEATURES).groupBy("range").applyInArrow(hashed_once, FOUND), "piece")
     gain = gains(bucket_counts(found))
 
     def joined(texts: pa.Table, buckets: pa.Table) -> pa.Table:
@@ -204,15 +224,25 @@ def weights(docs: DataFrame, target: DataFrame, doc_id: str = "doc_id", text: st
         gain_of = np.zeros(sum(map(len, places)), np.int64)
         for at, x in zip(places, buckets["buckets"].to_pylist()):
             gain_of[at] = gain[opened(x)]
-        out = []
-        for r in texts.to_pylist():
-            n_words, counts = opened(r["n_words"]).astype(np.int64), opened(r["counts"]).astype(np.int64)
-            n = np.maximum(2 * n_words - 1, 0)
-            total = sums(gain_of[opened(r["places"])] * counts, opened(r["sizes"]))
-            out.append(pa.record_batch([pa.array(r["docs"], pa.int64()), pa.array(n_words), pa.array(n), pa.array(total // np.maximum(n, 1))], names=["doc_id", "n_words", "n_features", "weight"]))
+        n, out = len(gain_of), []
+        for r in texts.to_pylist():  # one
+            flat, n_words = opened(r["numbers"]).astype(np.int64), opened(r["n_words"]).astype(np.int64)
+            known = len(lines_of(r["words"]))
+            _, at, which = distinct_pairs(flat, n_words, max(known, 1))
+            ends, pair_ends, total = np.cumsum(n_words), np.cumsum(np.maximum(n_words - 1, 0)), []
+            # Some documents at a time: the counts of their distinct features, times the gains of these.
+            for a, b in parts_of(n_words):
+                low, first = ends[a] - n_words[a], pair_ends[a] - max(n_words[a] - 1, 0)
+                document = np.repeat(np.arange(b - a), n_words[a:b])
+                key = np.concatenate([document * n + flat[low : ends[b - 1]], document[at[first : pair_ends[b - 1]] - low] * n + known + which[first : pair_ends[b - 1]]])
+                key, times = np.unique(key, return_counts=True)
+                total.append(sums(gain_of[key % max(n, 1)] * times, np.bincount(key // max(n, 1), minlength=b - a)))
+            n_features = np.maximum(2 * n_words - 1, 0)
+            weight = np.concatenate(total) // np.maximum(n_features, 1)
+            out.append(pa.record_batch([pa.array(r["docs"], pa.int64()), pa.array(n_words), pa.array(n_features), pa.array(weight)], names=["doc_id", "n_words", "n_features", "weight"]))
         return pa.Table.from_batches(out)
 
-    texts = cut.filter("range is null and not target").select("piece", "docs", "n_words", "sizes", "places", "counts").groupBy("piece")
+    texts = cut.filter("not target").select("piece", "docs", "n_words", "numbers", "words").groupBy("piece")
     weighed = texts.cogroup(found.filter("piece is not null").select("piece", "places", "buckets").groupBy("piece")).applyInArrow(joined, "doc_id long, n_words long, n_features long, weight long")
     return weighed
 
