@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import random
 import re
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import accumulate
@@ -129,52 +130,79 @@ def features(kind: str, span: str, left: str, right: str, cues: set[str], goes_o
 
 
 class Region:
-    """Tokens of a stretch of text with every candidate segment and its features."""
+    """Tokens of a stretch of text, in a few bytes each; candidate segments are made when they are asked for."""
 
     def __init__(self, text: str, begin: int, end: int):
-        self.at = [begin]
-        tokens = []
+        self.text, self.at, kinds, loud = text, array("q", [begin]), bytearray(), bytearray()
         for m in TOKEN.finditer(text, begin, end):
-            tokens.append(m[0])
+            t = m[0]
+            first = t[0]
+            if "0" <= first <= "9":
+                kind = "d"
+            elif first.isalpha():
+                kind = "a"
+            elif first.isspace():
+                kind = "n" if "\n" in t else "s"
+            else:
+                kind = first if first in ".()+-/@" else "?"
+            kinds += kind.encode()
+            loud.append(kind == "@" or t.lower() == "at")
             self.at.append(m.end())
-        self.n = len(tokens)
-        kind = ["d" if "0" <= t[0] <= "9" else "a" if t[0].isalpha() else "s" if t[0].isspace() else t[0] for t in tokens]
-        loud = [k == "@" or t.lower() == "at" for k, t in zip(kind, tokens)]
-        words = [t.lower() for t in tokens]
-        #: (first token, token after the last, label, features)
-        self.segments: list[tuple[int, int, int, list[float]]] = []
-        for i in range(self.n):
-            if kind[i] not in "da+(":
+        self.n, self.kinds, self.loud = len(kinds), kinds.decode(), bytes(loud)
+
+    def segments_from(self, i: int) -> Iterator[tuple[int, int, list[float]]]:
+        """(token after the last, label, features) of the candidate segments that begin at token ``i``."""
+        text, at, kinds, loud = self.text, self.at, self.kinds, self.loud
+        if kinds[i] not in "da+(":
+            return
+        most = min(self.n, i + MAX_TOKENS)
+        line = kinds.find("n", i, most)
+        most = most if line < 0 else line
+        around = None
+        numeric, digits, dots, ats = True, 0, 0, 0
+        may_be_email = kinds[i] in "da" and not loud[i] and loud.find(1, i, most) >= 0
+        for j in range(i + 1, most + 1):
+            k = kinds[j - 1]
+            numeric = numeric and k in "ds.()+-/"
+            if not (numeric or may_be_email):
+                break
+            if k == "d":
+                digits += at[j] - at[j - 1]
+            elif k == ".":
+                dots += 1
+            ats += loud[j - 1]
+            if k not in "da":
                 continue
-            cues = {w for w in words[max(0, i - 6) : i] if w.isalpha()}
-            left = text[self.at[i] - 1] if self.at[i] else " "
-            coded = bool(CODED.search(text, max(0, self.at[i] - 8), self.at[i]))
-            digit_before = bool(JOINED_BEFORE.search(text, max(0, self.at[i] - 2), self.at[i]))
-            numeric, digits, dots, ats = True, 0, 0, 0
-            for j in range(i + 1, min(self.n, i + MAX_TOKENS) + 1):
-                k = kind[j - 1]
-                if tokens[j - 1] == "\n" or "\n" in tokens[j - 1]:
-                    break
-                numeric &= k in "ds.()+-/"
-                digits += len(tokens[j - 1]) if k == "d" else 0
-                dots += k == "."
-                ats += loud[j - 1]
-                if k not in "da":
-                    continue
-                right = text[self.at[j]] if self.at[j] < len(text) else " "
-                span = text[self.at[i] : self.at[j]]
-                found = []
-                if ats == 1 and kind[i] in "da" and not (numeric or loud[i] or loud[j - 1]) and (STRICT_EMAIL.fullmatch(span) or SPOKEN_EMAIL.fullmatch(span)):
-                    found.append("email")
-                if numeric and k == "d":
-                    if dots == 3 and kind[i] == "d":
-                        found.append("ip")
-                    if 13 <= digits <= 19 and kind[i] == "d":
-                        found.append("card")
-                    if 7 <= digits <= 15:
-                        found.append("phone")
-                for label in found:
-                    self.segments.append((i, j, LABELS.index(label), features(label, span, left, right, cues, digit_before or bool(JOINED_AFTER.match(text, self.at[j])), coded)))
+            labels = []
+            if ats == 1 and may_be_email and not (numeric or loud[j - 1]):
+                span = text[at[i] : at[j]]
+                if STRICT_EMAIL.fullmatch(span) or SPOKEN_EMAIL.fullmatch(span):
+                    labels.append("email")
+            if numeric and k == "d":
+                if dots == 3 and kinds[i] == "d":
+                    labels.append("ip")
+                if 13 <= digits <= 19 and kinds[i] == "d":
+                    labels.append("card")
+                if 7 <= digits <= 15:
+                    labels.append("phone")
+            if not labels:
+                continue
+            if around is None:
+                near = (text[at[w] : at[w + 1]].lower() for w in range(max(0, i - 6), i) if kinds[w] == "a")
+                around = (
+                    text[at[i] - 1] if at[i] else " ", {w for w in near if w.isalpha()},
+                    bool(JOINED_BEFORE.search(text, max(0, at[i] - 2), at[i])), bool(CODED.search(text, max(0, at[i] - 8), at[i])),
+                )
+            left, cues, digit_before, coded = around
+            right = text[at[j]] if at[j] < len(text) else " "
+            goes_on = digit_before or bool(JOINED_AFTER.match(text, at[j]))
+            for label in labels:
+                yield j, LABELS.index(label), features(label, text[at[i] : at[j]], left, right, cues, goes_on, coded)
+
+    @property
+    def segments(self) -> list[tuple[int, int, int, list[float]]]:
+        """(first token, token after the last, label, features) of all candidates."""
+        return [(i, *x) for i in range(self.n) for x in self.segments_from(i)]
 
     def gold(self, spans: list[tuple[str, int, int]]) -> dict[tuple[int, int], int]:
         """Token ranges of given spans; of spans that overlap the first stays."""
@@ -205,24 +233,41 @@ class Field:
         return by_end
 
     def best(self, region: Region) -> list[tuple[str, int, int]]:
-        """The best segmentation's spans, by a dynamic program over ends and labels."""
-        turns, n = self.turns.tolist(), region.n
-        score = [[-1e300] * len(LABELS) for _ in range(n + 1)]
-        back: list[list] = [[None] * len(LABELS) for _ in range(n + 1)]
+        """The best segmentation's spans, by a dynamic program over ends and labels.
+
+        No segment has more than ``MAX_TOKENS`` tokens, so only the scores of as
+        many ends are held; the way back takes two bytes for each token and label.
+        """
+        m, n, turns, weights, none = len(LABELS), region.n, self.turns.tolist(), self.weights.tolist(), float(self.weights[0, 0])
+        width = MAX_TOKENS + 1
+        score = [[-1e300] * m for _ in range(width)]
+        length, before = bytearray(m * (n + 1)), bytearray(m * (n + 1))
         score[0][0] = 0.0
-        for j, segments in enumerate(self.lattice(region)):
-            for i, label, own, _ in segments:
-                prior = score[i]
-                value, before = max((prior[p] + turns[label][p], -p) for p in range(len(LABELS)))
-                if value + own > score[j][label]:
-                    score[j][label], back[j][label] = value + own, (i, -before)
+        for i in range(n):
+            prior = score[i % width]
+            into: dict[int, tuple[float, int]] = {}
+
+            def reach(j: int, label: int, own: float) -> None:
+                if label not in into:
+                    row = turns[label]
+                    into[label] = max((prior[p] + row[p], -p) for p in range(m))  # noqa: B023
+                value, last = into[label]
+                there = score[j % width]
+                if value + own > there[label]:
+                    there[label] = value + own
+                    length[m * j + label], before[m * j + label] = j - i, -last  # noqa: B023
+
+            reach(i + 1, 0, none)
+            for j, label, values in region.segments_from(i):
+                reach(j, label, sum(w * v for w, v in zip(weights[label], values)))
+            score[i % width] = [-1e300] * m  # for the end that comes next in this place
         out, j = [], n
-        label = max(range(len(LABELS)), key=lambda k: (score[n][k], -k))
+        label = max(range(m), key=lambda k: (score[n % width][k], -k))
         while j:
-            i, before = back[j][label]
+            i, last = j - length[m * j + label], before[m * j + label]
             if label:
                 out.append((LABELS[label], region.at[i], region.at[j]))
-            j, label = i, before
+            j, label = i, last
         return out[::-1]
 
     def gradient(self, region: Region, gold: dict[tuple[int, int], int]) -> tuple[np.ndarray, np.ndarray]:
