@@ -34,7 +34,7 @@ from millrace.llm.bpe import opened, squeezed
 from millrace.llm.common import as_bytes, bucketed, dropped, partitions, pieces, spread, written
 
 #: Bytes of text in a piece, unless one text has more.
-PIECE = 16 << 20
+PIECE = 8 << 20
 #: Bytes of text that are cut into words at once.
 PART = 2 << 20
 #: Words of text whose features are counted at once.
@@ -155,8 +155,11 @@ def dealt_features(batches: Iterator[pa.RecordBatch], ranges: int) -> Iterator[p
             mine = by[a:b]
             data = pc.binary_join(pa.ListArray.from_arrays([0, b - a], strings.take(pa.array(mine))), b"\n")[0].as_py()
             rows.append((int(ranged[mine[0]]), row["piece"], row["target"], squeezed(np.diff(mine, prepend=0)), squeezed(counts[mine]), zstandard.compress(data, 6)))
+        del words, flat, which, counts, first, second, single, strings, hashed, ranged, by, pairs
         for k in range(0, len(rows), 64):
             yield table_of(rows[k : k + 64], FEATURES)
+        del rows
+        pa.default_memory_pool().release_unused()
 
 
 def hashed_once(found: pa.Table) -> pa.Table:

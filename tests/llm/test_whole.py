@@ -3,6 +3,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -269,3 +270,39 @@ def test_field_spans_overlap_no_base_span(monkeypatch):
         monkeypatch.setattr(pii, "field_spans", lambda text, field, more=more: more)
         kept = [s for s in pii.all_spans("", None)[1] if s[0] == "phone"]
         assert sorted(kept) == sorted(s for s in more if not any(a < s[2] and s[1] < b for _, a, b in base))
+
+
+def test_numbers_without_end_take_little_memory():
+    """Half a MB of phone numbers is one region: some bytes a character, and each number is found."""
+    import time
+    import tracemalloc
+
+    field = pii.fit(pii.generated(60, 3))
+    text = "555-123-4567 " * 40_000
+    tracemalloc.start()
+    began = time.perf_counter()
+    found = pii.field_spans(text, field)
+    took, (_, peak) = time.perf_counter() - began, tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 60e6 and took < 120
+    few = pii.field_spans(text[: 13 * 100], field)
+    assert [s for s in found if s[2] < 13 * 90] == [s for s in few if s[2] < 13 * 90]
+
+
+def test_one_long_document_meets_many_items_in_bounded_memory():
+    """100,000 words of a small vocabulary against 2,000 items made of it: hits are sorted some at a time."""
+    import tracemalloc
+
+    r = np.random.default_rng(2)
+    vocabulary = np.array([f"v{k}" for k in range(3000)])
+    texts = pa.array([" ".join(r.choice(vocabulary, 40)) for _ in range(2000)])
+    items = decontam.Items(list(range(2000)), texts, 0.5)
+    words = r.choice(vocabulary, 100_000)
+    words[50_000:50_040] = texts[7].as_py().split()
+    codes, offsets = decontam.coded(pa.array([" ".join(words)]))
+    tracemalloc.start()
+    met = items.meetings(codes, offsets)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 200e6
+    assert any(a <= 50_000 and b >= 50_040 for _, a, b in met[7])
