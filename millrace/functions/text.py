@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,6 +37,26 @@ def joined(parts: Column, by: str = "\n") -> Column:
     return F.array_join(parts, by)
 
 
+def prefix_sums(numbers: Column, block: int = 64) -> Column:
+    """For every element of an array of ints the sum of those before it.
+
+    A fold that appends copies what it has at every step. So the array is cut
+    into blocks, whose sums are summed up first: both folds stay short.
+    """
+
+    def summed(xs: Column, start: Column) -> Column:
+        grow = lambda s, x: F.struct((s["sum"] + x).alias("sum"), F.array_append(s["all"], s["sum"]).alias("all"))
+        return F.aggregate(xs, F.struct(start.cast("int").alias("sum"), F.array().cast("array<int>").alias("all")), grow, lambda s: s["all"])
+
+    def whole(xs: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.greatest(F.size(xs) - 1, F.lit(0)), F.lit(block)), lambda a: a < F.size(xs))
+        blocks = F.transform(starts, lambda a: F.slice(xs, a + 1, F.lit(block)))
+        sums = let(blocks, lambda b: F.flatten(F.zip_with(b, summed(F.transform(b, lambda x: F.aggregate(x, F.lit(0), lambda s, y: s + y)), F.lit(0)), summed)))
+        return F.when(xs.isNotNull(), sums)
+
+    return let(numbers, whole)
+
+
 def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"(?U)[^\s\x1c-\x1f]+")).cast("long")
 
@@ -72,12 +93,50 @@ def glob_pattern(glob: str) -> str:
     return rf"(?s)\A{out}\z"
 
 
-def matches_any(text: Column, globs: list[str]) -> Column:
-    """Whether any glob matches the whole text; without globs nothing matches."""
-    hit = F.lit(False)
-    for glob in globs:
-        hit = hit | text.rlike(glob_pattern(glob))
-    return hit
+def glob_parts(glob: str) -> tuple[bool, str, str]:
+    """Whether a glob begins with ``*``; the literal text that follows; a pattern for the rest, up to the end."""
+    rest = glob.lstrip("*")
+    plain = re.match(r"[^*?\[]*", rest)[0]
+    return rest != glob, plain, glob_pattern(rest[len(plain) :])[len(r"(?s)\A") :]
+
+
+def globs_pattern(globs: Sequence[str]) -> str:
+    """One pattern for all globs, for ``rlike``.
+
+    Globs that begin with literal text are tested once, at the start; those that
+    begin with a star share one search. In both their literal beginnings are a
+    trie, so a text is compared with the few globs that can match it and not
+    with each in turn.
+    """
+    sides: dict[bool, dict[str, list[str]]] = {False: {}, True: {}}
+    for glob in dict.fromkeys(globs):
+        anywhere, plain, rest = glob_parts(glob)
+        sides[anywhere].setdefault(plain, []).append(rest)
+    out = []
+    for anywhere, found in sides.items():
+        if found:
+            out.append((r"(?s:.*)" if anywhere else "") + trie({plain: "|".join(dict.fromkeys(rests)) for plain, rests in found.items()}))
+    return rf"(?s)\A(?:{'|'.join(out)})"
+
+
+def trie(ends: dict[str, str]) -> str:
+    """A pattern for any key followed by the pattern that it maps to."""
+    heads: dict[str, dict[str, str]] = {}
+    for key, end in ends.items():
+        if key:
+            heads.setdefault(key[0], {})[key[1:]] = end
+    parts = []
+    for head, rest in heads.items():
+        run = head
+        while len(rest) == 1 and (key := next(iter(rest))):
+            run, rest = run + key[0], {key[1:]: rest[key]}
+        parts.append("".join(map(literal, run)) + trie(rest))
+    return f"(?:{'|'.join([*parts, *([ends[''] ] if '' in ends else [])])})"
+
+
+def matches_any(text: Column, globs: Sequence[str]) -> Column:
+    """Whether any glob matches the whole text; without globs nothing matches, and a null text is null."""
+    return text.rlike(globs_pattern(globs)) if globs else F.lit(False)
 
 
 def slugify(text: Column, fallback: str = "chunk") -> Column:

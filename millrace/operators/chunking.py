@@ -8,14 +8,15 @@ chunks. All else (headers, sections, numbering, metadata) is built in.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.text import lines, stem, strip, word_count
-from millrace.operators.frontmatter import yaml_block
+from millrace.functions.text import let, prefix_sums, stem, strip, word_count
+from millrace.operators.frontmatter import with_front_matter
 
 #: What a splitter gives for each chunk beside its key and number.
 FIELDS = [("start", pa.int32()), ("text", pa.string()), ("section_path", pa.list_(pa.string())), ("section_headers", pa.map_(pa.string(), pa.string())), ("total_chunks", pa.int32())]
@@ -24,13 +25,10 @@ DDL = "start int, text string, section_path array<string>, section_headers map<s
 BATCH = 256
 
 
-def last_header(text: str, low: int, begin: int, end: int, pattern: re.Pattern) -> int | None:
-    """The last header that starts in (begin + low, end), as an offset from ``begin``."""
-    found = None
-    for m in pattern.finditer(text, begin, min(len(text), end + 8)):
-        if low < m.start() - begin < end - begin:
-            found = m.start() - begin
-    return found
+def last_between(places: list[int], low: int, high: int) -> int | None:
+    """The last of the sorted places that lies in (low, high)."""
+    at = bisect_left(places, high) - 1
+    return places[at] if at >= 0 and places[at] > low else None
 
 
 class Splitter:
@@ -43,14 +41,13 @@ class Splitter:
         self.lower = re.compile(rf"^#{{{max_level + 1},6}} .", re.M) if max_level < 6 else None
         self.header = re.compile(rf"^(#{{1,{max_level}}}) (.+)$", re.M)
 
-    def point(self, text: str, at: int, low: int) -> tuple[int, bool]:
-        """Where to split what starts at ``at``, more than ``low`` characters on, and whether that is a header."""
-        # The slice begins a line of its own, but a header there never counts: it must start after ``low``.
+    def point(self, text: str, at: int, low: int, upper: list[int], lower: list[int]) -> tuple[int, bool]:
+        """Where to split what starts at ``at``, more than ``low`` characters on, and whether that is a header; ``upper`` and ``lower`` are the places of all headers."""
         end = at + self.size
-        if (p := last_header(text, low, at, end, self.upper)) is not None:
-            return p, True
-        if self.lower and low == 0 and (p := last_header(text, 0, at, end, self.lower)) is not None:
-            return p, True
+        if (p := last_between(upper, at + low, end)) is not None:
+            return p - at, True
+        if low == 0 and (p := last_between(lower, at, end)) is not None:
+            return p - at, True
         for mark in ("\n\n", ". ", "! ", "? ", ", ", " "):
             p = text.rfind(mark, at + low, end) - at
             if p > low:
@@ -67,12 +64,15 @@ class Splitter:
         at = 0
         if not text.strip():
             return out
+        # Headers are found once; a step then takes no longer in a long text.
+        upper = [m.start() for m in self.upper.finditer(text)]
+        lower = [m.start() for m in self.lower.finditer(text)] if self.lower else []
         while at < len(text):
             if len(text) - at <= self.size:
                 if piece := text[at:].strip():
                     out.append((at, piece))
                 break
-            p, header = self.point(text, at, 0 if out else self.least)
+            p, header = self.point(text, at, 0 if out else self.least, upper, lower)
             piece = text[at : at + p].strip()
             if piece and (not out or len(piece) >= self.least):
                 out.append((at, piece))
@@ -116,33 +116,36 @@ def smart_chunks(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
 
 
 def header_positions(docs: DataFrame, key: str = "doc_id", text: str = "text", max_level: int = 3) -> DataFrame:
-    """(key, start, level, title) of every header line, fences included; within each row, without a shuffle."""
-    rows = lines(F.col(text))
-    # The offset of a line is the length of those before it with their line feeds.
-    located = F.aggregate(
-        rows, F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,line:string>>").alias("found")),
-        lambda s, x: F.struct(
-            (s["at"] + F.length(x) + 1).alias("at"),
-            F.when(x.rlike(rf"\A#{{1,{max_level}}} ."), F.concat(s["found"], F.array(F.struct(s["at"].alias("start"), x.alias("line"))))).otherwise(s["found"]).alias("found"),
-        ),
-        lambda s: s["found"],
-    )
-    found = docs.select(key, F.explode(located).alias("h"))
+    """(key, start, level, title) of every header line, fences included; within each row, without a shuffle.
+
+    The text is split before each header, so a header begins where the parts
+    before it end: positions are prefix sums over the parts' lengths.
+    """
+    header = rf"#{{1,{max_level}}} [^\n]"
+    parts = F.split(F.col(text), rf"\n(?={header})", -1)
+    lined = lambda part, start: F.struct(start.alias("start"), F.regexp_extract(part, rf"\A{header}[^\n]*", 0).alias("line"))
+    located = let(parts, lambda p: F.zip_with(p, prefix_sums(F.transform(p, lambda x: F.length(x) + 1)), lined))
+    found = docs.select(key, F.explode(F.filter(located, lambda h: h["line"] != "")).alias("h"))
     marks = F.regexp_extract("h.line", r"\A(#+) ", 1)
     return found.select(key, F.col("h.start").alias("start"), F.length(marks).alias("level"), strip(F.ltrim(F.col("h.line"), F.lit("#"))).alias("title"))
 
 
 def sections(chunks: DataFrame, headers: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, chunk_index, section_path, section_level): the last header of each level at or before a chunk's start, as a join.
+    """(key, chunk_index, section_path, section_level): the last header of each level at or before a chunk's start.
 
+    Chunks and headers are put in one order by offset and read once: a window
+    keeps the latest title of each of the six levels. No header meets a chunk
+    that it doesn't belong to, and every chunk gives a row. Keys must be those of
+    one text each; chunks or headers that repeat are counted as often.
     ``smart_chunks`` gives the same; this is for chunks from elsewhere.
     """
-    met = chunks.select(key, "chunk_index", "start").join(headers.select(key, F.col("start").alias("at"), "level", "title"), key).filter("at <= start")
-    last = met.groupBy(key, "chunk_index", "level").agg(F.max_by("title", "at").alias("title"))
-    path = last.groupBy(key, "chunk_index").agg(F.array_sort(F.collect_list(F.struct("level", "title"))).alias("path"))
-    every = chunks.select(key, "chunk_index").join(path, [key, "chunk_index"], "left")
-    titles = F.coalesce(F.transform("path", lambda x: x["title"]), F.array().cast("array<string>"))
-    return every.select(key, "chunk_index", titles.alias("section_path"), F.size(titles).alias("section_level"))
+    both = headers.select(key, F.col("start").alias("_at"), F.lit(0).alias("_chunk"), "level", "title", F.lit(None).cast("int").alias("chunk_index")).unionByName(
+        chunks.select(key, F.col("start").alias("_at"), F.lit(1).alias("_chunk"), F.lit(None).cast("int").alias("level"), F.lit(None).cast("string").alias("title"), "chunk_index")
+    )
+    before = Window.partitionBy(key).orderBy("_at", "_chunk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = [F.last(F.when(F.col("level") == n, F.col("title")), ignorenulls=True).over(before) for n in range(1, 7)]
+    path = both.withColumn("section_path", F.array(*known)).filter("_chunk = 1")
+    return path.select(key, "chunk_index", F.array_compact("section_path").alias("section_path")).withColumn("section_level", F.size("section_path"))
 
 
 def chunk_metadata(chunks: DataFrame, source_file: Column, size: int = 1200, overlap: int = 150, strategy: str = "smart", created_at: str | None = None) -> DataFrame:
@@ -173,16 +176,15 @@ def chunk_documents(filed: DataFrame, original: Column | None = None) -> DataFra
 
     ``original`` is a JSON object with the source document's own front matter, whose fields stand first unless a chunk field replaces them.
     """
+    text, number = ("chunk_id", "chunk_created_at", "source_file", "splitter"), ("chunk_index", "total_chunks", "section_level", "char_count", "word_count", "chunk_size", "chunk_overlap")
+    kinds = dict.fromkeys(text, "text") | dict.fromkeys(number, "number") | {"section_path": "list", "section_headers": "map"}
     fields = [
         "chunk_id", "chunk_created_at", "source_file", "chunk_index", "total_chunks", "section_path", "section_level", "section_headers",
         "char_count", "word_count", "splitter", "chunk_size", "chunk_overlap",
     ]
-    own = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
-    if original is None:
-        return filed.select("chunk_file", F.concat(yaml_block(own), F.lit("\n"), "text", F.lit("\n")).alias("text"))
-    known = F.map_filter(F.from_json(original, "map<string,string>"), lambda k, _: ~k.isin(fields))
-    first = F.when(F.size(known) > 0, F.concat(F.rtrim(F.to_json(known), F.lit("}")), F.lit(","), F.substring(own, 2, 2_000_000_000))).otherwise(own)
-    return filed.select("chunk_file", F.concat(yaml_block(first), F.lit("\n"), "text", F.lit("\n")).alias("text"))
+    known = None if original is None else F.map_filter(F.from_json(original, "map<string,string>"), lambda k, _: ~k.isin(fields))
+    headed = with_front_matter(filed, [(name, kinds[name], F.col(name)) for name in fields], "_head", known)
+    return headed.select("chunk_file", F.concat("_head", F.lit("\n"), "text", F.lit("\n")).alias("text"))
 
 
 def header_list(given: str) -> list[tuple[str, str]]:

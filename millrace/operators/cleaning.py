@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -74,14 +74,19 @@ def clean(docs: DataFrame, rules: Sequence[Rule], text: str = "text") -> DataFra
 
 def report(cleaned: DataFrame, text: str = "text") -> DataFrame:
     """Add sizes in code points with front matter, what was removed, and the warnings."""
-    before, after = F.length(text).cast("long"), F.length("cleaned").cast("long")
-    return cleaned.withColumns(
-        {
-            "original_chars": before, "cleaned_chars": after, "removed_chars": before - after,
-            "reduction_percent": F.when(before > 0, (before - after) / before * 100).otherwise(F.lit(0.0)),
-            "content_changed": F.col("cleaned") != F.col(text), "warnings": warnings_of(F.col("cleaned"), F.col(text)),
-        }
-    )
+
+    def facts(p: Column) -> Column:
+        old, new = p["old"], p["new"]
+        before, after = F.length(old).cast("long"), F.length(new).cast("long")
+        return F.struct(
+            before.alias("original_chars"), after.alias("cleaned_chars"), (before - after).alias("removed_chars"),
+            F.when(before > 0, (before - after) / before * 100).otherwise(F.lit(0.0)).alias("reduction_percent"),
+            (new != old).alias("content_changed"), warnings_of(new, old).alias("warnings"),
+        )
+
+    # Both texts are expressions of their own; they are made once for all facts.
+    told = cleaned.withColumn("_facts", let(F.struct(F.col(text).alias("old"), F.col("cleaned").alias("new")), facts))
+    return told.select(*cleaned.columns, "_facts.*")
 
 
 def summary(reported: DataFrame) -> DataFrame:
@@ -139,6 +144,31 @@ def rule_set_of(spark: SparkSession, docs: DataFrame, sites: Sequence[str], doma
     return asked.withColumn("rule_set", F.coalesce("_exact", "_short")).drop("_exact", "_short")
 
 
+def clean_by_site(docs: DataFrame, sets: Mapping[str, RuleSet], domain: str = "domain", text: str = "text") -> DataFrame:
+    """Add ``rule_set``, as ``rule_set_of`` finds it among the sites of ``sets``, and ``cleaned``: the text after the rules of its own set; without one the text as it is.
+
+    The sets are branches of one expression, of which a row runs only its own,
+    so the pass over the documents is one however many sites there are. Sets with
+    equal rules share a branch.
+    """
+    spark = docs.sparkSession
+    found = rule_set_of(spark, docs, list(sets), domain)
+    block, body = split_block(F.col(text))
+    fenced = has_block(F.col(text))
+    head, whole = F.when(fenced, F.concat(F.lit("---\n"), block, F.lit("\n---\n"))).otherwise(F.lit("")), F.when(fenced, body).otherwise(F.col(text))
+    sites: dict[tuple[Rule, ...], list[str]] = {}
+    for site, one in sets.items():
+        sites.setdefault(one.rules, []).append(site)
+
+    def ruled(p: Column) -> Column:
+        out = F.when(F.col("rule_set").isNull(), p["body"])
+        for rules, names in sites.items():
+            out = out.when(F.col("rule_set").isin(names), clean_text(p["body"], rules))
+        return F.concat(p["head"], out)
+
+    return found.withColumn("cleaned", let(F.struct(head.alias("head"), whole.alias("body")), ruled))
+
+
 def last_written(docs: DataFrame, file: str = "file", order: str = "crawl_seq") -> DataFrame:
     """Of the rows with one file name the last written stays."""
     return docs.withColumn("_rank", F.row_number().over(Window.partitionBy(file).orderBy(F.col(order).desc()))).filter("_rank = 1").drop("_rank")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from millrace.functions.text import collapse_spaces, stem, strip
-from millrace.operators.frontmatter import has_block, parsed, split_block, yaml_block
+from millrace.operators.frontmatter import has_block, split_block, with_front_matter, with_parsed
 
 # Words that make a heading a question, anywhere in it.
 KEYWORDS = ["what", "how", "when", "why", "which", "where"]
@@ -129,22 +129,24 @@ def numbered(questions: DataFrame, model: str, date: str) -> DataFrame:
 
 def qa_documents(numbered_questions: DataFrame) -> DataFrame:
     """(qa_file, text): a document of sorted front matter and the question."""
-    head = F.struct(
-        F.col("chunk_path").alias("chunk_file"), F.coalesce("chunk_id", F.lit("N/A")).alias("chunk_id"), F.coalesce("confidence", F.lit("unknown")).alias("confidence"), "generation_date",
-        "generation_model", F.when(F.size("section_path") > 0, F.col("section_path")).alias("section_path"), F.coalesce("source_type", F.lit("unknown")).alias("source_type"), F.coalesce("source_url", F.lit("N/A")).alias("source_url"),
-    )
-    return numbered_questions.select("qa_file", F.concat(yaml_block(F.to_json(head)), F.lit("\n"), "question", F.lit("\n")).alias("text"))
+    text = lambda name, value: (name, "text", value)
+    fields = [
+        text("chunk_file", F.col("chunk_path")), text("chunk_id", F.coalesce("chunk_id", F.lit("N/A"))), text("confidence", F.coalesce("confidence", F.lit("unknown"))), text("generation_date", F.col("generation_date")),
+        text("generation_model", F.col("generation_model")), ("section_path", "list", F.when(F.size("section_path") > 0, F.col("section_path"))), text("source_type", F.coalesce("source_type", F.lit("unknown"))), text("source_url", F.coalesce("source_url", F.lit("N/A"))),
+    ]
+    return with_front_matter(numbered_questions, fields, "_head", skip_null=True).select("qa_file", F.concat("_head", F.lit("\n"), "question", F.lit("\n")).alias("text"))
 
 
 def parse_qa(documents: DataFrame, file: str = "qa_file", text: str = "text") -> DataFrame:
     """One row for each QA document, in no order (see ``in_order``); without front matter chunk and type are ``unknown``."""
     block, body = split_block(F.col(text))
-    fm = F.when(has_block(F.col(text)), parsed(block))
-    read = documents.select(F.col(file).alias("qa_file"), F.col(text).alias("whole"), body.alias("body"), fm.alias("fm"))
+
+    split = documents.select(strip(body).alias("question"), F.when(has_block(F.col(text)), block).alias("block"), F.col(file).alias("qa_file"))
+    read = with_parsed(split, F.col("block"), "fm")
     of = lambda key: F.when(F.col("fm").isNull(), F.lit("unknown" if key in ("chunk_file", "source_type") else "")).otherwise(F.coalesce(F.try_element_at("fm", F.lit(key)), F.lit(""))).alias(key)
     fields = [of(k) for k in ("chunk_file", "chunk_id", "source_url", "generation_model", "generation_date", "source_type", "confidence")]
     path = F.from_json(F.try_element_at("fm", F.lit("section_path")), "array<string>").alias("section_path")
-    return read.select(strip(F.col("body")).alias("question"), *fields, path, "qa_file")
+    return read.select("question", *fields, path, "qa_file")
 
 
 def in_order(qa: DataFrame) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.tables import written
+from millrace.functions.tables import in_order
 from millrace.functions.text import base_name
 
 STATUS = {"a": "approved", "r": "rejected", "e": "edited"}
@@ -15,9 +17,10 @@ def pending(questions: DataFrame) -> DataFrame:
     return questions.filter(~F.coalesce("reviewed", F.lit(False)))
 
 
-def decided(questions: DataFrame, decisions: DataFrame, key: str = "question_key") -> DataFrame:
-    """Apply decisions (key, decision, new_text): a approves, r rejects, e replaces the text; an edit without text, and any other letter, changes nothing. Reviewed questions stay as they are."""
-    made = questions.join(decisions.select(key, "decision", "new_text"), key, "left")
+def decided(questions: DataFrame, decisions: DataFrame, key: str | Sequence[str] = "question_key") -> DataFrame:
+    """Apply decisions (key or keys, decision, new_text): a approves, r rejects, e replaces the text; an edit without text, and any other letter, changes nothing. Reviewed questions stay as they are."""
+    keys = [key] if isinstance(key, str) else list(key)
+    made = questions.join(decisions.select(*keys, "decision", "new_text"), keys, "left")
     open_ = ~F.coalesce("reviewed", F.lit(False))
     edit = (F.col("decision") == "e") & (F.coalesce("new_text", F.lit("")) != "")
     counts = F.coalesce(open_ & (F.col("decision").isin("a", "r") | edit), F.lit(False))
@@ -49,23 +52,14 @@ def approved(questions: DataFrame, include_all: bool = False) -> DataFrame:
     return questions if include_all else questions.filter(F.col("status").isin("approved", "edited"))
 
 
-def question_ids(questions: DataFrame, order: str = "seq", slices: int = 4096) -> DataFrame:
-    """Add ``question_id``: q_0001 and on in the order of a unique integer column.
+def question_ids(questions: DataFrame, order: Sequence[str] = ("seq",)) -> DataFrame:
+    """Add ``question_id``: q_0001 and on in the given order, whatever its columns are and however their values lie.
 
-    The questions are written once; rows are numbered inside ranges of the order, and the ranges' small counts
-    (``slices`` rows at most) are summed up, so no task ever holds all rows.
+    Rows are numbered by ``in_order``, inside ranges that hold about equally
+    many of them; no task ever holds all. Rows that tie are numbered either way.
     """
-    questions = written(questions)
-    low, high = questions.agg(F.min(order), F.max(order)).head()
-    if low is None:
-        return questions.withColumn("question_id", F.lit(None).cast("string"))
-    width = (high - low) // slices + 1
-    sliced = questions.withColumn("slice", F.floor((F.col(order) - low) / width))
-    counts = sliced.groupBy("slice").agg(F.count("*").alias("n"))
-    before = counts.select("slice", F.coalesce(F.sum("n").over(Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    place = F.row_number().over(Window.partitionBy("slice").orderBy(order))
-    placed = sliced.withColumn("place", place).join(F.broadcast(before), "slice")
-    return placed.withColumn("question_id", F.format_string("q_%04d", F.col("before") + F.col("place"))).drop("slice", "place", "before")
+    placed = in_order(questions, list(order), place="_place")
+    return placed.withColumn("question_id", F.format_string("q_%04d", F.col("_place") + 1)).drop("_place")
 
 
 def test_case(kind: str) -> Column:

@@ -73,31 +73,22 @@ def section_boundary(rule: Rule, text: Column) -> Column:
     """Remove from a line that holds the start marker to the next that holds the end marker, or to the end.
 
     With ``inclusive`` the marker lines go too. A missing marker makes the rule
-    do nothing. Only marker lines are folded over; they become line intervals.
+    do nothing. A section is a regular language: one pattern finds them from
+    left to right, in one pass over the text, however many there are.
     """
-    if not rule.start_marker or not rule.end_marker:
+    if not rule.start_marker or not rule.end_marker or "\n" in rule.start_marker:
         return text
-    start, end = rule.start_marker, rule.end_marker
-    edge = 0 if rule.inclusive else 1
-    none = F.array().cast("array<struct<a:int,b:int>>")
-    cut = lambda a, b: F.array(F.struct(a.cast("int").alias("a"), b.cast("int").alias("b")))
-
-    def kept(all_lines: Column) -> Column:
-        marks = F.filter(F.transform(all_lines, lambda x, i: F.struct(i.alias("i"), x.contains(start).alias("s"), x.contains(end).alias("e"))), lambda m: m["s"] | m["e"])
-        state = lambda since, cuts: F.struct(since.cast("int").alias("since"), cuts.alias("cuts"))
-
-        def step(at: Column, m: Column) -> Column:
-            opened = at["since"] >= 0
-            return (
-                F.when(~opened & m["s"], state(m["i"], at["cuts"]))
-                .when(opened & m["e"], state(F.lit(-1), F.concat(at["cuts"], cut(at["since"] + edge, m["i"] - edge))))
-                .otherwise(at)
-            )
-
-        folded = F.aggregate(marks, state(F.lit(-1), none), step, lambda at: F.when(at["since"] >= 0, F.concat(at["cuts"], cut(at["since"] + edge, F.size(all_lines)))).otherwise(at["cuts"]))
-        return let(folded, lambda cuts: F.when(F.size(cuts) == 0, all_lines).otherwise(F.filter(all_lines, lambda x, i: ~F.exists(cuts, lambda c: (i >= c["a"]) & (i <= c["b"])))))
-
-    return F.when(text.contains(start), joined(let(lines(text), kept))).otherwise(text)
+    start, end = literal(rule.start_marker), literal(rule.end_marker)
+    first = rf"(?:\A|\n)[^\n]*?{start}[^\n]*+"
+    # A marker with a line feed stands in no line, so nothing closes the section.
+    last = rf"\n[^\n]*?{end}[^\n]*+" if "\n" not in rule.end_marker else r"(?!)"
+    found = rf"({first})(?:(?s:.*?)({last})|(?s:.*)\z)"
+    if not rule.inclusive:
+        return F.regexp_replace(text, found, "$1$2")
+    # Each section goes with the line feed before it; one that begins the text leaves the line feed after it.
+    begins = text.rlike(rf"\A[^\n]*{start}")
+    out = F.regexp_replace(text, found, "")
+    return F.when(begins, F.regexp_replace(out, r"\A\n", "")).otherwise(out)
 
 
 def line_pattern(rule: Rule, text: Column) -> Column:

@@ -119,13 +119,13 @@ fields AS (SELECT *, regexp_extract(block, '(?m)^original_url: (.*)$', 1) AS ori
 
 QUESTIONS = f"""WITH RECURSIVE {chunks(HEADED)}, {HEADERS}, {SECTIONS},
 questions AS (
-  SELECT c.doc_id * 100000000 + c.chunk_index AS seq, c.piece AS question, d.source || '/' || c.doc_id || '_' || lpad(c.chunk_index::VARCHAR, 4, '0') || '.md' AS chunk_path,
+  SELECT c.doc_id, c.chunk_index::INTEGER AS chunk_index, c.piece AS question, d.source || '/' || c.doc_id || '_' || lpad(c.chunk_index::VARCHAR, 4, '0') || '.md' AS chunk_path,
     sha256(d.source || '/' || c.doc_id || '.md#' || c.chunk_index) AS chunk_id, CASE WHEN c.doc_id % 3 = 0 THEN 'interview_question' ELSE 'synthetic' END AS source_type,
     'https://' || d.source || '.example.com/' || c.doc_id AS source_url, p.path, coalesce(l.quality, -1) AS quality
   FROM chunks c JOIN documents d USING (doc_id) LEFT JOIN paths p ON p.doc_id = c.doc_id AND p.chunk_index = c.chunk_index LEFT JOIN labels l ON l.doc_id = c.doc_id),
 reviewed AS (SELECT *, CASE WHEN quality = 1 THEN 'approved' WHEN quality = 0 THEN 'rejected' WHEN source_type = 'interview_question' THEN 'approved' END AS status FROM questions)"""
 
-APPROVED = f"{QUESTIONS}, ids AS (SELECT *, 'q_' || lpad(n::VARCHAR, greatest(4, length(n::VARCHAR))::INTEGER, '0') AS question_id FROM (SELECT *, row_number() OVER (ORDER BY seq) AS n FROM reviewed WHERE status IN ('approved', 'edited')))"
+APPROVED = f"{QUESTIONS}, ids AS (SELECT *, 'q_' || lpad(n::VARCHAR, greatest(4, length(n::VARCHAR))::INTEGER, '0') AS question_id FROM (SELECT *, row_number() OVER (ORDER BY doc_id, chunk_index) AS n FROM reviewed WHERE status IN ('approved', 'edited')))"
 
 ORACLE_SQL: dict[str, str] = {
     "url_parts": f"SELECT page_id, {HOST} AS authority, {PATH} AS path, replace({HOST}, 'www.', '') AS domain FROM pages",
@@ -206,12 +206,12 @@ ORACLE_SQL |= {
     "qa_prompt": f"""SELECT doc_id, md5('Write 3 questions that the following passage answers best.' || chr(10) || chr(10) || 'Source: ' || source || chr(10) || 'Section: ' || CASE WHEN doc_id % 2 = 0 THEN lang || ' > ' || source ELSE 'No section' END || chr(10) || 'Title: Unknown' || chr(10) || chr(10) || 'Passage:' || chr(10) || text || chr(10) || chr(10) ||
       'The passage alone must answer each question. Ask as a reader would, of several kinds (facts, steps, ideas, faults), and don''t speak of the passage. Reply with a JSON array of strings only.') AS digest FROM documents WHERE {WORDS.format("text")} >= 20""",
     "qa_response_parse": "SELECT * FROM (VALUES (0, 'a|b'), (1, 'c'), (2, 'd'), (3, 'a'), (4, ''), (5, ''), (6, '')) v(id, questions)",
-    "qa_number": f"""{QUESTIONS} SELECT seq, parse_filename(chunk_path, true) || '_' || lpad(n::VARCHAR, 3, '0') || '.md' AS qa_file FROM (SELECT *, row_number() OVER (PARTITION BY parse_filename(chunk_path, true) ORDER BY seq, chunk_path, question) AS n FROM questions)""",
+    "qa_number": f"""{QUESTIONS} SELECT doc_id, chunk_index, parse_filename(chunk_path, true) || '_' || lpad(n::VARCHAR, 3, '0') || '.md' AS qa_file FROM (SELECT *, row_number() OVER (PARTITION BY parse_filename(chunk_path, true) ORDER BY chunk_path, question) AS n FROM questions)""",
     "qa_summary": f"{QUESTIONS} SELECT count(*)::BIGINT AS total, count(DISTINCT chunk_path)::BIGINT AS unique_chunks, count(DISTINCT source_url)::BIGINT AS unique_urls FROM questions",
     "qa_by_type": f"{QUESTIONS} SELECT source_type, count(*)::BIGINT AS n FROM questions GROUP BY source_type",
-    "review_pending": f"{QUESTIONS} SELECT seq FROM reviewed WHERE status IS NULL",
-    "review_apply": f"{QUESTIONS} SELECT seq, CASE WHEN quality = 1 THEN 'approved' WHEN quality = 0 THEN 'rejected' END AS status, quality >= 0 AS reviewed FROM questions",
-    "review_auto": f"{QUESTIONS} SELECT seq, status, status IS NOT NULL AS reviewed FROM reviewed",
+    "review_pending": f"{QUESTIONS} SELECT doc_id, chunk_index FROM reviewed WHERE status IS NULL",
+    "review_apply": f"{QUESTIONS} SELECT doc_id, chunk_index, CASE WHEN quality = 1 THEN 'approved' WHEN quality = 0 THEN 'rejected' END AS status, quality >= 0 AS reviewed FROM questions",
+    "review_auto": f"{QUESTIONS} SELECT doc_id, chunk_index, status, status IS NOT NULL AS reviewed FROM reviewed",
     "review_stats": f"""{QUESTIONS} SELECT count(*)::BIGINT AS total, count(status)::BIGINT AS reviewed, (count(*) - count(status))::BIGINT AS pending, count(*) FILTER (status = 'approved')::BIGINT AS approved, 0::BIGINT AS edited,
       count(*) FILTER (status = 'rejected')::BIGINT AS rejected, round(count(status) * 100.0::DOUBLE / count(*), 4) AS reviewed_percent FROM reviewed""",
     "export_json": f"{APPROVED} SELECT question_id, question, chunk_id AS expected_chunk_id, chunk_path AS expected_chunk_path, source_url, coalesce(path, '') AS section_path, source_type, status FROM ids",
@@ -238,6 +238,12 @@ TEST_CASES = f"SELECT count(*) FROM ({ORACLE_SQL['export_trec']})"
 
 ORACLE_SQL |= {
     "crawl_resume": f"SELECT * FROM ({ORACLE_SQL['crawl_hops']}) WHERE hop >= 2",
+    "crawl_stream": ORACLE_SQL["crawl_hops"],
+    "crawl_pages": f"""WITH RECURSIVE {LINKS}, walk(url, hop) AS (
+        SELECT url, 0 FROM pages WHERE page_id % 3 = 0 AND NOT contains(url, '/the') UNION SELECT link, hop + 1 FROM walk JOIN links ON page = url WHERE hop < 2 AND NOT contains(link, '/the'))
+      SELECT url, min(hop)::INTEGER AS hop FROM walk GROUP BY url""",
+    "fetch_pages": """SELECT url, CASE WHEN page_id % 5 = 0 THEN 404 ELSE 200 END::INTEGER AS status, CASE WHEN page_id % 5 <> 0 THEN md5(html) END AS digest, 1::INTEGER AS attempts,
+      CASE WHEN page_id % 5 = 0 THEN 'status 404' END AS error FROM pages""",
     "crawl_summary": f"""SELECT count(*) AS processed, count(*) FILTER (ok) AS successful, count(*) FILTER (NOT ok) AS failed
       FROM (SELECT url IN (SELECT 'https://n/' || page_id FROM pages WHERE page_id % 3 <> 0) AS ok FROM ({ORACLE_SQL['crawl_hops']}))""",
     "scrape_list": f"""WITH listed AS (SELECT page_id, url FROM pages UNION ALL SELECT page_id, url FROM pages WHERE page_id % 5 = 0)
@@ -246,6 +252,10 @@ ORACLE_SQL |= {
       ruled AS (SELECT doc_id, t, '---' || chr(10) || block || chr(10) || '---' || chr(10) AS head, array_to_string(list_transform(string_split(replace(body, 'e', ''), chr(10)), lambda l: CASE WHEN starts_with(l, '# ') THEN '' ELSE l END), chr(10)) AS b FROM fields),
       done AS (SELECT doc_id, t, head || {normalized("b")} AS cleaned FROM ruled)
       SELECT doc_id, md5(cleaned) AS digest, 0::INTEGER AS n_yaml, (contains(t, '# ') AND NOT contains(cleaned, '# '))::INTEGER AS n_h1 FROM done""",
+    "cleaned_files": f"""WITH source AS ({SCRAPED}), {FRONT},
+      ruled AS (SELECT doc_id, '---' || chr(10) || block || chr(10) || '---' || chr(10) AS head, array_to_string(list_transform(string_split(replace(body, 'e', ''), chr(10)), lambda l: CASE WHEN starts_with(l, '# ') THEN '' ELSE l END), chr(10)) AS b FROM fields),
+      done AS (SELECT doc_id, head || {normalized("b")} AS cleaned FROM ruled)
+      SELECT doc_id || '.md' AS file, length(cleaned)::BIGINT AS n_chars, md5(cleaned) AS digest FROM done""",
     "rule_unknown": digest("text"),
     "frontmatter_build": """SELECT doc_id, '---' || chr(10) || 'doc_id: ' || doc_id || chr(10) || 'title: ''Doc ' || doc_id || ': ' || lang || '''' || chr(10) || 'even: ' || CASE WHEN doc_id % 2 = 0 THEN 'true' ELSE 'false' END || chr(10)
       || 'tags:' || chr(10) || '- ' || lang || chr(10) || '- ' || source || chr(10) || '---' || chr(10) AS block FROM documents""",
@@ -254,16 +264,21 @@ ORACLE_SQL |= {
         m.char_count, m.word_count, m.section_path, md5(c.piece) AS digest
       FROM m JOIN chunks c ON c.doc_id = m.doc_id AND c.chunk_index = m.chunk_index JOIN documents d ON d.doc_id = m.doc_id""",
     "merge_filter": f"SELECT chunk_file, chunk_index, 'https://x/7' AS original_url FROM ({METADATA}) WHERE doc_id = 7",
+    "merge_order": f"""SELECT chunk_file, row_number() OVER (ORDER BY source || '/' || doc_id || '.md', chunk_index, chunk_file) - 1 AS place FROM ({METADATA}) JOIN documents USING (doc_id)""",
+    "clean_by_site": f"""WITH {CLEANED}, stays AS (SELECT d.doc_id, source, cleaned, original FROM cleaned JOIN documents d USING (doc_id)),
+      sited AS (SELECT doc_id, CASE source WHEN 'src0' THEN 'src0.example.com' WHEN 'src1' THEN 'src1.example' END AS rule_set,
+        CASE source WHEN 'src0' THEN cleaned WHEN 'src1' THEN {normalized("replace(original, ' the ', '')")} ELSE original END AS t FROM stays)
+      SELECT doc_id, rule_set, length(t)::BIGINT AS n_chars, md5(t) AS digest FROM sited""",
     "merge_json_array": lines_of_array(f"""SELECT '{{"chunk_file":"' || chunk_file || '","original_url":"' || original_url || '","chunk_index":0}}' AS line, chunk_file FROM ({ORACLE_SQL['merge_rows']})""", "chunk_file"),
     "qa_union": """WITH d AS (SELECT *, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D\\x1c-\\x1f\\x85\\xa0]+')) AS words FROM documents)
       SELECT doc_id::VARCHAR AS chunk_id, CASE WHEN doc_id % 3 = 0 THEN 'What is ' || lang ELSE 'What does this source say?' END AS question, doc_id || '_001.md' AS qa_file,
         CASE WHEN doc_id % 3 = 0 THEN 'interview_question' ELSE 'synthetic' END AS source_type, CASE WHEN doc_id % 3 = 0 THEN 'extracted' ELSE 'auto-generated' END AS confidence, false AS reviewed,
         'stub' AS generation_model, '2025-01-01' AS generation_date
       FROM d WHERE CASE WHEN doc_id % 3 = 0 THEN words > 30 ELSE words >= 20 END""",
-    "qa_order": QUESTIONS + ", n AS (SELECT *, row_number() OVER (PARTITION BY parse_filename(chunk_path, true) ORDER BY seq, chunk_path, question) AS n FROM questions WHERE seq // 100000000 % 7 = 3) "
+    "qa_order": QUESTIONS + ", n AS (SELECT *, row_number() OVER (PARTITION BY parse_filename(chunk_path, true) ORDER BY chunk_path, question) AS n FROM questions) "
     + lines_of_array("""SELECT '{"chunk_file":"' || chunk_path || '","qa_file":"' || qa_file || '","generation_model":"extracted"}' AS line, chunk_path, qa_file FROM (SELECT *, parse_filename(chunk_path, true) || '_' || lpad(n::VARCHAR, 3, '0') || '.md' AS qa_file FROM n)""", "chunk_path, qa_file"),
     "qa_legacy_json": QUESTIONS + " " + lines_of_array(
-        """SELECT '{"seq":' || seq || ',"chunk_id":"' || chunk_id || '","source_type":"' || source_type || '","confidence":"auto","reviewed":false}' AS line, seq FROM questions""", "seq",
+        """SELECT '{"doc_id":' || doc_id || ',"chunk_index":' || chunk_index || ',"chunk_id":"' || chunk_id || '","source_type":"' || source_type || '","confidence":"auto","reviewed":false}' AS line, doc_id, chunk_index FROM questions""", "doc_id, chunk_index",
         """'{"metadata": {"total_questions": ' || (SELECT count(*) FROM questions) || ', "extracted_questions": 0, "synthetic_questions": ' || (SELECT count(*) FROM questions) || ', "random_seed": 42}, "questions": ['""", "']}'"),
     "export_json_document": lines_of_array(f"SELECT split_part(line, ' ', 1) AS line FROM ({ORACLE_SQL['export_trec']})", "line",
         f"""'{{"metadata": {{"created_at": "2025-01-01", "total_questions": ' || ({TEST_CASES}) || ', "format": "retrieval_test_set_v1"}}, "test_cases": ['""", "']}'"),

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 import warnings
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions import tables
 from millrace.functions import text as T
 from millrace.functions import urls as U
 from millrace.operators import chunking, cleaning, crawl, frontmatter, html, merging, questions, review
+from millrace.operators.cleaning import RuleSet
 from millrace.operators.rules import Rule, apply_rules
 from millrace.plans import inputs
-from millrace.sources import files
+from millrace.sources import files, sink, web
+from millrace.streaming.crawl import CrawlStream
 from millrace.plans.inputs import RULES, shaped, table
 from millrace.plans.oracle import ORACLE_SQL  # noqa: F401
 
@@ -96,6 +100,39 @@ def crawl_resume(spark, sf_dir):
     return crawl.crawl(nothing, edges, 4, ["https://n/*9"], visited=done.filter("hop < 2"), frontier=done.filter("hop = 2"))
 
 
+@query
+def crawl_stream(spark, sf_dir):
+    """The crawl again as a stream of levels, stopped after its first two and taken up by another run on the same folder."""
+    pages = table(spark, sf_dir, "pages").select("page_id")
+    n = pages.count()
+    page = lambda x: F.concat(F.lit("https://n/"), x.cast("string"))
+    edges = pages.select(page(F.col("page_id")).alias("url"), F.explode(F.array((2 * F.col("page_id") + 1) % n, (3 * F.col("page_id") + 7) % n)).alias("to")).select("url", page(F.col("to")).alias("link"))
+    root = f"{tables.shared_dir(spark)}/millrace-crawl-{uuid.uuid4().hex}"
+    first = CrawlStream(spark, root, edges, 4, ["https://n/*9"])
+    first.seed(spark.createDataFrame([("https://n/0",), ("https://n/5",)], "url string"))
+    first.advance()
+    first.advance()
+    return CrawlStream(spark, root, edges, 4, ["https://n/*9"]).run()
+
+
+@query
+def crawl_pages(spark, sf_dir):
+    """Pages within two hops of every third one, over the links that stand in the pages."""
+    pages = table(spark, sf_dir, "pages")
+    return crawl.crawl(pages.filter("page_id % 3 = 0").select("url"), crawl.links(pages), 2, ["*/the*"])
+
+
+@query
+def fetch_pages(spark, sf_dir):
+    """Every page asked for from a folder of pages that lacks each fifth; failures are rows."""
+    pages = table(spark, sf_dir, "pages")
+    root = f"{tables.shared_dir(spark)}/millrace-mirror-{uuid.uuid4().hex}"
+    there = pages.filter("page_id % 5 <> 0").select(F.concat(F.sha2("url", 256), F.lit(".html")).alias("file"), "html")
+    sink.write_documents(there, root, "file", "html")
+    found = web.fetched(pages.select("url"), "millrace.sources.web:mirror", root)
+    return found.select("url", "status", F.md5("html").alias("digest"), "attempts", "error")
+
+
 @query
 def crawl_summary(spark, sf_dir):
     """The crawl against the pages that could be read, here all but each third one."""
@@ -213,8 +250,18 @@ def rule_unknown(spark, sf_dir):
 @query
 def frontmatter_build(spark, sf_dir):
     """Front matter made from fields."""
-    head = F.to_json(F.struct("doc_id", F.concat(F.lit("Doc "), F.col("doc_id").cast("string"), F.lit(": "), "lang").alias("title"), (F.col("doc_id") % 2 == 0).alias("even"), F.array("lang", "source").alias("tags")))
-    return table(spark, sf_dir, "documents").select("doc_id", frontmatter.yaml_block(head).alias("block"))
+    title = F.concat(F.lit("Doc "), F.col("doc_id").cast("string"), F.lit(": "), "lang")
+    fields = [("doc_id", "number", F.col("doc_id")), ("title", "text", title), ("even", "number", F.col("doc_id") % 2 == 0), ("tags", "list", F.array("lang", "source"))]
+    return frontmatter.with_front_matter(table(spark, sf_dir, "documents"), fields, "block").select("doc_id", "block")
+
+
+@query
+def cleaned_files(spark, sf_dir):
+    """Scraped documents, cleaned, written as a file each and read again from the folder."""
+    rules = [Rule("regex", pattern="e", flags=()), Rule("regex", pattern="^# .*$", flags=("MULTILINE",))]
+    root = f"{tables.shared_dir(spark)}/millrace-cleaned-{uuid.uuid4().hex}"
+    files.write_cleaned(cleaning.clean(scraped(spark, sf_dir), rules), root, flush=True)
+    return files.documents(spark, root).select("file", *digest(F.col("text")))
 
 
 @query
@@ -237,6 +284,26 @@ def ruleset_lookup(spark, sf_dir):
     return found.select("doc_id", "rule_set")
 
 
+#: Rule sets by site: one is found by its whole domain, one without the last label, one belongs to no document here.
+SETS = {
+    "src0.example.com": RuleSet("src0", tuple(RULES)),
+    "src1.example": RuleSet("src1", (Rule("exact_match", "an article", pattern=" the ", max_remove=-1),)),
+    "elsewhere.org": RuleSet("elsewhere", (Rule("regex", "everything", pattern="(?s).+"),)),
+}
+
+
+@query
+def clean_by_site(spark, sf_dir):
+    """Every document cleaned by the rules of its own site, in one pass; documents of other sites stay as they are."""
+    found = cleaning.clean_by_site(domain_of_boilerplate(spark, sf_dir), SETS)
+    return found.select("doc_id", "rule_set", *digest(F.col("cleaned")))
+
+
+def domain_of_boilerplate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = shaped(spark, sf_dir, inputs.with_boilerplate)
+    return docs.withColumn("domain", F.concat("source", F.lit(".example.com")))
+
+
 # --- front matter ----------------------------------------------------------
 
 
@@ -345,17 +412,17 @@ def merge_rescue(spark, sf_dir):
     return merging.merge_chunks(merge_input(spark, sf_dir).withColumn("text", outer)).select("chunk_file", "original_url", "title")
 
 
-def written_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks as the documents that the chunker writes, under front matter of their source, and merged again."""
+def chunk_files_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(chunk_file, text): chunks as the documents that the chunker writes, under front matter of their source."""
     filed = chunk_table(spark, sf_dir)
     original = F.to_json(F.struct(F.concat(F.lit("https://x/"), F.col("doc_id").cast("string")).alias("original_url"), F.lit("2025-01-01").alias("scrape_date"), F.concat(F.lit("T: "), F.col("doc_id").cast("string")).alias("title")))
-    return merging.merge_chunks(chunking.chunk_documents(filed, original))
+    return chunking.chunk_documents(filed, original)
 
 
 @query
 def chunk_documents(spark, sf_dir):
     """Every field of written chunk documents, read back."""
-    found = written_chunks(spark, sf_dir)
+    found = merging.merge_chunks(chunk_files_of(spark, sf_dir))
     return found.select(
         "chunk_file", "source_file", "original_url", "scrape_date", "title", "chunk_index", "total_chunks", "char_count", "word_count",
         F.array_join("section_path", " > ").alias("section_path"), F.md5("content").alias("digest"),
@@ -365,7 +432,15 @@ def chunk_documents(spark, sf_dir):
 @query
 def merge_filter(spark, sf_dir):
     """Merged chunks of one URL."""
-    return merging.with_url(written_chunks(spark, sf_dir), "https://x/7").select("chunk_file", "chunk_index", "original_url")
+    url = "https://x/7"
+    merged = merging.merge_chunks(merging.may_have_url(chunk_files_of(spark, sf_dir), url))
+    return merging.with_url(merged, url).select("chunk_file", "chunk_index", "original_url")
+
+
+@query
+def merge_order(spark, sf_dir):
+    """The place of every merged chunk in the corpus: by source file, index and chunk file."""
+    return merging.placed(merging.merge_chunks(chunk_files_of(spark, sf_dir))).select("chunk_file", "place")
 
 
 @query
@@ -409,9 +484,6 @@ def qa_prompt(spark, sf_dir):
     return questions.prompt(docs).select("doc_id", F.md5("prompt").alias("digest"))
 
 
-#: Room for a document's chunks in the order of questions: a text of the largest size that Spark holds has fewer.
-SEQ = 100_000_000
-
 #: Responses as models give them.
 RESPONSES = ['["a", "b"]', '```json\n["c"]\n```', 'Here they are:\n["d"]\nDone.', '["a", 1, null, {"b": 2}]', '{"a": "b"}', '["broken', ""]
 
@@ -437,31 +509,35 @@ def qa_union(spark, sf_dir):
     return both.select("chunk_id", "question", "qa_file", "source_type", "confidence", "reviewed", "generation_model", "generation_date")
 
 
+#: What names a question here, and its order.
+ASKED = ["doc_id", "chunk_index"]
+
+
 def question_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A question for every chunk, with the label of its document."""
     chunks = chunk_table(spark, sf_dir).withColumns(
         {
-            "seq": F.col("doc_id") * SEQ + F.col("chunk_index"), "question": F.col("text"), "chunk_path": F.concat(F.regexp_replace("source_file", "[^/]*$", ""), "chunk_file"),
+            "seq": F.lit(0), "question": F.col("text"), "chunk_path": F.concat(F.regexp_replace("source_file", "[^/]*$", ""), "chunk_file"),
             "source_url": F.concat(F.lit("https://"), F.substring_index("source_file", "/", 1), F.lit(".example.com/"), F.col("doc_id").cast("string")),
             "source_type": F.when(F.col("doc_id") % 3 == 0, "interview_question").otherwise("synthetic"), "confidence": F.lit("auto"), "reviewed": F.lit(False), "status": F.lit(None).cast("string"),
         }
     )
-    return chunks.select("seq", *questions.QUESTION, "status", "doc_id")
+    return chunks.select("seq", *questions.QUESTION, "status", *ASKED)
 
 
 def decisions(spark: SparkSession, sf_dir: str, asked: DataFrame) -> DataFrame:
     labels = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "a").otherwise("r").alias("decision"))
-    return asked.select("seq", "doc_id").join(labels, "doc_id").select("seq", "decision", F.lit(None).cast("string").alias("new_text"))
+    return asked.select(*ASKED).join(labels, "doc_id").select(*ASKED, "decision", F.lit(None).cast("string").alias("new_text"))
 
 
 def reviewed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = question_table(spark, sf_dir)
-    return review.approve_extracted(review.decided(asked, decisions(spark, sf_dir, asked), "seq"))
+    return review.approve_extracted(review.decided(asked, decisions(spark, sf_dir, asked), ASKED))
 
 
 @query
 def qa_number(spark, sf_dir):
-    return questions.numbered(question_table(spark, sf_dir), "extracted", "2025-01-01").select("seq", "qa_file")
+    return questions.numbered(question_table(spark, sf_dir), "extracted", "2025-01-01").select(*ASKED, "qa_file")
 
 
 @query
@@ -483,18 +559,18 @@ def qa_documents(spark, sf_dir):
 
 @query
 def review_pending(spark, sf_dir):
-    return review.pending(reviewed_table(spark, sf_dir)).select("seq")
+    return review.pending(reviewed_table(spark, sf_dir)).select(*ASKED)
 
 
 @query
 def review_apply(spark, sf_dir):
     asked = question_table(spark, sf_dir)
-    return review.decided(asked, decisions(spark, sf_dir, asked), "seq").select("seq", "status", "reviewed")
+    return review.decided(asked, decisions(spark, sf_dir, asked), ASKED).select(*ASKED, "status", "reviewed")
 
 
 @query
 def review_auto(spark, sf_dir):
-    return reviewed_table(spark, sf_dir).select("seq", "status", "reviewed")
+    return reviewed_table(spark, sf_dir).select(*ASKED, "status", "reviewed")
 
 
 @query
@@ -503,7 +579,7 @@ def review_stats(spark, sf_dir):
 
 
 def exported(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return review.question_ids(review.approved(reviewed_table(spark, sf_dir)))
+    return review.question_ids(review.approved(reviewed_table(spark, sf_dir)), ASKED)
 
 
 @query
@@ -537,16 +613,16 @@ def export_report(spark, sf_dir):
 
 @query
 def qa_order(spark, sf_dir):
-    """Every question document and the one before it in the order of the merged list."""
-    made = questions.qa_documents(questions.numbered(question_table(spark, sf_dir).filter("doc_id % 7 = 3"), "extracted", "2025-01-01"))
+    """Every question document as a line of the merged list, which is one JSON array."""
+    made = questions.qa_documents(questions.numbered(question_table(spark, sf_dir), "extracted", "2025-01-01"))
     return files.json_array(questions.in_order(questions.parse_qa(made)).select("chunk_file", "qa_file", "generation_model"), ["chunk_file", "qa_file"])
 
 
 @query
 def qa_legacy_json(spark, sf_dir):
     """Questions as lines of one ``{metadata, questions}`` document."""
-    asked = question_table(spark, sf_dir).select("seq", "chunk_id", "source_type", "confidence", "reviewed")
-    return files.question_json(asked, ["seq"], {"random_seed": 42})
+    asked = question_table(spark, sf_dir).select(*ASKED, "chunk_id", "source_type", "confidence", "reviewed")
+    return files.question_json(asked, ASKED, {"random_seed": 42})
 
 
 @query

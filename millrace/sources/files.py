@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -15,6 +14,7 @@ from millrace.functions.tables import written
 from millrace.functions.text import strip
 from millrace.operators.cleaning import report
 from millrace.operators.review import CSV_HEADER, report_head, report_title, test_case
+from millrace.sources.sink import write_documents  # noqa: F401
 
 SUFFIX = r"(?i)\.(md|mdx|markdown)\z"
 
@@ -110,39 +110,14 @@ def question_json(questions: DataFrame, order: Sequence[str], metadata: dict) ->
     return as_document(questions, order, F.to_json(F.struct(*questions.columns), {"ignoreNullFields": "false"}), f'{{"metadata": {head}, "questions": [', "]}", ",")
 
 
-def write_documents(frame: DataFrame, path: str, file: str = "file", text: str = "text") -> None:
-    """One text file for each row, named ``file``; names must be distinct.
+def write_cleaned(cleaned: DataFrame, path: str, dry_run: bool = False, flush: bool = False, file: str = "file", text: str = "text") -> DataFrame:
+    """Write the ``cleaned`` texts as files and return their report; ``dry_run`` only reports.
 
-    On a file system that all executors mount the tasks write the files
-    themselves. Elsewhere (a ``path`` with another scheme) Spark's writer makes
-    one folder a document, whose part file holds its text.
+    With ``flush`` the files that ``path`` held before go once the new ones are
+    written, so a failed run loses nothing; a dry run leaves them.
     """
-    named = frame.select(F.regexp_replace(file, "^.*/", "").alias("name"), text)
-    spark = frame.sparkSession
-    if "://" not in path or path.startswith("file:"):
-        local = path.removeprefix("file://").removeprefix("file:")
-
-        def write(rows) -> None:
-            os.makedirs(local, exist_ok=True)
-            for name, body in rows:
-                with open(os.path.join(local, name), "w", encoding="utf-8", newline="") as out:
-                    out.write(body)
-
-        named.foreachPartition(write)
-        return
-    # Spark's own writer: one folder a document, whose single part file holds the text as it is.
-    spread = named.repartition("name").select(F.col("name"), F.col(text).alias("value"))
-    spread.write.mode("overwrite").option("lineSep", "").partitionBy("name").text(path)
-
-
-def write_cleaned(cleaned: DataFrame, path: str, dry_run: bool = False, flush: bool = False, file: str = "file", text: str = "text") -> DataFrame:
-    """Write the ``cleaned`` texts as files and return their report; ``dry_run`` only reports. ``flush`` empties ``path`` first, and in a dry run leaves it."""
     if not dry_run:
-        spark = cleaned.sparkSession
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        if flush:
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-        write_documents(cleaned, path, file, "cleaned")
+        write_documents(cleaned, path, file, "cleaned", overwrite=flush)
     return report(cleaned, text)
 
 
