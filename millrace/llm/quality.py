@@ -166,14 +166,15 @@ def sampled(docs: DataFrame, text: str = "text", rows: int = SAMPLE_ROWS, seed:
     return found.column("text").combine_chunks()
 
 
-def cascade(sample: pa.Array, rules: dict[str, Callable] = RULES) -> list[tuple[str, float, float]]:
+def cascade(sample: pa.Array | Texts, rules: dict[str, Callable] = RULES) -> list[tuple[str, float, float]]:
     """(rule, seconds a text, share rejected), ordered by rejections per second.
 
     Greedy: after a rule is chosen, the others are measured on the texts that it
     leaves, where what it has counted is known and costs nothing, as in
-    ``passes``. An empty sample keeps the given order.
+    ``passes``; so is what the caller has counted of given ``Texts``. An empty
+    sample keeps the given order.
     """
-    texts, left, plan = Texts(sample), dict(rules), []
+    texts, left, plan = sample if isinstance(sample, Texts) else Texts(sample), dict(rules), []
     while left:
         seen = {}
         for name, rule in left.items():
@@ -238,22 +239,26 @@ def quality_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     order; nothing else does.
     """
     further = {k: v for k, v in rules.items() if k not in BASE}
-    order = [name for name, _, _ in cascade(sampled(docs, text, sample_rows), further)]
+    # All counts are part of the report, so the cascade finds them known; it is estimated on what enters it, as it does.
+    counts = lambda x: [x.n_words(), x.word_chars(), x.n_symbols(), x.lines()[1], x.n_repeat_words()]
+    entering = Texts(sampled(docs, text, sample_rows))
+    counts(entering)
+    entering = entering.only(np.flatnonzero(~(too_short(entering) | repeats_itself(entering))))
+    order = [name for name, _, _ in cascade(entering, further)]
     schema = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, rejected_by string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
             x = Texts(piece.column("text"))
+            told = counts(x)
             failed = too_short(x) | repeats_itself(x)
-            # All counts are part of the report, so the cascade finds them known.
-            counts = [x.n_words(), x.word_chars(), x.n_symbols(), x.lines()[1], x.n_repeat_words()]
             alive = np.flatnonzero(~failed)
             kept, by = passes(x.only(alive), order, rules)
             verdict, names = np.zeros(len(x), dtype=bool), np.where(failed, "base", None).astype(object)
             verdict[alive[kept]] = True
             for i, place in zip(alive[~kept], by[~kept]):
                 names[i] = order[place]
-            yield pa.record_batch([piece.column("doc_id"), *map(pa.array, counts), pa.array(failed), pa.array(verdict), pa.array(names, pa.string())], names=schema_names)
+            yield pa.record_batch([piece.column("doc_id"), *map(pa.array, told), pa.array(failed), pa.array(verdict), pa.array(names, pa.string())], names=schema_names)
 
     schema_names = [x.split()[0] for x in schema.split(", ")]
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)

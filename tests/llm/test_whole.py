@@ -306,3 +306,20 @@ def test_one_long_document_meets_many_items_in_bounded_memory():
     tracemalloc.stop()
     assert peak < 200e6
     assert any(a <= 50_000 and b >= 50_040 for _, a, b in met[7])
+
+
+def test_the_order_is_measured_on_what_enters_the_cascade(spark, monkeypatch):
+    """Texts that the base rejects don't weigh: a rule that rejects only those comes last, and what the report counts costs nothing."""
+    from millrace.llm import quality
+
+    seen = []
+    plain = quality.cascade
+    monkeypatch.setattr(quality, "cascade", lambda sample, rules: seen.append((sample, plain(sample, rules))) or seen[-1][1])
+    short = [" ".join(["LOUD"] * 10)] * 50
+    long = [" ".join(f"w{k}" for k in range(n, n + 60)) + " # # # # # # # # # # # # # # # #" * (n % 2) for n in range(40)]
+    docs = spark.createDataFrame([(n, t) for n, t in enumerate(short + long)], "doc_id long, text string")
+    report = {r.doc_id: r for r in quality.quality_report(docs).collect()}
+    (sample, plan), = seen
+    assert len(sample) <= 40 and min(sample.n_words()) >= 50
+    assert plan[0][0] == "many_symbols" and dict((name, share) for name, _, share in plan)["shouting"] == 0
+    assert all(report[n].base_failed for n in range(50)) and sum(report[n].kept for n in range(50, 90)) == 20
