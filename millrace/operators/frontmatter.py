@@ -108,24 +108,31 @@ def all_known(values: Column) -> Column:
 
 def read_entry(entry: Column) -> Column:
     """[key, value] of ``key: scalar``, ``key:`` with a list of texts or with one level of ``key: text``, below it; null for anything else."""
-    rows = F.split(entry, "\n", -1)
-    head = F.regexp_extract(entry, rf"\A({KEY}):(?: |\n|\z)", 1)
-    body = F.substring(F.get(rows, F.lit(0)), F.length(head) + 3, F.lit(2_000_000_000))
-    below = F.slice(rows, 2, F.greatest(F.size(rows) - 1, F.lit(0)))
-    items = F.transform(below, lambda x: read_text(F.substring(x, 3, 2_000_000_000)))
-    listed = let(items, lambda t: F.when(all_known(t), F.to_json(t)))
-    names = F.transform(below, lambda x: F.regexp_extract(x, rf"\A  ({KEY}): ", 1))
-    texts = F.transform(below, lambda x: read_text(F.regexp_replace(x, rf"\A  {KEY}: ", "")))
-    apart = F.forall(names, is_text) & (F.size(F.array_distinct(names)) == F.size(names))
-    nested = F.when(apart, let(texts, lambda t: F.when(all_known(t), F.to_json(F.map_from_arrays(names, t)))))
-    alone = F.when(body == "", F.lit(NULL)).when(body.isin("[]", "{}"), body).otherwise(read_scalar(body))
-    value = (
-        F.when(F.size(rows) == 1, alone)
-        .when(body != "", F.lit(None).cast("string"))
-        .when(F.forall(below, lambda x: x.startswith("- ")), listed)
-        .when(F.forall(below, lambda x: x.rlike(rf"\A  {KEY}: ")), nested)
-    )
-    return let(F.when((head != "") & is_text(head), value), lambda v: F.when(v.isNotNull(), F.array(head, v)))
+
+    def listed(below: Column) -> Column:
+        return let(F.transform(below, lambda x: read_text(F.substring(x, 3, 2_000_000_000))), lambda t: F.when(all_known(t), F.to_json(t)))
+
+    def nested(below: Column) -> Column:
+        names = F.transform(below, lambda x: F.regexp_extract(x, rf"\A  ({KEY}): ", 1))
+        texts = F.transform(below, lambda x: read_text(F.regexp_replace(x, rf"\A  {KEY}: ", "")))
+        apart = lambda n: F.forall(n, is_text) & (F.size(F.array_distinct(n)) == F.size(n))
+        return let(names, lambda n: F.when(apart(n), let(texts, lambda t: F.when(all_known(t), F.to_json(F.map_from_arrays(n, t))))))
+
+    def several(below: Column) -> Column:
+        return F.when(F.forall(below, lambda x: x.startswith("- ")), listed(below)).when(F.forall(below, lambda x: x.rlike(rf"\A  {KEY}: ")), nested(below))
+
+    # What is used more than once is made once: nothing else does so inside a lambda.
+    def value(rows: Column, head: Column, body: Column) -> Column:
+        alone = F.when(body == "", F.lit(NULL)).when(body.isin("[]", "{}"), body).otherwise(read_scalar(body))
+        known = F.when(F.size(rows) == 1, alone).when(body == "", let(F.slice(rows, 2, F.size(rows) - 1), several))
+        return let(F.when((head != "") & is_text(head), known), lambda v: F.when(v.isNotNull(), F.array(head, v)))
+
+    def first(rows: Column) -> Column:
+        line = F.get(rows, F.lit(0))
+        head = F.regexp_extract(line, rf"\A({KEY}):(?: |\z)", 1)
+        return let(head, lambda h: let(F.substring(line, F.length(h) + 3, F.lit(2_000_000_000)), lambda b: value(rows, h, b)))
+
+    return let(F.split(entry, "\n", -1), first)
 
 
 def plain_map(block: Column) -> Column:
