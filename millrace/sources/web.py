@@ -85,9 +85,11 @@ class PageReader(DataSourceReader):
             return
         files, _ = fs.FileSystem.from_uri(self.path)
         get = backend_of(self.backend, self.argument)
-        for batch in pq.ParquetFile(files.open_input_file(partition.path)).iter_batches(1024, columns=["url"]):
-            for url in batch.column(0).to_pylist():
-                yield self.page(get, url)
+        queue = pq.ParquetFile(files.open_input_file(partition.path))
+        asked = "ask" if "ask" in queue.schema_arrow.names else "url"
+        for batch in queue.iter_batches(1024, columns=["url"] if asked == "url" else ["url", asked]):
+            for url, ask in zip(batch.column("url").to_pylist(), batch.column(asked).to_pylist()):
+                yield url, *self.page(get, ask)[1:]
                 if self.delay:
                     time.sleep(self.delay)
 
@@ -124,28 +126,31 @@ class Pages(DataSource):
         return PageReader(dict(self.options))
 
 
-def queues(urls: DataFrame, connections: int = 4, order: str | None = None) -> str:
-    """Write the ``url`` column in queues, a host over ``connections`` of them at most, and return their folder."""
+def queues(urls: DataFrame, connections: int = 4, order: str | None = None, ask: str | None = None) -> str:
+    """Write the ``url`` column, and what to ``ask`` for where that is another, in queues, a host over ``connections`` of them at most, and return their folder."""
     spark = urls.sparkSession
     path = f"{shared_dir(spark)}/millrace-queues-{uuid.uuid4().hex}"
     host, lane = F.coalesce(authority(F.col("url")), F.lit("")), F.pmod(F.xxhash64("url"), F.lit(connections))
-    keyed = urls.select("url", host.alias("host"), lane.alias("lane"), (F.col(order) if order else F.lit(0)).alias("at"))
+    kept = ["url", *(["ask"] if ask else [])]
+    keyed = urls.select("url", *([F.col(ask).alias("ask")] if ask else []), host.alias("host"), lane.alias("lane"), (F.col(order) if order else F.lit(0)).alias("at"))
     # The number is given, or Spark would put small queues together.
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keyed.repartition(n, "host", "lane").sortWithinPartitions("host", "lane", "at", "url").select("url").write.parquet(path)
+    keyed.repartition(n, "host", "lane").sortWithinPartitions("host", "lane", "at", *kept).select(*kept).write.parquet(path)
     return path
 
 
-def fetched(urls: DataFrame, backend: str = f"{__name__}:http", argument: str | None = None, connections: int = 4, attempts: int = 3, pause: float = 1.0, delay: float = 0.0, order: str | None = None) -> DataFrame:
+def fetched(urls: DataFrame, backend: str = f"{__name__}:http", argument: str | None = None, connections: int = 4, attempts: int = 3, pause: float = 1.0, delay: float = 0.0, order: str | None = None, ask: str | None = None) -> DataFrame:
     """(url, status, html, attempts, error) of every row of ``urls`` (url), repeats included.
 
     ``backend`` names a function from a URL to (status, body) that the tasks can
     import; passing failures are tried again, ``attempts`` times in all with
     growing pauses, and whatever fails is a row with an ``error`` and no page. A
-    null URL is such a row. A task that is lost asks for its queue's URLs again;
+    null URL is such a row. ``ask`` names a column with what the backend is asked
+    for in place of the URL, such as one of several captures of a page; hosts are
+    still those of the URLs. A task that is lost asks for its queue's URLs again;
     write the result before it is used twice.
     """
     spark: SparkSession = urls.sparkSession
     spark.dataSource.register(Pages)
     read = spark.read.format("millrace_pages").option("backend", backend).option("attempts", attempts).option("pause", pause).option("delay", delay)
-    return (read if argument is None else read.option("argument", argument)).load(queues(urls, connections, order))
+    return (read if argument is None else read.option("argument", argument)).load(queues(urls, connections, order, ask))
