@@ -34,3 +34,8 @@ REPEATED = pages(*((f"https://www.a.com/{k % 2}", f'<title>T{k}</title><a href="
 
 def test_pages_of_one_url_are_fetched_apart(same_as_sql):
     same_as_sql("fetch_pages", pages=REPEATED)
+
+
+def test_export_of_more_than_9999_questions(same_as_sql):
+    documents = [(3 * k, "word", "en", "src0", 4) for k in range(10_001)]
+    same_as_sql("export_json_document", documents=("doc_id long, text string, lang string, source string, n_chars long", documents), labels=("doc_id long, quality int, toxic int", [(1, 1, 0)]))
