@@ -39,3 +39,7 @@ def test_pages_of_one_url_are_fetched_apart(same_as_sql):
 def test_export_of_more_than_9999_questions(same_as_sql):
     documents = [(3 * k, "word", "en", "src0", 4) for k in range(10_001)]
     same_as_sql("export_json_document", documents=("doc_id long, text string, lang string, source string, n_chars long", documents), labels=("doc_id long, quality int, toxic int", [(1, 1, 0)]))
+
+
+def test_pages_of_one_url_are_listed_apart(same_as_sql):
+    same_as_sql("scrape_list", pages=REPEATED)
