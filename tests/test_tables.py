@@ -2,6 +2,7 @@
 
 import pytest
 
+from millrace.operators import html
 from millrace.plans import registry
 
 
@@ -43,3 +44,13 @@ def test_export_of_more_than_9999_questions(same_as_sql):
 
 def test_pages_of_one_url_are_listed_apart(same_as_sql):
     same_as_sql("scrape_list", pages=REPEATED)
+
+
+@pytest.mark.parametrize("name", ["html_title", "scrape_list"])
+def test_entities_of_titles(name, same_as_sql):
+    same_as_sql(name, pages=pages(*((f"https://a.com/{k}", f"<title>{t}</title>") for k, t in enumerate(["&quot;x&quot; &copy;", "a", "&lt;b&gt; &amp;quot;", "c", "&nbsp;&#39;d &middot;"]))))
+
+
+def test_scraped_titles_have_all_entities_decoded(spark):
+    found = html.scrapes(spark.createDataFrame([("https://a.com/", "<title>&quot;x&quot;</title>")], "url string, html string"), "2025-01-01").head()
+    assert found.title == '"x"' and "title: '\"x\"'" in found.text
