@@ -54,3 +54,7 @@ def test_entities_of_titles(name, same_as_sql):
 def test_scraped_titles_have_all_entities_decoded(spark):
     found = html.scrapes(spark.createDataFrame([("https://a.com/", "<title>&quot;x&quot;</title>")], "url string, html string"), "2025-01-01").head()
     assert found.title == '"x"' and "title: '\"x\"'" in found.text
+
+
+def test_links_of_several_pages_of_one_url_are_distinct(same_as_sql):
+    same_as_sql("link_extract", pages=REPEATED)
