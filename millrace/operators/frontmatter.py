@@ -1,14 +1,15 @@
 """Front matter: splitting, strict and lenient parsing, building and merging.
 
 Nearly all front matter is a few plain fields, lists and one level of nesting.
-These are read and written by expressions; a row that needs more of YAML goes
-through a YAML library in an Arrow function, and only that row.
+These are written by expressions and read line by line in an Arrow function; a
+row that needs more of YAML goes through a YAML library, and only that row.
 """
 
 from __future__ import annotations
 
 import datetime
 import json
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -40,6 +41,12 @@ KEY = r"[A-Za-z_][A-Za-z0-9_]*"
 #: Stands for YAML's null among texts, none of which holds it.
 NULL = "\0"
 
+# The same for reading in Python.
+ENTRY, NESTED = re.compile(rf"({KEY}):(?: (.+))?"), re.compile(rf"  ({KEY}): (.+)")
+TEXT = re.compile(rf"(?!\.\.\.|(?:{OTHER_TYPES})\Z)(?!.*(?::(?: |\Z)| #| \Z))[{BEGINS}][{PRINTED}]*")
+QUOTED, WHOLE = re.compile(rf"'((?:''|(?!')[{PRINTED}])*)'"), re.compile(r"0|[1-9][0-9]{0,17}")
+FIXED = {"true": True, "false": False, "null": None}
+
 BLOCK = r"(?s)\A---\n(.*?)\n---\n(.*)\z"
 
 
@@ -157,6 +164,56 @@ def as_json(value: object) -> object:
     return str(value)
 
 
+def text_of(value: str) -> str:
+    """A text in one line; a ``LookupError`` where only a YAML parser can read it."""
+    if TEXT.fullmatch(value):
+        return value
+    if quoted := QUOTED.fullmatch(value):
+        return quoted[1].replace("''", "'")
+    raise LookupError
+
+
+def value_of(value: str) -> object:
+    """As ``text_of``, but of whole numbers, booleans, null and empty collections too."""
+    if value in FIXED:
+        return FIXED[value]
+    if WHOLE.fullmatch(value):
+        return int(value)
+    return [] if value == "[]" else {} if value == "{}" else text_of(value)
+
+
+def plain_record(block: str) -> dict | None:
+    """What YAML reads in a block of plain fields, lists of texts and one level of ``key: text``; None where it may hold more."""
+    out: dict = {}
+    rows, at = block.split("\n"), 0
+    try:
+        while at < len(rows):
+            entry = ENTRY.fullmatch(rows[at])
+            if not entry or entry[1] in out or not TEXT.fullmatch(entry[1]):
+                return None
+            at, below = at + 1, at + 1
+            while at < len(rows) and rows[at].startswith(("- ", "  ")):
+                at += 1
+            if below == at:
+                out[entry[1]] = None if entry[2] is None else value_of(entry[2])
+            elif entry[2] is not None:
+                return None
+            elif rows[below].startswith("- "):
+                if not all(x.startswith("- ") for x in rows[below:at]):
+                    return None
+                out[entry[1]] = [text_of(x[2:]) for x in rows[below:at]]
+            else:
+                pairs = [NESTED.fullmatch(x) for x in rows[below:at]]
+                if not all(p and TEXT.fullmatch(p[1]) for p in pairs):
+                    return None
+                out[entry[1]] = {p[1]: text_of(p[2]) for p in pairs}
+                if len(out[entry[1]]) < len(pairs):
+                    return None
+    except LookupError:
+        return None
+    return out
+
+
 @F.pandas_udf(StringType())
 def yaml_json(blocks: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """A YAML block as JSON (dates in ISO form); null if it isn't valid YAML, ``{}`` if it is empty."""
@@ -164,10 +221,12 @@ def yaml_json(blocks: Iterator[pd.Series]) -> Iterator[pd.Series]:
     def one(block: str | None) -> str | None:
         if block is None:
             return None
-        try:
-            found = yaml.load(block, LOADER)
-        except yaml.YAMLError:
-            return None
+        found = plain_record(block)
+        if found is None:
+            try:
+                found = yaml.load(block, LOADER)
+            except yaml.YAMLError:
+                return None
         return json.dumps({} if found is None else found, default=as_json, ensure_ascii=False)
 
     for part in blocks:
@@ -243,11 +302,9 @@ def parsed(block: Column) -> Column:
 
 
 def with_parsed(df: DataFrame, block: Column, name: str = "fm") -> DataFrame:
-    """Add ``name``: what ``parsed`` gives; only blocks that expressions can't read, and that may be YAML at all, go through the library."""
-    step = df.withColumn("_block", block).withColumn("_plain", plain_map(F.col("_block")))
-    step = step.withColumn("_rest", in_a_step(F.when(F.col("_plain").isNull() & ~is_broken(F.col("_block")), F.col("_block"))))
-    strict = F.from_json(yaml_json("_rest"), "map<string,string>")
-    return step.withColumn(name, in_a_step(F.coalesce("_plain", strict, lenient(F.col("_block"))))).drop("_block", "_plain", "_rest")
+    """Add ``name``: what ``parsed`` gives, made once."""
+    step = df.withColumn("_block", in_a_step(block))
+    return step.withColumn(name, in_a_step(parsed(F.col("_block")))).drop("_block")
 
 
 def in_a_step(value: Column) -> Column:

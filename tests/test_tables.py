@@ -1,8 +1,15 @@
 """Queries on tables that the small test data has no rows of, against their SQL."""
 
+import datetime
+import itertools
+import random
+import time
+
 import pytest
+import yaml
+from pyspark.sql import functions as F
 
-from millrace.operators import html
+from millrace.operators import frontmatter, html
 from millrace.plans import registry
 
 
@@ -58,3 +65,26 @@ def test_scraped_titles_have_all_entities_decoded(spark):
 
 def test_links_of_several_pages_of_one_url_are_distinct(same_as_sql):
     same_as_sql("link_extract", pages=REPEATED)
+
+
+def test_plain_blocks_are_read_as_yaml_reads_them():
+    values = ["a", "a: b", "a #b", "'a''b'", "'a'b'", "''", "'", "yes", "No", "007", "12", "-3", "1.5", "1:30", "2025-01-01", "'2025-01-01'", "null", "~", "[]", "{}", "[a]", "true", "\"x\"", "|", "é ü", "a:", "x ", " x", "", "...", "=", "<<", "https://x/1", "a\tb", "- a", "(a)", ".5", "_1", "0x1f", "9" * 19, "\x85", "\u2028"]
+    pieces = [f"{k}: {v}" for k in ("k", "no", "y") for v in values] + ["k:", "l:", "k: ", "- a", "- 5", "- 'x'", "-", "  a: b", "  c: 5", "  no: x", "  d:", "   e: f", "# c", "---", "...", "", "key", "m:\n- a\n- b: c", "n:\n  a: 'b'\n  c: d"]
+    draw = random.Random(5)
+    blocks = pieces + ["\n".join(x) for x in itertools.product(pieces[-25:], repeat=2)] + ["\n".join(draw.choices(pieces, k=draw.randint(2, 5))) for _ in range(4000)]
+    known = 0
+    for block in blocks:
+        found = frontmatter.plain_record(block)
+        if found is not None:
+            known += 1
+            wanted = yaml.safe_load(block)
+            assert found == wanted and repr(found) == repr(wanted) and not isinstance(wanted, datetime.date), block
+    assert known > 50
+
+
+def test_many_blocks_are_read_in_little_time(spark):
+    block = "\n".join(["title: 'T: 1'", "source_file: src0/1.md", "section_path:", "- T0", "- S7", "section_headers:", "  h1: T0", "  h2: S7", *(f"field_{k}: {k}" for k in range(12))])
+    frame = spark.range(0, 40_000, 1, 1).selectExpr("id AS n").withColumn("b", F.concat(F.lit(block + "\nid: "), F.col("n").cast("string")))
+    began = time.perf_counter()
+    assert frontmatter.with_parsed(frame, F.col("b")).filter("fm['id'] = cast(n AS string) AND fm['section_path'] = '[\"T0\",\"S7\"]'").count() == 40_000
+    assert time.perf_counter() - began < 40
