@@ -62,12 +62,22 @@ class DocumentWriter(DataSourceArrowWriter):
         files, root = located(self.path)
         found = lambda folder: files.get_file_info(fs.FileSelector(folder, allow_not_found=True))
         remove = lambda x: files.delete_dir(x.path) if x.type == fs.FileType.Directory else files.delete_file(x.path)
+        move = lambda x: files.move(x.path, f"{root}/{x.base_name}")
+
+        def each(f, entries: list) -> None:
+            # A thread takes a share of the files, not one at a time: handing over takes longer than a rename.
+            def some(k: int) -> None:
+                for x in entries[k::MOVES]:
+                    f(x)
+
+            list(pool.map(some, range(MOVES)))
+
         with ThreadPoolExecutor(MOVES) as pool:
             if self.overwrite:
-                list(pool.map(remove, (x for x in found(root) if x.base_name != self.job)))
+                each(remove, [x for x in found(root) if x.base_name != self.job])
             for one in messages:
                 if one:
-                    list(pool.map(lambda x: files.move(x.path, f"{root}/{x.base_name}"), found(f"{root}/{self.job}/{one.folder}")))
+                    each(move, found(f"{root}/{self.job}/{one.folder}"))
         self.abort(messages)
 
     def abort(self, messages: list[Attempt | None]) -> None:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import frontmatter, html
 from millrace.plans import registry
+from millrace.sources import files
 
 
 @pytest.fixture
@@ -88,3 +89,12 @@ def test_many_blocks_are_read_in_little_time(spark):
     began = time.perf_counter()
     assert frontmatter.with_parsed(frame, F.col("b")).filter("fm['id'] = cast(n AS string) AND fm['section_path'] = '[\"T0\",\"S7\"]'").count() == 40_000
     assert time.perf_counter() - began < 40
+
+
+def test_a_task_reads_many_small_files(spark, tmp_path):
+    names = [f"{k}.md" for k in range(3_000)]
+    for name in names:
+        (tmp_path / name).write_text(f"text of {name}")
+    found = files.documents(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert {r.file: r.text for r in found.collect()} == {name: f"text of {name}" for name in names}
