@@ -12,7 +12,7 @@ import json
 import re
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 import yaml
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -214,8 +214,8 @@ def plain_record(block: str) -> dict | None:
     return out
 
 
-@F.pandas_udf(StringType())
-def yaml_json(blocks: Iterator[pd.Series]) -> Iterator[pd.Series]:
+@F.arrow_udf(StringType())
+def yaml_json(blocks: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """A YAML block as JSON (dates in ISO form); null if it isn't valid YAML, ``{}`` if it is empty."""
 
     def one(block: str | None) -> str | None:
@@ -230,14 +230,19 @@ def yaml_json(blocks: Iterator[pd.Series]) -> Iterator[pd.Series]:
         return json.dumps({} if found is None else found, default=as_json, ensure_ascii=False)
 
     for part in blocks:
-        yield part.map(one)
+        yield pa.array(map(one, part.to_pylist()), pa.string())
 
 
-@F.pandas_udf(StringType())
-def yaml_block(records: Iterator[pd.Series]) -> Iterator[pd.Series]:
+@F.arrow_udf(StringType())
+def yaml_block(records: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """A front matter block with its ``---`` lines from a JSON object, keys in their order; empty for an empty object or null."""
+
+    def one(record: str | None) -> str:
+        found = json.loads(record) if record else None
+        return f"---\n{yaml.dump(found, Dumper=DUMPER, sort_keys=False, allow_unicode=True, default_flow_style=False).strip()}\n---\n" if found else ""
+
     for part in records:
-        yield part.map(lambda r: f"---\n{yaml.dump(found, Dumper=DUMPER, sort_keys=False, allow_unicode=True, default_flow_style=False).strip()}\n---\n" if r and (found := json.loads(r)) else "")
+        yield pa.array(map(one, part.to_pylist()), pa.string())
 
 
 def scalar(value: Column, room: Column | int) -> Column:

@@ -3,7 +3,10 @@
 import datetime
 import itertools
 import random
+import subprocess
+import sys
 import time
+from pathlib import Path
 
 import pytest
 import yaml
@@ -98,3 +101,9 @@ def test_a_task_reads_many_small_files(spark, tmp_path):
     found = files.documents(spark, str(tmp_path))
     assert found.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
     assert {r.file: r.text for r in found.collect()} == {name: f"text of {name}" for name in names}
+
+
+def test_tasks_that_chunk_load_no_pandas():
+    """PySpark loads pandas for the processes of Arrow functions on columns, not for those on batches, which chunk."""
+    told = subprocess.run([sys.executable, "-c", "import millrace.operators.chunking, millrace.operators.frontmatter, sys; print('pandas' in sys.modules)"], capture_output=True, text=True, cwd=Path(__file__).parent.parent)
+    assert told.stdout.split()[-1] == "False"
